@@ -12,9 +12,14 @@ from ..operators.changelog import overlay
 from ..operators.dedup import last_per_key
 
 
-def parts_in_process(pip: DataFrame) -> DataFrame:
-    """The PartWithQtyInProcess view: in-process quantity per work-order part."""
-    return pip.groupBy("PartName", "WONumber").agg(F.sum("QtyInProcess").cast("int").alias("QtyInProcess"))
+def parts_in_process(part: DataFrame, pip: DataFrame) -> DataFrame:
+    """The PartWithQtyInProcess view: every work-order part with its
+    in-process quantity (0 when nothing is nested).  PIP is reduced by a
+    partial aggregate before the join."""
+    sums = pip.groupBy("PartName", "WONumber").agg(F.sum("QtyInProcess").alias("__q"))
+    return part.select("PartName", "WONumber").join(sums, ["PartName", "WONumber"], "left").select(
+        "PartName", "WONumber", F.coalesce(F.col("__q"), F.lit(0)).cast("int").alias("QtyInProcess")
+    )
 
 
 def revise_demand(part: DataFrame, in_process: DataFrame, part_name: str | None = None) -> DataFrame:
