@@ -85,6 +85,14 @@ def with_column_defaults(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     return df
 
 
-def compact(queue_rows: DataFrame, adds: DataFrame, keys: list[str]) -> DataFrame:
-    """Drop rows superseded by a later add with the same non-NULL key."""
-    return survivors_after_later_writes(queue_rows, adds, keys, "Ordinal")
+def compact(existing: DataFrame, new_rows: DataFrame, adds: DataFrame, keys: list[str]) -> DataFrame:
+    """Next queue version: ``existing`` rows (already in the queue before the
+    batch) plus ``new_rows`` (removals and adds of the batch), minus rows
+    superseded by a later add with the same non-NULL key.  Existing rows are
+    older than every add of the batch whatever their stored ordinal, so
+    replaying a batch against its own output gives the same queue."""
+    rows = existing.withColumn("__cmp", F.lit(None).cast("long")).unionByName(
+        new_rows.withColumn("__cmp", F.col("Ordinal"))
+    )
+    writes = adds.withColumn("__cmp", F.col("Ordinal"))
+    return survivors_after_later_writes(rows, writes, keys, "__cmp").drop("__cmp")

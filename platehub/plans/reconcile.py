@@ -151,8 +151,7 @@ def reconcile_demand(
             (F.col("seq") * 2).alias("Ordinal"),
         )
     )
-    queue = conform(trans_act).unionByName(removals).unionByName(adds)
-    return compact(queue, adds, ["OrderNo", "ItemName", "ItemData18"])
+    return compact(conform(trans_act), removals.unionByName(adds), adds, ["OrderNo", "ItemName", "ItemData18"])
 
 
 def reconcile_inventory(
@@ -218,8 +217,7 @@ def reconcile_inventory(
             (F.col("seq") * 2).alias("Ordinal"),
         )
     )
-    queue = conform(trans_act).unionByName(removals).unionByName(adds)
-    return compact(queue, adds, ["ItemName"])
+    return compact(conform(trans_act), removals.unionByName(adds), adds, ["ItemName"])
 
 
 def gate_not_in_literal(calls: DataFrame, trans_act: DataFrame) -> DataFrame:
