@@ -10,6 +10,7 @@ from ..functions import codes
 from ..functions.text import trans_id
 from ..operators.dedup import last_per_key
 from ..operators.joins import bounded_broadcast, not_exists
+from ..operators.ranking import DEFAULT_MAX_ROWS_PER_TASK, row_number_within
 
 # The ERP config table has one row per ERP system: a handful of rows.
 CONFIG_MAX_ROWS = 10_000
@@ -62,16 +63,16 @@ def stage_completion(
     program: DataFrame,
     trans_act: DataFrame,
     order_col: str = "post_seq",
+    max_rows_per_task: int = DEFAULT_MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """SN70 rows for programs posted ``Complete`` (C11).
 
     Intended rule (D4): the k-th Complete post of a program completes its
     k-th lowest repeat that has no staged SN70 yet; extra posts find no open
-    repeat and stage nothing.  Ranks come from per-program windows on
-    ``row_number``, then an equi-join on (program, rank).
+    repeat and stage nothing.  Both sides are ranked per program with the
+    skew-safe ``row_number_within`` (a hot program is split over many
+    tasks) and matched by an equi-join on (program, rank).
     """
-    from pyspark.sql import Window
-
     completes = state_events.where(F.col("state") == "Complete").select(
         F.col("program").alias("ProgramName"), order_col
     )
@@ -81,8 +82,8 @@ def stage_completion(
         staged,
         [("ProgramName", "ProgramName"), ("RepeatID", "ProgramRepeat")],
     )
-    k_post = completes.withColumn("k", F.row_number().over(Window.partitionBy("ProgramName").orderBy(order_col)))
-    k_rep = open_rep.withColumn("k", F.row_number().over(Window.partitionBy("ProgramName").orderBy("RepeatID")))
+    k_post = row_number_within(completes, ["ProgramName"], order_col, "k", max_rows_per_task)
+    k_rep = row_number_within(open_rep, ["ProgramName"], "RepeatID", "k", max_rows_per_task)
     return k_post.join(k_rep, ["ProgramName", "k"], "inner").select(
         F.lit(codes.PROGRAM_COMPLETE).alias("TransType"),
         F.lit(1).cast("int").alias("District"),

@@ -63,8 +63,20 @@ def _prepare_calls(calls: DataFrame, optional: dict[str, str]) -> DataFrame:
     return calls.withColumn("trans_id", trans_id(F.col("sap_event_id")))
 
 
+def _touched(table: DataFrame, keys: list[tuple[str, str]], calls: DataFrame) -> DataFrame:
+    """Rows of a large table whose key occurs in the call batch: a left-semi
+    join before any aggregation, so only the touched keys are shuffled."""
+    wanted = calls.select(*[F.col(c).alias(f"__w_{t}") for t, c in keys]).distinct()
+    cond = None
+    for t, _ in keys:
+        c = F.col(t) == F.col(f"__w_{t}")
+        cond = c if cond is None else cond & c
+    return table.join(wanted, cond, "left_semi")
+
+
 def demand_adds(calls: DataFrame, slab_part_alloc: DataFrame, cfg: DataFrame, literal: bool) -> DataFrame:
-    alloc = slab_part_alloc.groupBy("PartName", "WoNumber").agg(F.sum("Qty").alias("__alloc"))
+    alloc_rows = _touched(slab_part_alloc, [("PartName", "part_name"), ("WoNumber", "work_order")], calls)
+    alloc = alloc_rows.groupBy("PartName", "WoNumber").agg(F.sum("Qty").alias("__alloc"))
     j = calls.join(
         alloc,
         (F.col("part_name") == F.col("PartName")) & (F.col("work_order") == F.col("WoNumber")),
@@ -135,7 +147,8 @@ def reconcile_demand(
         & (F.col("Data18") != F.col("sap_event_id")),
         "inner",
     )
-    in_proc = pip.groupBy("PartName", "WONumber").agg(F.sum("QtyInProcess").alias("__inproc"))
+    touched_pip = _touched(pip, [("PartName", "PartName"), ("WONumber", "WONumber")], rem)
+    in_proc = touched_pip.groupBy("PartName", "WONumber").agg(F.sum("QtyInProcess").alias("__inproc"))
     rem = rem.join(in_proc, ["PartName", "WONumber"], "left")
     rem = rem.join(cfg, F.col("sap_system") == F.col("cfg_system"), "inner")
     committed = F.col("QtyCompleted") + F.coalesce(F.col("__inproc"), F.lit(0))
@@ -165,7 +178,8 @@ def reconcile_inventory(
     """Next version of the queue after a batch of inventory calls."""
     calls = _prepare_calls(calls, INVENTORY_OPTIONAL)
     cfg = district_by_system(config)
-    alloc = slab_sheet_alloc.groupBy("SheetName").agg(F.count("SheetName").alias("__alloc"))
+    alloc_rows = _touched(slab_sheet_alloc, [("SheetName", "sheet_name")], calls)
+    alloc = alloc_rows.groupBy("SheetName").agg(F.count("SheetName").alias("__alloc"))
     a = calls.join(alloc, F.col("sheet_name") == F.col("SheetName"), "left")
     a = a.withColumn("__net", F.col("qty") - F.coalesce(F.col("__alloc"), F.lit(0))).where(F.col("__net") > 0)
     a = a.join(cfg, F.col("sap_system") == F.col("cfg_system"), "inner")

@@ -124,3 +124,29 @@ def test_paged_children_keep_every_child(spark):
     summ = child_summary(kids.withColumnRenamed("n", "qty"), ["k"], "kids", ["qty"], "name")
     r = {x.k: x for x in summ.collect()}
     assert (r["p"].kids_n, r["p"].kids_qty, r["p"].kids_min_name, r["p"].kids_max_name) == (25, 300.0, "c0", "c9")
+
+
+def test_row_number_within_splits_hot_keys(spark):
+    from pyspark.sql import Window
+
+    from platehub.operators.ranking import row_number_within
+
+    data = [("hot", i * 7 % 1000) for i in range(1000)] + [(f"k{i % 5}", i) for i in range(40)] + [(None, 3), (None, 9)]
+    df = spark.createDataFrame(data, "k string, o long")
+    want = rows(df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o"))))
+    got = row_number_within(df, ["k"], "o", max_rows_per_task=50)
+    assert rows(got.select("k", "o", "rn")) == want
+    assert rows(row_number_within(df, ["k"], "o").select("k", "o", "rn")) == want
+
+
+def test_stage_completion_with_hot_program(spark):
+    from platehub.plans.programs import stage_completion
+
+    program = spark.createDataFrame([("P", r) for r in range(1, 301)] + [("Q", 1)], "ProgramName string, RepeatID int")
+    posts = spark.createDataFrame([(i, "P", "b", "Complete") for i in range(120)] + [(500, "Q", "b", "Complete")],
+                                  "post_seq long, program string, batch string, state string")
+    queue = spark.createDataFrame([("SN70", "P", 2)], "TransType string, ProgramName string, ProgramRepeat int")
+    got = stage_completion(posts, program, queue, max_rows_per_task=16)
+    reps = sorted(r.ProgramRepeat for r in got.where("ProgramName = 'P'").collect())
+    assert reps == [1] + list(range(3, 122))
+    assert got.where("ProgramName = 'Q'").count() == 1
