@@ -39,6 +39,41 @@ def child_arrays(
     return paged.groupBy(*keys, "page").agg(F.array_sort(F.collect_list(item)).alias(name))
 
 
+def paged_children(
+    keys: list[str],
+    children: list[tuple[DataFrame, list[str], str]],
+    page_size: int | None = DEFAULT_PAGE_SIZE,
+) -> DataFrame:
+    """Aligned pages of several child lists of the same parent key:
+    ``keys, page, <name1>, <name2>, ...``.  Page ``p`` of each list is joined
+    with page ``p`` of the others (full outer join on key and page), so the
+    widest row holds ``page_size`` children of each kind, never the whole
+    list of a hot parent.  Missing lists are empty arrays."""
+    pages = None
+    types = {}
+    for df, fields, name in children:
+        arr = child_arrays(df, keys, fields, name, page_size)
+        if page_size is None:
+            arr = arr.withColumn("page", F.lit(0).cast("long"))
+        types[name] = arr.schema[name].dataType
+        pages = arr if pages is None else pages.join(arr, [*keys, "page"], "full_outer")
+    return pages.select(
+        *keys, "page", *[F.coalesce(F.col(n), F.array().cast(t)).alias(n) for n, t in types.items()]
+    )
+
+
+def attach_pages(heads: DataFrame, keys: list[str], pages: DataFrame) -> DataFrame:
+    """Every head gets its pages; a head without children gets page 0 with
+    empty arrays (left join, then defaults)."""
+    arrays = [f for f in pages.schema.fields if f.name not in (*keys, "page")]
+    j = heads.join(pages, keys, "left")
+    return j.select(
+        *[c for c in heads.columns],
+        F.coalesce(F.col("page"), F.lit(0).cast("long")).alias("page"),
+        *[F.coalesce(F.col(f.name), F.array().cast(f.dataType)).alias(f.name) for f in arrays],
+    )
+
+
 def child_summary(children: DataFrame, keys: list[str], prefix: str, sums: list[str], names: str | None = None) -> DataFrame:
     """Order-independent summary of each parent's children: count, exact
     sums (decimal, so summation order cannot change the value) and the

@@ -12,7 +12,7 @@ from ..functions import codes
 from ..functions.text import shipment_int
 from ..operators.changelog import purge_keep
 from ..operators.dedup import last_per_key
-from ..operators.documents import child_arrays, child_summary
+from ..operators.documents import DEFAULT_PAGE_SIZE, attach_pages, child_summary, paged_children
 
 # -- C3 / C4 -------------------------------------------------------------------
 
@@ -185,21 +185,31 @@ def feedback_documents(
     st_pip_arc: DataFrame,
     part: DataFrame,
     remnant: DataFrame,
+    page_size: int | None = DEFAULT_PAGE_SIZE,
 ) -> DataFrame:
-    """One row per outbox program with its sheet: ``ArchivePacketID, state,
-    nest`` where ``nest`` is the full document for created programs and NULL
-    for the marker states (C6, J13, A7, P13).
+    """One row per outbox program with its sheet (and per page of its
+    children): ``AutoID, ArchivePacketID, state, page, nest`` where ``nest``
+    is the document for created programs and NULL for the marker states
+    (C6, J13, A7, P13).
 
     The per-program lookups of the original (two round trips per created
-    program) become two pre-aggregations joined to the heads; children are
-    optional (left join -> empty arrays).  Unknown codes are dropped (D8).
+    program) become two child tables keyed by packet id, grouped into sorted
+    arrays and attached by joins; children are optional (empty arrays).
+    Remnants are keyed by (program, repeat) and reach the packet through the
+    heads.  Unknown codes are dropped (D8).
     """
     heads = _feedback_heads(st_prg_arc, stock)
-    parts = child_arrays(_created_parts(st_pip_arc, part), ["ArchivePacketID"], PART_FIELDS, "parts")
-    rems = child_arrays(_remnant_rows(remnant), ["ProgramName", "RepeatID"], REMNANT_FIELDS, "remnants")
-    j = heads.join(parts, "ArchivePacketID", "left").join(rems, ["ProgramName", "RepeatID"], "left")
-    part_t = T.ArrayType(parts.schema["parts"].dataType.elementType)
-    rem_t = T.ArrayType(rems.schema["remnants"].dataType.elementType)
+    created = heads.where(F.col("state") == "created")
+    parts = _created_parts(st_pip_arc, part)
+    rems = _remnant_rows(remnant).join(
+        created.select("ArchivePacketID", "ProgramName", "RepeatID"), ["ProgramName", "RepeatID"], "inner"
+    )
+    pages = paged_children(
+        ["ArchivePacketID"],
+        [(parts, PART_FIELDS, "parts"), (rems.drop("ProgramName", "RepeatID"), REMNANT_FIELDS, "remnants")],
+        page_size,
+    )
+    j = attach_pages(heads, ["ArchivePacketID"], pages)
     nest = F.struct(
         F.col("ArchivePacketID").alias("archivePacketId"),
         F.struct(
@@ -208,17 +218,18 @@ def feedback_documents(
             F.col("MachineName").alias("machineName"),
             F.col("CuttingTime").alias("cuttingTime"),
         ).alias("program"),
-        F.coalesce(F.col("parts"), F.array().cast(part_t)).alias("parts"),
+        F.col("parts"),
         F.struct(
             F.coalesce(F.col("SheetName"), F.lit("")).alias("sheetName"),
             F.coalesce(F.col("MaterialMaster"), F.lit("")).alias("materialMaster"),
         ).alias("sheet"),
-        F.coalesce(F.col("remnants"), F.array().cast(rem_t)).alias("remnants"),
+        F.col("remnants"),
     )
     return j.select(
         "AutoID",
         "ArchivePacketID",
         "state",
+        "page",
         F.when(F.col("state") == "created", nest).alias("nest"),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions.text import shipment_int
 from ..operators.dedup import first_per_key, last_per_key
-from ..operators.documents import child_arrays, exact_sum
+from ..operators.documents import DEFAULT_PAGE_SIZE, child_arrays, exact_sum, paged_children, attach_pages
 
 NEST_PART_FIELDS = ["partName", "partQty", "job", "shipment", "trueArea", "nestedArea"]
 NEST_REMNANT_FIELDS = ["remnantName", "length", "width", "area"]
@@ -73,25 +73,27 @@ def nest_documents(
     remnant: DataFrame,
     program_name: str | None = None,
     literal: bool = False,
-    page_size: int | None = None,
+    page_size: int | None = DEFAULT_PAGE_SIZE,
 ) -> DataFrame:
-    """Nest document per program (C7): ``archivePacketId, program, parts,
-    sheet, remnants``.  Programs without a program row or without a sheet
-    are absent (the original's NotFound).  ``program_name`` restricts to one
-    program; the filter reaches every scan."""
+    """Nest document per program (C7): ``page, archivePacketId, program,
+    parts, sheet, remnants`` (one row per page of children; page 0 always
+    exists).  Programs without a program row or without a sheet are absent
+    (the original's NotFound).  ``program_name`` restricts to one program;
+    the filter reaches every scan."""
     if program_name is not None:
         program = program.where(F.col("ProgramName") == program_name)
         pip = pip.where(F.col("ProgramName") == program_name)
         remnant = remnant.where(F.col("ProgramName") == program_name)
-    heads = _program_heads(program)
-    sheet = program_sheet(program, stock)
-    parts = child_arrays(nest_parts(pip, part, literal).drop("WONumber"), ["ProgramName"], NEST_PART_FIELDS,
-                         "parts", page_size)
-    rems = child_arrays(nest_remnants(remnant), ["ProgramName"], NEST_REMNANT_FIELDS, "remnants", page_size)
-    j = heads.join(sheet, "ProgramName", "inner").join(parts.drop("page"), "ProgramName", "left").join(
-        rems.drop("page"), "ProgramName", "left"
+    heads = _program_heads(program).join(program_sheet(program, stock), "ProgramName", "inner")
+    pages = paged_children(
+        ["ProgramName"],
+        [(nest_parts(pip, part, literal).drop("WONumber"), NEST_PART_FIELDS, "parts"),
+         (nest_remnants(remnant), NEST_REMNANT_FIELDS, "remnants")],
+        page_size,
     )
+    j = attach_pages(heads, ["ProgramName"], pages)
     return j.select(
+        "page",
         F.col("ArchivePacketID").alias("archivePacketId"),
         F.struct(
             F.col("ProgramName").alias("programName"),
@@ -99,9 +101,9 @@ def nest_documents(
             F.col("MachineName").alias("machineName"),
             F.col("CuttingTime").alias("cuttingTime"),
         ).alias("program"),
-        F.coalesce("parts", F.array().cast(parts.schema["parts"].dataType)).alias("parts"),
+        "parts",
         F.struct("sheetName", "materialMaster").alias("sheet"),
-        F.coalesce("remnants", F.array().cast(rems.schema["remnants"].dataType)).alias("remnants"),
+        "remnants",
     )
 
 

@@ -57,6 +57,10 @@ def test_feedback_documents_agree_with_summary(spark, views):
     assert rows(from_docs) == rows(summ.select("ArchivePacketID", "state", "parts_n", "ProgramName", "remnants_n"))
     # marker states carry no document
     assert docs.where("state <> 'created' AND nest IS NOT NULL").count() == 0
+    small = fb.feedback_documents(v.st_prg_arc, v.stock, v.st_pip_arc, v.part_wo, v.remnant, page_size=3)
+    per = small.groupBy("ArchivePacketID", "state").agg(
+        F.sum(F.size("nest.parts")).alias("parts_n"), F.sum(F.size("nest.remnants")).alias("remnants_n"))
+    assert rows(per) == rows(summ.select("ArchivePacketID", "state", "parts_n", "remnants_n"))
     # arrays are sorted (deterministic documents)
     first = docs.where("state = 'created' AND size(nest.parts) > 1").select("nest.parts").first()[0]
     assert [tuple(p) for p in first] == sorted(tuple(p) for p in first)
@@ -71,6 +75,12 @@ def test_nest_documents_agree_with_summary_and_paging(spark, views):
         F.size("remnants").alias("remnants_n"), F.col("sheet.sheetName").alias("SheetName"),
     )
     assert rows(got) == rows(summ.select("ProgramName", "parts_n", "remnants_n", "SheetName"))
+    # small pages: same children, spread over several rows per program
+    small = ns.nest_documents(v.program, v.pip, v.part_wo, v.stock, v.remnant, page_size=2)
+    per_prog = small.groupBy(F.col("program.programName").alias("ProgramName")).agg(
+        F.sum(F.size("parts")).alias("parts_n"), F.sum(F.size("remnants")).alias("remnants_n"))
+    assert rows(per_prog) == rows(summ.select("ProgramName", "parts_n", "remnants_n"))
+    assert small.where("page > 0").count() > 0
     one = ns.nest_documents(v.program, v.pip, v.part_wo, v.stock, v.remnant, program_name="PRG1")
     assert one.count() <= 1
     paged = ns.nest_parts(v.pip, v.part_wo)
@@ -171,3 +181,19 @@ def test_exact_sum_is_order_independent(spark):
     b = spark.createDataFrame([(v,) for v in reversed(vals)], "x double").repartition(3).agg(
         exact_sum(F.col("x")).alias("s")).first().s
     assert a == b
+
+
+def test_document_export_roundtrip(spark, views, tmp_path):
+    from platehub.sources.sinks import append_queue, document_json, export_documents
+
+    v = views
+    docs = ns.nest_documents(v.program, v.pip, v.part_wo, v.stock, v.remnant)
+    export_documents(docs, str(tmp_path / "nests"), max_records_per_file=50)
+    back = spark.read.json(str(tmp_path / "nests"))
+    assert back.count() == docs.count()
+    assert {"archivePacketId", "program", "parts", "sheet", "remnants"} <= set(back.columns)
+    js = document_json(docs, "archivePacketId").first()
+    assert '"programName"' in js.json
+    append_queue(v.trans_act, str(tmp_path / "q"))
+    append_queue(v.trans_act, str(tmp_path / "q"))
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 2 * v.trans_act.count()
