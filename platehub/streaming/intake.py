@@ -60,6 +60,11 @@ def json_array_calls(raw: DataFrame, schema: T.StructType, value_col: str = "val
     return raw.select(F.explode(F.from_json(F.col(value_col), T.ArrayType(schema))).alias("c")).select("c.*")
 
 
+def json_object_calls(raw: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """A single POSTed JSON object (program update) -> one row."""
+    return raw.select(F.from_json(F.col(value_col), schema).alias("c")).select("c.*")
+
+
 def call_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).format(fmt)

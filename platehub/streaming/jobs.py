@@ -20,6 +20,7 @@ from .intake import (
     scratch_dir,
     start_intake,
 )
+from .outbox import start_outbox_export
 from .program_state import program_state_stream
 
 POST_SCHEMA = "post_seq long, program string, batch string, state string"
@@ -87,3 +88,24 @@ def stream_program_state(spark: SparkSession, v: Views) -> DataFrame:
     )
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out")
+
+
+OUTBOX_SCHEMA = (
+    "AutoID long, ArchivePacketID long, TransType string, ProgramName string, RepeatID int, "
+    "MachineName string, CuttingTime double, SheetName string"
+)
+
+
+def stream_outbox_export(spark: SparkSession, v: Views) -> DataFrame:
+    root = scratch_dir(spark, "outbox")
+    src = land(v.st_prg_arc, f"{root}/outbox")
+    q = start_outbox_export(
+        call_stream(spark, src, OUTBOX_SCHEMA),
+        root,
+        stock=v.stock,
+        st_pip_arc=v.st_pip_arc,
+        part=v.part_wo,
+        remnant=v.remnant,
+    )
+    q.awaitTermination()
+    return spark.read.json(f"{root}/docs").select("ArchivePacketID", "state")

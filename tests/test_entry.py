@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from platehub.testing.oracle import compare, duckdb_conn
 
 SF = "/root/testdata/sf0.001"
-STREAMS = {"stream_demand_intake", "stream_event_gate", "stream_program_state"}
+STREAMS = {"stream_demand_intake", "stream_event_gate", "stream_program_state", "stream_outbox_export"}
 
 
 def test_entry_smoke(spark):

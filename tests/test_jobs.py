@@ -197,3 +197,26 @@ def test_document_export_roundtrip(spark, views, tmp_path):
     append_queue(v.trans_act, str(tmp_path / "q"))
     append_queue(v.trans_act, str(tmp_path / "q"))
     assert spark.read.parquet(str(tmp_path / "q")).count() == 2 * v.trans_act.count()
+
+
+def test_point_lookups_and_named_queries(spark, views, tmp_path):
+    import __spark_entry__ as entry
+    from platehub.plans import lookups as lk
+    from platehub.plans.demand import ingest_spreadsheet_demand
+    from platehub.sources.spreadsheet import read_spreadsheet_csv
+
+    v = views
+    name = v.program.first().ProgramName
+    assert lk.program_by_name(v.program, name).count() >= 1
+    got = lk.sql_lookup(spark, v.program, "SELECT * FROM t WHERE ProgramName = :p", p=name)
+    assert got.count() == lk.program_by_name(v.program, name).count()
+    pk = v.st_pip_arc.where("TransType = 'SN100'").first().ArchivePacketID
+    assert lk.parts_by_packet(v.st_pip_arc, pk).count() >= 1
+    r = v.remnant.first()
+    assert lk.remnants_by_program(v.remnant, r.ProgramName, r.RepeatID).count() >= 1
+    with pytest.raises(KeyError):
+        lk.run_named(entry.queries(), "no_such_query", spark, "/root/testdata/sf0.001")
+    assert lk.run_named(entry.queries(), "machine_list", spark, "/root/testdata/sf0.001").count() > 0
+    p = tmp_path / "sheet.csv"
+    p.write_text("event_id,part,qty,unused,shipment\nE1,1230039B-G12A-A1,10.0,,1.0\n")
+    assert ingest_spreadsheet_demand(read_spreadsheet_csv(spark, str(p))).first().OrderNo == "1230039B-1-main"

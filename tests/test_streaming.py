@@ -88,3 +88,19 @@ def test_registered_stream_queries_run(spark):
     assert gate.count() == gate.select("sap_event_id").distinct().count()
     state = qs["stream_program_state"](spark, sf)
     assert state.count() > 0
+
+
+def test_outbox_export_then_compaction(spark, views):
+    from platehub.streaming.jobs import OUTBOX_SCHEMA, land
+    from platehub.streaming.outbox import compact_outbox, start_outbox_export
+
+    v = views
+    root = scratch_dir(spark, "t2-test")
+    src = land(v.st_prg_arc, f"{root}/outbox")
+    q = start_outbox_export(call_stream(spark, src, OUTBOX_SCHEMA), root, stock=v.stock, st_pip_arc=v.st_pip_arc,
+                            part=v.part_wo, remnant=v.remnant)
+    q.awaitTermination()
+    docs = spark.read.json(f"{root}/docs")
+    assert docs.where("state = 'created'").count() == v.st_prg_arc.join(v.stock, "SheetName").where(
+        "TransType = 'SN100'").count()
+    assert compact_outbox(spark, v.st_prg_arc, root).count() == 0
