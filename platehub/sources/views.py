@@ -210,13 +210,13 @@ class Views:
     # -- staged-transaction queue -------------------------------------------
     @cached_property
     def trans_act(self) -> DataFrame:
-        prg = self.st_prg_arc
-        o = self.table("orders").select("o_orderkey")
-        j = prg.join(o, prg["AutoID"] == o["o_orderkey"], "inner").where(F.col("o_orderkey") % 5 == 0)
-        return j.select(
+        """Staged SN70 rows for every fifth outbox program.  The outbox id is
+        the order key (unique), so no join back to orders is needed."""
+        prg = self.st_prg_arc.where(F.col("AutoID") % 5 == 0)
+        return prg.select(
             F.lit("SN70").alias("TransType"),
             F.lit(1).cast("int").alias("District"),
-            F.lpad((F.col("o_orderkey") % 1000).cast("string"), 10, "0").alias("TransID"),
+            F.lpad((F.col("AutoID") % 1000).cast("string"), 10, "0").alias("TransID"),
             "ProgramName",
             F.col("RepeatID").alias("ProgramRepeat"),
         )
