@@ -50,10 +50,11 @@ def _gate(calls: DataFrame, trans_act: DataFrame, adds: DataFrame, literal: bool
         if has_null(staged, "__tid"):
             return firsts.limit(0)
         # An add from a call with a NULL event id stages a NULL TransID, which
-        # closes the gate for every later first call.
-        first_null = adds.where(F.col("ItemData18").isNull()).agg(F.min("Ordinal")).first()[0]
-        if first_null is not None:
-            firsts = firsts.where(F.col("seq") * 2 < F.lit(first_null))
+        # closes the gate for every later first call (bounded probe first).
+        if has_null(calls, "sap_event_id"):
+            first_null = adds.where(F.col("ItemData18").isNull()).agg(F.min("Ordinal")).first()[0]
+            if first_null is not None:
+                firsts = firsts.where(F.col("seq") * 2 < F.lit(first_null))
     staged = staged.where(F.col("__tid").isNotNull())
     return firsts.join(staged, F.col("trans_id") == F.col("__tid"), "left_anti")
 

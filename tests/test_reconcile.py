@@ -312,3 +312,14 @@ def test_replaying_a_batch_is_idempotent(spark):
     f = _demand_frames(spark, calls, parts, pip, alloc, queue)
     twice = reconcile_demand(f["calls"], f["part"], f["pip"], f["slab_part_alloc"], f["config"], once)
     assert _spark_rows(twice, DEMAND_COLS) == _spark_rows(once, DEMAND_COLS)
+
+
+@pytest.mark.parametrize("literal", [False, True])
+def test_null_event_add_closes_later_gates_literally(spark, literal):
+    parts = [("X2", "W2", 0, EV.format(99)), ("X1", "W1", 1, EV.format(98))]
+    calls = [(1, "AAA", None, "W1", "X1", 5, "J"), (2, "AAA", EV.format(2), "W2", "X2", 0, "J")]
+    got = run_demand(spark, calls, parts, [], [], [], literal)
+    want = simulate_demand(calls, parts, [], [], [], literal)
+    assert _spark_rows(got, DEMAND_COLS) == _sim_rows(want, DEMAND_COLS)
+    kinds = sorted(r.TransType for r in got.collect())
+    assert kinds == (["SN81"] if literal else ["SN81", "SN82"])
