@@ -318,8 +318,9 @@ def test_replaying_a_batch_is_idempotent(spark):
 def test_null_event_add_closes_later_gates_literally(spark, literal):
     parts = [("X2", "W2", 0, EV.format(99)), ("X1", "W1", 1, EV.format(98))]
     calls = [(1, "AAA", None, "W1", "X1", 5, "J"), (2, "AAA", EV.format(2), "W2", "X2", 0, "J")]
-    got = run_demand(spark, calls, parts, [], [], [], literal)
-    want = simulate_demand(calls, parts, [], [], [], literal)
+    alloc = [("X1", "W1", 1)]  # so the literal netting is not NULL
+    got = run_demand(spark, calls, parts, [], alloc, [], literal)
+    want = simulate_demand(calls, parts, [], alloc, [], literal)
     assert _spark_rows(got, DEMAND_COLS) == _sim_rows(want, DEMAND_COLS)
     kinds = sorted(r.TransType for r in got.collect())
     assert kinds == (["SN81"] if literal else ["SN81", "SN82"])
