@@ -78,13 +78,15 @@ def constraint_audit(checks: list[tuple]) -> DataFrame:
 
 def id_headroom(df: DataFrame, id_col: str, ts_col: str) -> DataFrame:
     """How long an INT id column lasts at the observed rate (F18, re-aimed):
-    ``max_id, ids_per_day, days_left, years_left``."""
-    per_day = df.groupBy(F.to_date(F.col(ts_col)).alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    rate = per_day.agg(
-        (F.sum("n") / F.count(F.lit(1))).cast("long").alias("ids_per_day")
+    ``max_id, ids_per_day, days_left, years_left``.  One aggregation chain:
+    per-day counts and maxima (partial aggregate), then one row."""
+    per_day = df.groupBy(F.to_date(F.col(ts_col)).alias("d")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(id_col).alias("m")
+    )
+    j = per_day.agg(
+        F.max("m").cast("long").alias("max_id"),
+        (F.sum("n") / F.count(F.lit(1))).cast("long").alias("ids_per_day"),
     )
-    mx = df.agg(F.max(id_col).cast("long").alias("max_id"))
-    j = mx.crossJoin(rate)  # two single-row aggregates
     left = F.lit(INT_MAX) - F.col("max_id")
     days = F.when(F.col("ids_per_day") > 0, F.floor(left / F.col("ids_per_day")).cast("long"))
     return j.select("max_id", "ids_per_day", days.alias("days_left"), F.floor(days / 365).cast("long").alias("years_left"))
