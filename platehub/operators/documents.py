@@ -74,13 +74,17 @@ def attach_pages(heads: DataFrame, keys: list[str], pages: DataFrame) -> DataFra
     )
 
 
-def child_summary(children: DataFrame, keys: list[str], prefix: str, sums: list[str], names: str | None = None) -> DataFrame:
+def child_summary(children: DataFrame, keys: list[str], prefix: str, sums: list[str], names: str | None = None,
+                  int_sums: list[str] | None = None) -> DataFrame:
     """Order-independent summary of each parent's children: count, exact
-    sums (decimal, so summation order cannot change the value) and the
-    min / max of a name column.  All partial aggregates: skew-safe."""
+    sums (decimal, so summation order cannot change the value), integer
+    sums and the min / max of a name column.  All partial aggregates:
+    skew-safe."""
     aggs = [F.count(F.lit(1)).alias(f"{prefix}_n")]
     for s in sums:
         aggs.append(exact_sum(F.col(s)).alias(f"{prefix}_{s}"))
+    for s in int_sums or []:
+        aggs.append(F.sum(F.col(s).cast("long")).alias(f"{prefix}_{s}"))
     if names:
         aggs += [F.min(names).alias(f"{prefix}_min_{names}"), F.max(names).alias(f"{prefix}_max_{names}")]
     return children.groupBy(*keys).agg(*aggs)

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import codes
 from ..functions.text import shipment_int
@@ -247,17 +246,11 @@ def feedback_summary(
     map-side before the shuffle."""
     heads = _feedback_heads(st_prg_arc, stock)
     parts = child_summary(
-        _created_parts(st_pip_arc, part), ["ArchivePacketID"], "parts", ["trueArea", "nestedArea"], "partName"
-    )
-    parts_qty = _created_parts(st_pip_arc, part).groupBy("ArchivePacketID").agg(
-        F.sum(F.col("partQty").cast("long")).alias("parts_qty")
+        _created_parts(st_pip_arc, part), ["ArchivePacketID"], "parts", ["trueArea", "nestedArea"], "partName",
+        int_sums=["partQty"],
     )
     rems = child_summary(_remnant_rows(remnant), ["ProgramName", "RepeatID"], "remnants", ["area"])
-    j = (
-        heads.join(parts, "ArchivePacketID", "left")
-        .join(parts_qty, "ArchivePacketID", "left")
-        .join(rems, ["ProgramName", "RepeatID"], "left")
-    )
+    j = heads.join(parts, "ArchivePacketID", "left").join(rems, ["ProgramName", "RepeatID"], "left")
     created = F.col("state") == "created"
 
     def only_created(c, default=None):
@@ -272,7 +265,7 @@ def feedback_summary(
         only_created("SheetName").alias("SheetName"),
         only_created("MaterialMaster").alias("MaterialMaster"),
         only_created("parts_n", 0).alias("parts_n"),
-        only_created("parts_qty", 0).alias("parts_qty"),
+        only_created("parts_partQty", 0).alias("parts_qty"),
         only_created("parts_trueArea", 0.0).alias("parts_true_area"),
         only_created("parts_nestedArea", 0.0).alias("parts_nested_area"),
         only_created("parts_min_partName").alias("parts_first"),

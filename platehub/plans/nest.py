@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions.text import shipment_int
 from ..operators.dedup import first_per_key, last_per_key
-from ..operators.documents import DEFAULT_PAGE_SIZE, child_arrays, exact_sum, paged_children, attach_pages
+from ..operators.documents import DEFAULT_PAGE_SIZE, attach_pages, exact_sum, paged_children
 
 NEST_PART_FIELDS = ["partName", "partQty", "job", "shipment", "trueArea", "nestedArea"]
 NEST_REMNANT_FIELDS = ["remnantName", "length", "width", "area"]

@@ -108,4 +108,5 @@ def stream_outbox_export(spark: SparkSession, v: Views) -> DataFrame:
         remnant=v.remnant,
     )
     q.awaitTermination()
-    return spark.read.json(f"{root}/docs").select("ArchivePacketID", "state")
+    docs = spark.read.schema("ArchivePacketID long, state string, batch long").json(f"{root}/docs")
+    return docs.select("ArchivePacketID", "state")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from platehub.operators.documents import exact_sum
+from platehub.operators.documents import child_arrays, exact_sum
 from platehub.plans import demand as dm
 from platehub.plans import feedback as fb
 from platehub.plans import nest as ns
@@ -84,7 +84,7 @@ def test_nest_documents_agree_with_summary_and_paging(spark, views):
     one = ns.nest_documents(v.program, v.pip, v.part_wo, v.stock, v.remnant, program_name="PRG1")
     assert one.count() <= 1
     paged = ns.nest_parts(v.pip, v.part_wo)
-    arr = ns.child_arrays(paged.drop("WONumber"), ["ProgramName"], ns.NEST_PART_FIELDS, "parts", page_size=2)
+    arr = child_arrays(paged.drop("WONumber"), ["ProgramName"], ns.NEST_PART_FIELDS, "parts", page_size=2)
     n = arr.select(F.explode("parts")).count()
     assert n == paged.count()
 
