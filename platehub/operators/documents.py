@@ -5,7 +5,9 @@ shuffle on the key, then sorted (D5: deterministic arrays).  To keep a hot
 parent from pulling an unbounded list into one task, children can be paged:
 each parent's children are spread over ``ceil(n / page_size)`` pages by a
 hash of the child, and every (parent, page) is its own group, so the work for
-a parent holding a third of the rows is split over many tasks.
+a parent holding a third of the rows is split over many tasks.  Page counts
+are estimated from the first grouping pass itself, so the child plan is
+computed once.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_PAGE_SIZE = 50_000
+# Hash buckets per parent in the first grouping pass; a sub-list holds about
+# n / DEFAULT_BUCKETS children of a parent with n children.
+DEFAULT_BUCKETS = 16_384
 
 
 def child_arrays(
@@ -22,21 +27,30 @@ def child_arrays(
     fields: list[str],
     name: str,
     page_size: int | None = None,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """``keys [, page], name: array<struct<fields>>`` sorted by the fields.
 
-    With ``page_size`` set, output has a ``page`` column and each array has
-    about ``page_size`` entries at most; without it, one row per key.
+    Without ``page_size``: one row per key.  With it, in one pass over the
+    children: (1) group by (key, hash bucket of the child) into sub-lists --
+    a hot key is spread over ``buckets`` groups; (2) hashing is uniform, so a
+    sub-list of ``c`` children estimates its key's total as ``c * buckets``
+    and places itself on page ``floor(h * pages / buckets)`` with ``pages =
+    ceil(c * buckets / page_size)``, no second pass or join needed; (3) group
+    by (key, page) and flatten the sub-lists.  Every child lands in exactly
+    one page; pages hold about ``page_size`` children for hot keys and all
+    children of a small key land on page 0.
     """
     item = F.struct(*[F.col(f) for f in fields])
     if page_size is None:
         return children.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias(name))
-    counts = children.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    pages = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(page_size))).cast("long")
-    paged = children.join(counts, keys, "inner").withColumn(
-        "page", F.pmod(F.xxhash64(*[F.col(f) for f in fields]), pages)
+    h = F.pmod(F.xxhash64(*[F.col(f) for f in fields]), F.lit(buckets))
+    subs = children.groupBy(*keys, h.alias("__h")).agg(
+        F.collect_list(item).alias("__sub"), F.count(F.lit(1)).alias("__c")
     )
-    return paged.groupBy(*keys, "page").agg(F.array_sort(F.collect_list(item)).alias(name))
+    pages = F.greatest(F.lit(1), F.ceil(F.col("__c") * F.lit(buckets) / F.lit(page_size))).cast("long")
+    placed = subs.withColumn("page", F.floor(F.col("__h") * pages / F.lit(buckets)).cast("long"))
+    return placed.groupBy(*keys, "page").agg(F.array_sort(F.flatten(F.collect_list("__sub"))).alias(name))
 
 
 def paged_children(
