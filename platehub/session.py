@@ -26,6 +26,10 @@ SCALE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.files.maxPartitionBytes": "256MB",
+    # Start wide and let AQE coalesce toward the advisory size: at 100 TB a
+    # fixed 200 would give partitions far beyond executor memory, while
+    # coalescing makes an over-wide start cheap for small stages.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4096",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
@@ -34,6 +38,11 @@ SCALE_CONF = {
 }
 
 
+# Default shuffle width for cluster sessions (stateful streams keep the width
+# of their first run, so it is set up front rather than left to AQE).
+CLUSTER_SHUFFLE_PARTITIONS = 4096
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "platehub",
@@ -45,8 +54,11 @@ def build_session(
         builder = builder.master(master)
     for key, value in SCALE_CONF.items():
         builder = builder.config(key, value)
+    builder = builder.config(
+        "spark.sql.shuffle.partitions", str(shuffle_partitions if shuffle_partitions is not None else CLUSTER_SHUFFLE_PARTITIONS)
+    )
     if shuffle_partitions is not None:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
