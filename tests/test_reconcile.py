@@ -324,3 +324,24 @@ def test_null_event_add_closes_later_gates_literally(spark, literal):
     assert _spark_rows(got, DEMAND_COLS) == _sim_rows(want, DEMAND_COLS)
     kinds = sorted(r.TransType for r in got.collect())
     assert kinds == (["SN81"] if literal else ["SN81", "SN82"])
+
+
+def test_queue_invariants_on_proxy_data(spark, views):
+    from pyspark.sql import functions as F
+
+    v = views
+    out = reconcile_demand(v.demand_events, v.part_wo, v.pip, v.slab_part_alloc, v.config, v.trans_act)
+    new = out.where(F.col("Ordinal").isNotNull())
+    adds = new.where(F.col("Ordinal") % 2 == 1)
+    # at most one surviving add per (work order, part, event)
+    assert adds.groupBy("OrderNo", "ItemName", "ItemData18").count().where("count > 1").count() == 0
+    # the gate opens once per event: all removals of an event come from one call
+    rem = new.where(F.col("Ordinal") % 2 == 0)
+    assert rem.groupBy("ItemData18").agg(F.countDistinct("Ordinal").alias("n")).where("n > 1").count() == 0
+    # pre-existing rows are never touched (their keys are NULL)
+    assert out.where(F.col("Ordinal").isNull()).count() == v.trans_act.count()
+    inv = reconcile_inventory(v.inventory_events, v.stock, v.slab_sheet_alloc, v.config, v.trans_act)
+    inv_adds = inv.where(F.col("Ordinal") % 2 == 1)
+    # inventory: the last add per sheet evicts every earlier row of that sheet
+    last = inv_adds.groupBy("ItemName").agg(F.max("Ordinal").alias("m"))
+    assert inv.join(last, "ItemName").where(F.col("Ordinal") < F.col("m")).count() == 0
