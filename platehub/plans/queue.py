@@ -85,7 +85,11 @@ def with_column_defaults(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     return df
 
 
-def compact(existing: DataFrame, new_rows: DataFrame, adds: DataFrame, keys: list[str]) -> DataFrame:
+BATCH_FLAG = "__batch"
+
+
+def compact(existing: DataFrame, new_rows: DataFrame, adds: DataFrame, keys: list[str],
+            flag_new: bool = False) -> DataFrame:
     """Next queue version: ``existing`` rows (already in the queue before the
     batch) plus ``new_rows`` (removals and adds of the batch), minus rows
     superseded by a later add with the same non-NULL key.  Existing rows are
@@ -95,4 +99,9 @@ def compact(existing: DataFrame, new_rows: DataFrame, adds: DataFrame, keys: lis
         new_rows.withColumn("__cmp", F.col("Ordinal"))
     )
     writes = adds.withColumn("__cmp", F.col("Ordinal"))
-    return survivors_after_later_writes(rows, writes, keys, "__cmp").drop("__cmp")
+    out = survivors_after_later_writes(rows, writes, keys, "__cmp")
+    if flag_new:
+        # rows staged by this batch: lets a bucketed store rewrite only the
+        # buckets the batch touched
+        out = out.withColumn(BATCH_FLAG, F.col("__cmp").isNotNull())
+    return out.drop("__cmp")

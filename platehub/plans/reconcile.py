@@ -132,8 +132,11 @@ def reconcile_demand(
     config: DataFrame,
     trans_act: DataFrame,
     literal: bool = False,
+    flag_new: bool = False,
 ) -> DataFrame:
-    """Next version of the queue after a batch of demand calls."""
+    """Next version of the queue after a batch of demand calls.
+    ``flag_new`` adds a boolean ``__batch`` column marking rows staged by
+    this batch."""
     calls = _prepare_calls(calls, DEMAND_OPTIONAL)
     cfg = district_by_system(config)
     adds = demand_adds(calls, slab_part_alloc, cfg, literal)
@@ -165,7 +168,8 @@ def reconcile_demand(
             (F.col("seq") * 2).alias("Ordinal"),
         )
     )
-    return compact(conform(trans_act), removals.unionByName(adds), adds, ["OrderNo", "ItemName", "ItemData18"])
+    return compact(conform(trans_act), removals.unionByName(adds), adds, ["OrderNo", "ItemName", "ItemData18"],
+                   flag_new)
 
 
 def reconcile_inventory(
@@ -175,6 +179,7 @@ def reconcile_inventory(
     config: DataFrame,
     trans_act: DataFrame,
     literal: bool = False,
+    flag_new: bool = False,
 ) -> DataFrame:
     """Next version of the queue after a batch of inventory calls."""
     calls = _prepare_calls(calls, INVENTORY_OPTIONAL)
@@ -232,7 +237,7 @@ def reconcile_inventory(
             (F.col("seq") * 2).alias("Ordinal"),
         )
     )
-    return compact(conform(trans_act), removals.unionByName(adds), adds, ["ItemName"])
+    return compact(conform(trans_act), removals.unionByName(adds), adds, ["ItemName"], flag_new)
 
 
 def gate_not_in_literal(calls: DataFrame, trans_act: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from ..plans.reconcile import reconcile_demand
 from ..sources.views import Views
 from .intake import (
     DEMAND_CALL_SCHEMA,
-    QueueStore,
+    BucketedQueueStore,
     call_stream,
     first_call_per_event,
     scratch_dir,
@@ -36,13 +36,13 @@ def land(df: DataFrame, path: str, files: int | None = None) -> str:
 
 
 def _reconcile(calls, trans_act, part, pip, alloc, config):
-    return reconcile_demand(calls, part, pip, alloc, config, trans_act)
+    return reconcile_demand(calls, part, pip, alloc, config, trans_act, flag_new=True)
 
 
 def stream_demand_intake(spark: SparkSession, v: Views) -> DataFrame:
     root = scratch_dir(spark, "demand-intake")
     src = land(v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames()), f"{root}/calls")
-    store = QueueStore(spark, f"{root}/queue", v.trans_act)
+    store = BucketedQueueStore(spark, f"{root}/queue", v.trans_act)
     q = start_intake(
         call_stream(spark, src, DEMAND_CALL_SCHEMA),
         store,
