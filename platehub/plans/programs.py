@@ -64,9 +64,13 @@ def stage_completion(
     trans_act: DataFrame,
     order_col: str = "post_seq",
     max_rows_per_task: int = DEFAULT_MAX_ROWS_PER_TASK,
+    literal: bool = False,
 ) -> DataFrame:
     """SN70 rows for programs posted ``Complete`` (C11).
 
+    ``literal``: the original insert is not valid SQL as written, its error
+    is only logged, so nothing is staged (D4).
+
     Intended rule (D4): the k-th Complete post of a program completes its
     k-th lowest repeat that has no staged SN70 yet; extra posts find no open
     repeat and stage nothing.  Both sides are ranked per program with the
@@ -82,6 +86,13 @@ def stage_completion(
         staged,
         [("ProgramName", "ProgramName"), ("RepeatID", "ProgramRepeat")],
     )
+    if literal:
+        return completes.limit(0).select(
+            F.lit(codes.PROGRAM_COMPLETE).alias("TransType"),
+            F.lit(1).cast("int").alias("District"),
+            "ProgramName",
+            F.lit(None).cast("int").alias("ProgramRepeat"),
+        )
     k_post = row_number_within(completes, ["ProgramName"], order_col, "k", max_rows_per_task)
     k_rep = row_number_within(open_rep, ["ProgramName"], "RepeatID", "k", max_rows_per_task)
     return k_post.join(k_rep, ["ProgramName", "k"], "inner").select(

@@ -220,3 +220,28 @@ def test_point_lookups_and_named_queries(spark, views, tmp_path):
     p = tmp_path / "sheet.csv"
     p.write_text("event_id,part,qty,unused,shipment\nE1,1230039B-G12A-A1,10.0,,1.0\n")
     assert ingest_spreadsheet_demand(read_spreadsheet_csv(spark, str(p))).first().OrderNo == "1230039B-1-main"
+
+
+def test_bom_lookup_case_insensitive_first_match(spark):
+    from platehub.plans.bom import bom_lookup
+
+    bom = spark.createDataFrame(
+        [(1, 0, "X10b", 1), (1, 0, "x10B", 2), (1, 0, "X11", 3), (2, 0, "X10B", 4)],
+        "job int, shipment int, mark string, qty int",
+    )
+    assert bom_lookup(bom, 1, 0).count() == 3
+    hit = bom_lookup(bom, 1, 0, mark="X10B").collect()
+    assert len(hit) == 1 and hit[0].mark.lower() == "x10b" and hit[0].job == 1
+    assert bom_lookup(bom, 1, 0, mark="nope").count() == 0
+
+
+def test_export_order_newest_first(spark, views):
+    v = views
+    docs = fb.feedback_documents(v.st_prg_arc, v.stock, v.st_pip_arc, v.part_wo, v.remnant)
+    ids = [r.AutoID for r in fb.export_order(docs).select("AutoID").limit(5).collect()]
+    assert ids == sorted(ids, reverse=True)
+
+
+def test_completion_literal_stages_nothing(spark, views):
+    v = views
+    assert pg.stage_completion(v.program_state_events, v.program, v.trans_act, literal=True).count() == 0

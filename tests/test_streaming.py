@@ -133,3 +133,25 @@ def test_bucketed_queue_store_rewrites_only_touched_buckets(spark, views):
     # later versions hold only some buckets
     written = spark.read.parquet(f"{root}/v=2").select("bucket").distinct().count()
     assert 0 < written <= 16
+
+
+def test_periodic_trigger(spark, views):
+    """The same intake with a processing-time trigger."""
+    from platehub.streaming.intake import start_intake
+
+    v = views
+    root = scratch_dir(spark, "t6-test")
+    v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames()).write.parquet(f"{root}/calls")
+    store = QueueStore(spark, f"{root}/queue", v.trans_act)
+
+    def rec(batch, trans_act, **t):
+        return reconcile_demand(batch, trans_act=trans_act, **t)
+
+    q = start_intake(call_stream(spark, f"{root}/calls", DEMAND_CALL_SCHEMA), store, rec, f"{root}/ck",
+                     trigger={"processingTime": "1 second"}, part=v.part_wo, pip=v.pip,
+                     slab_part_alloc=v.slab_part_alloc, config=v.config)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert store.current().count() > v.trans_act.count()
