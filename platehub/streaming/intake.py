@@ -32,7 +32,7 @@ DEMAND_CALL_SCHEMA = T.StructType(
         T.StructField("qty", T.IntegerType()),
         T.StructField("job", T.StringType()),
         T.StructField("event_type", T.StringType()),
-        T.StructField("ts", T.TimestampType()),
+        T.StructField("ts", T.TimestampNTZType()),
     ]
 )
 
@@ -212,5 +212,8 @@ def start_intake(
 
 def first_call_per_event(calls: DataFrame, watermark: str = "1 day", ts_col: str = "ts") -> DataFrame:
     """Once-per-event gate on a stream (T3): the first call of each event id
-    within the watermark; state is dropped once the watermark passes."""
+    within the watermark; state is dropped once the watermark passes.
+    Watermarks need a session-zone timestamp, so a local (NTZ) event time is
+    cast for it; it only decides when state is evicted."""
+    calls = calls.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
     return calls.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark(["sap_event_id"])
