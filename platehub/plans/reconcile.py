@@ -66,8 +66,10 @@ def _prepare_calls(calls: DataFrame, optional: dict[str, str]) -> DataFrame:
 
 def _touched(table: DataFrame, keys: list[tuple[str, str]], calls: DataFrame) -> DataFrame:
     """Rows of a large table whose key occurs in the call batch: a left-semi
-    join before any aggregation, so only the touched keys are shuffled."""
-    wanted = calls.select(*[F.col(c).alias(f"__w_{t}") for t, c in keys]).distinct()
+    join before any aggregation, so only the touched keys are shuffled.  A
+    semi join ignores duplicate keys, so the batch side is not de-duplicated
+    (no extra shuffle)."""
+    wanted = calls.select(*[F.col(c).alias(f"__w_{t}") for t, c in keys])
     cond = None
     for t, _ in keys:
         c = F.col(t) == F.col(f"__w_{t}")
