@@ -112,7 +112,8 @@ def snapshot_tables(tables: dict[str, DataFrame], root: str, ts: _dt.datetime |
     ts = ts or _dt.datetime.now(_dt.timezone.utc)
     folder = os.path.join(root, "snapshot_ts=" + ts.strftime("%Y%m%d_%H%M%S"))
     for name, df in tables.items():
-        df.write.mode("errorifexists").json(os.path.join(folder, f"table={name}"))
+        # overwrite: a retried snapshot job writes the same folder again
+        df.write.mode("overwrite").json(os.path.join(folder, f"table={name}"))
     return folder
 
 
