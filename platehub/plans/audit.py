@@ -119,3 +119,19 @@ def snapshot_tables(tables: dict[str, DataFrame], root: str, ts: _dt.datetime |
 
 def read_snapshot(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.json(os.path.join(folder, f"table={name}"))
+
+
+def diff_snapshots(spark: SparkSession, before: str, after: str, name: str, keys: list[str],
+                   schema: str | None = None) -> DataFrame:
+    """J16 between two K1 snapshots of one table: ``keys, status, values``.
+    Pass the table's DDL ``schema`` to skip JSON schema inference."""
+    from ..operators.changelog import snapshot_diff
+
+    def load(folder):
+        r = spark.read
+        if schema:
+            r = r.schema(schema)
+        return r.json(os.path.join(folder, f"table={name}"))
+
+    old, new = load(before), load(after)
+    return snapshot_diff(old, new, keys, [c for c in new.columns if c not in keys])

@@ -245,3 +245,19 @@ def test_export_order_newest_first(spark, views):
 def test_completion_literal_stages_nothing(spark, views):
     v = views
     assert pg.stage_completion(v.program_state_events, v.program, v.trans_act, literal=True).count() == 0
+
+
+def test_diff_between_two_snapshots(spark, views, tmp_path):
+    import datetime as dt
+
+    from platehub.plans.audit import diff_snapshots
+
+    stock = views.stock.select("SheetName", "PrimeCode", "Qty")
+    first = snapshot_tables({"stock": stock}, str(tmp_path), dt.datetime(2024, 1, 1))
+    changed = stock.where("Qty <> 0").withColumn("Qty", F.when(F.col("Qty") == 1, 99).otherwise(F.col("Qty")))
+    second = snapshot_tables({"stock": changed}, str(tmp_path), dt.datetime(2024, 1, 2))
+    d = diff_snapshots(spark, first, second, "stock", ["SheetName"], "SheetName string, PrimeCode string, Qty int")
+    counts = {r.status: r["count"] for r in d.groupBy("status").count().collect()}
+    assert counts.get("delete") == stock.where("Qty = 0").count()
+    assert counts.get("change") == stock.where("Qty = 1").count()
+    assert "add" not in counts
