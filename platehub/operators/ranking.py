@@ -26,6 +26,10 @@ from .joins import bounded_broadcast
 DEFAULT_MAX_ROWS_PER_TASK = 2_000_000
 MAX_HOT_KEYS = 100_000
 
+# Answers of the hot-key probe for immutable inputs, keyed by the caller
+# (e.g. input path + key + threshold), like table statistics computed once.
+_HOT_PROBES: dict[tuple, bool] = {}
+
 
 def row_number_within(
     df: DataFrame,
@@ -33,7 +37,11 @@ def row_number_within(
     order: str,
     out: str = "rn",
     max_rows_per_task: int = DEFAULT_MAX_ROWS_PER_TASK,
+    probe_key: tuple | None = None,
 ) -> DataFrame:
+    """``row_number()`` over ``partitionBy(keys).orderBy(order)``, split for
+    hot keys.  ``probe_key`` identifies an immutable input so the hot-key
+    probe runs once per process for it."""
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"), F.min(order).alias("__lo"), F.max(order).alias("__hi")
     )
@@ -41,7 +49,14 @@ def row_number_within(
     w = Window.partitionBy(*keys).orderBy(order)
     # a hot key holds more than max_rows_per_task rows, so there are at most
     # total_rows / max_rows_per_task hot keys: a bounded table
-    if hot.limit(1).count() == 0:
+    cache_key = None if probe_key is None else (*probe_key, tuple(keys), order, max_rows_per_task)
+    if cache_key is not None and cache_key in _HOT_PROBES:
+        any_hot = _HOT_PROBES[cache_key]
+    else:
+        any_hot = hot.limit(1).count() > 0
+        if cache_key is not None:
+            _HOT_PROBES[cache_key] = any_hot
+    if not any_hot:
         return df.withColumn(out, F.row_number().over(w))
 
     hot = hot.withColumn("__nb", (F.ceil(F.col("__n") / F.lit(max_rows_per_task)) * 2).cast("long"))

@@ -14,10 +14,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from ..operators.ranking import row_number_within
+from .tables import read_table, table_path
 
 
 def _s(c) -> Column:
@@ -65,8 +66,12 @@ class Views:
     # -- program outbox and programs ---------------------------------------
     @cached_property
     def st_prg_arc(self) -> DataFrame:
-        o = self.table("orders")
-        repeat = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+        # repeat number per customer, split over tasks if a customer is hot
+        o = row_number_within(
+            self.table("orders"), ["o_custkey"], "o_orderkey", "__repeat",
+            probe_key=(table_path(self.sf_dir, "orders"),),
+        )
+        repeat = F.col("__repeat")
         return o.select(
             F.col("o_orderkey").alias("AutoID"),
             F.col("o_orderkey").alias("ArchivePacketID"),
