@@ -26,12 +26,13 @@ def child_arrays(
     keys: list[str],
     fields: list[str],
     name: str,
-    page_size: int | None = None,
+    page_size: int | None = DEFAULT_PAGE_SIZE,
     buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """``keys [, page], name: array<struct<fields>>`` sorted by the fields.
 
-    Without ``page_size``: one row per key.  With it, in one pass over the
+    ``page_size=None`` (explicit opt-in, for keys known to be small): one
+    row per key.  By default, in one pass over the
     children: (1) group by (key, hash bucket of the child) into sub-lists --
     a hot key is spread over ``buckets`` groups; (2) hashing is uniform, so a
     sub-list of ``c`` children estimates its key's total as ``c * buckets``
