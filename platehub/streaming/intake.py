@@ -125,7 +125,7 @@ class BucketedQueueStore:
     holding it, or the initial rows of that bucket.  A large standing queue
     is therefore not rewritten by every batch."""
 
-    def __init__(self, spark: SparkSession, root: str, initial: DataFrame, buckets: int = 256):
+    def __init__(self, spark: SparkSession, root: str, initial: DataFrame, buckets: int = 64):
         from ..plans.queue import conform
 
         self.spark = spark
@@ -165,28 +165,56 @@ class BucketedQueueStore:
             base = base.unionByName(stored)
         return base
 
-    def write(self, version: int, df: DataFrame) -> None:
-        from ..plans.queue import BATCH_FLAG
+    def _touched_buckets(self, items: DataFrame) -> list[int]:
+        # at most `buckets` small ints reach the driver
+        return [r[0] for r in items.select(self.bucket_of(items).alias("b")).distinct().collect()]
 
-        b = df.withColumn("bucket", self.bucket_of(df))
-        touched = b.where(F.col(BATCH_FLAG)).select("bucket").distinct()
-        (
-            b.join(F.broadcast(touched), "bucket", "left_semi")
-            .drop(BATCH_FLAG)
-            .write.mode("overwrite")
-            .partitionBy("bucket")
-            .parquet(f"{self.root}/v={version}")
-        )
+    def write(self, version: int, df: DataFrame, touched_items: DataFrame | None = None) -> None:
+        """Write the buckets of ``df`` (the next queue) that this batch touched.
 
+        ``touched_items``: a DataFrame with an ``ItemName`` column covering
+        every item the batch may stage or evict (a superset is fine; a subset
+        would lose changes) -- e.g. the part names of a demand batch.  Without
+        it the touched buckets are read off the result's batch flag, which
+        needs the result twice, so it is persisted for the batch."""
+        from pyspark import StorageLevel
 
-def reconcile_batches(store: QueueStore, reconcile, **tables):
+        from ..plans.queue import BATCH_FLAG
+
+        b = df.withColumn("bucket", self.bucket_of(df))
+        cached = None
+        if touched_items is not None:
+            touched = self._touched_buckets(touched_items)
+        else:
+            cached = b = b.persist(StorageLevel.MEMORY_AND_DISK)
+            touched = [r[0] for r in b.where(F.col(BATCH_FLAG)).select("bucket").distinct().collect()]
+        try:
+            out = b.where(F.col("bucket").isin(*touched)) if touched else b.limit(0)
+            (
+                out.drop(BATCH_FLAG)
+                .repartition("bucket")  # one writer per bucket: one file per touched bucket
+                .write.mode("overwrite")
+                .partitionBy("bucket")
+                .parquet(f"{self.root}/v={version}")
+            )
+        finally:
+            if cached is not None:
+                cached.unpersist()
+
+
+def reconcile_batches(store, reconcile, touched_items=None, **tables):
     """``foreachBatch`` function: reconcile one micro-batch of calls against
-    the queue version left by the previous batch (T1)."""
+    the queue version left by the previous batch (T1).  ``touched_items``
+    (batch -> DataFrame with ``ItemName``) lets a bucketed store find the
+    buckets to rewrite from the batch itself."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         queue = store.current(before=batch_id)
         nxt = reconcile(batch, trans_act=queue, **tables)
-        store.write(batch_id, nxt)
+        if touched_items is not None:
+            store.write(batch_id, nxt, touched_items(batch))
+        else:
+            store.write(batch_id, nxt)
 
     return run
 
@@ -197,13 +225,14 @@ def start_intake(
     reconcile,
     checkpoint: str,
     trigger: dict | None = None,
+    touched_items=None,
     **tables,
 ):
     """Start the intake query; ``trigger`` defaults to availableNow (T6:
     pass ``{"processingTime": "5 minutes"}`` for the periodic refresh)."""
     trigger = trigger or {"availableNow": True}
     return (
-        calls.writeStream.foreachBatch(reconcile_batches(store, reconcile, **tables))
+        calls.writeStream.foreachBatch(reconcile_batches(store, reconcile, touched_items, **tables))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -9,6 +9,7 @@ a batch DataFrame.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.reconcile import reconcile_demand
 from ..sources.views import Views
@@ -39,6 +40,11 @@ def _reconcile(calls, trans_act, part, pip, alloc, config):
     return reconcile_demand(calls, part, pip, alloc, config, trans_act, flag_new=True)
 
 
+def _demand_items(batch: DataFrame) -> DataFrame:
+    # every row a demand batch stages or evicts carries one of its part names
+    return batch.select(F.col("part_name").alias("ItemName"))
+
+
 def stream_demand_intake(spark: SparkSession, v: Views) -> DataFrame:
     root = scratch_dir(spark, "demand-intake")
     src = land(v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames()), f"{root}/calls")
@@ -48,6 +54,7 @@ def stream_demand_intake(spark: SparkSession, v: Views) -> DataFrame:
         store,
         _reconcile,
         f"{root}/_checkpoint",
+        touched_items=_demand_items,
         part=v.part_wo,
         pip=v.pip,
         alloc=v.slab_part_alloc,

@@ -120,14 +120,19 @@ def test_bucketed_queue_store_rewrites_only_touched_buckets(spark, views):
     store = BucketedQueueStore(spark, root, v.trans_act, buckets=16)
     step = reconcile_batches(store, rec, **tables)
     seqs = sorted(r.seq for r in calls.select("seq").collect())
+    root2 = scratch_dir(spark, "t1-bucketed-items")
+    store2 = BucketedQueueStore(spark, root2, v.trans_act, buckets=16)
+    step2 = reconcile_batches(store2, rec, lambda b: b.select(F.col("part_name").alias("ItemName")), **tables)
     cuts = [seqs[len(seqs) // 3], seqs[2 * len(seqs) // 3]]
     parts = [calls.where(F.col("seq") <= cuts[0]),
              calls.where((F.col("seq") > cuts[0]) & (F.col("seq") <= cuts[1])),
              calls.where(F.col("seq") > cuts[1])]
     for i, p in enumerate(parts):
         step(p, i)
+        step2(p, i)
     cols = ["TransType", "TransID", "OrderNo", "ItemName", "Qty", "ItemData18", "Ordinal", "ProgramName"]
     assert rows(store.current(), cols) == rows(one, cols)
+    assert rows(store2.current(), cols) == rows(one, cols)
     step(parts[2], 2)  # replay of the last batch after a failure
     assert rows(store.current(), cols) == rows(one, cols)
     # later versions hold only some buckets
