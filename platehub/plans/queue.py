@@ -54,13 +54,18 @@ CONFIG_MAX_ROWS = 10_000
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Project onto the queue schema; absent columns become typed NULLs."""
-    return df.select(
-        *[
-            (F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
-            for c, t in QUEUE_COLUMNS.items()
-        ]
-    )
+    """Project onto the queue schema; absent columns become typed NULLs and
+    only columns of another type are cast."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    cols = []
+    for c, t in QUEUE_COLUMNS.items():
+        if c not in have:
+            cols.append(F.lit(None).cast(t).alias(c))
+        elif have[c] == {"long": "bigint"}.get(t, t):
+            cols.append(F.col(c))
+        else:
+            cols.append(F.col(c).cast(t).alias(c))
+    return df.select(*cols)
 
 
 def district_by_system(config: DataFrame) -> DataFrame:
