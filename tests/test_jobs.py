@@ -261,3 +261,70 @@ def test_diff_between_two_snapshots(spark, views, tmp_path):
     assert counts.get("delete") == stock.where("Qty = 0").count()
     assert counts.get("change") == stock.where("Qty = 1").count()
     assert "add" not in counts
+
+
+CONFIG_ROWS = [("AAA", 1, "/dxf/remnants/<sheet_name>.dxf")]
+ICALLS = "seq long, sap_system string, sheet_name string, sheet_type string, qty int, mm string, matl string"
+
+
+def test_stock_scenarios(spark):
+    """Batch level, sheet to remnant, remnant changes MM, destructive import."""
+    config = spark.createDataFrame(CONFIG_ROWS, "SapSystem string, SimTransDistrict int, RemnantDxfTemplate string")
+    mm = "50/50W-0012"
+    # batch level: the one sheet of 12 becomes 11 + a separate batch of 1
+    feed = spark.createDataFrame([(1, "AAA", mm, "Sheet", 11, mm, "MS"), (2, "AAA", "S001", "Sheet", 1, mm, "MS")],
+                                 ICALLS)
+    out = dm.overlay_stock(feed, config)
+    assert rows(out, ["Phase", "TransType", "ItemName", "Qty"]) == [
+        (0, "SN95", None, None), (0, "SN95R", None, None), (1, "SN91A", mm, 11), (1, "SN91A", "S001", 1)]
+    # sheet to remnant: a remnant row with its file name
+    feed2 = feed.unionByName(spark.createDataFrame([(3, "AAA", "R008", "Remnant", 1, mm, "MS")], ICALLS))
+    r = dm.overlay_stock(feed2, config).where("ItemName = 'R008'").first()
+    assert (r.TransType, r.FileName) == ("SN97", "/dxf/remnants/R008.dxf")
+    # remnant changes MM: the later call wins
+    feed3 = feed2.unionByName(spark.createDataFrame([(4, "AAA", "R008", "Remnant", 1, "9-MS-0012", "MS")], ICALLS))
+    assert dm.overlay_stock(feed3, config).where("ItemName = 'R008'").first().PrimeCode == "9-MS-0012"
+    # destructive import: attributes that are not in the feed do not survive a reload
+    assert "SpecialInstruction" not in dm.overlay_stock(feed3, config).columns
+
+
+def test_demand_overlay_scenario(spark):
+    part = spark.createDataFrame(
+        [(p, "1230039B-1-G", q, 0) for p, q in
+         [("1230039B_X5K", 3), ("1230039B_X10B", 1), ("1230039B_X11F", 1), ("1230039B_X13C", 2),
+          ("1230039B_X13F", 1), ("1230039B_X15F", 9)]], PART)
+    # X10B has nothing completed and nothing in process: its order drops to 0
+    ip = spark.createDataFrame([(p, "1230039B-1-G", q) for p, q in
+                                [("1230039B_X5K", 3), ("1230039B_X10B", 0), ("1230039B_X11F", 16),
+                                 ("1230039B_X13C", 2), ("1230039B_X13F", 1), ("1230039B_X15F", 9)]],
+                               "PartName string, WONumber string, QtyInProcess int")
+    calls = spark.createDataFrame(
+        [(i, "1230039B-1-G", p, q, "1230039B") for i, (p, q) in enumerate(
+            [("1230039B_X5K", 3), ("1230039B_X11F", 16), ("1230039B_X13C", 2), ("1230039B_X13F", 1),
+             ("1230039B_X15F", 9)])],
+        "seq long, work_order string, part_name string, qty int, job string")
+    out = dm.overlay_demand(part, ip, calls)
+    got = rows(out, ["Phase", "TransType", "ItemName"])
+    assert got[0] == (0, "SN82", "1230039B_X10B")
+    assert [g[1] for g in got if g[0] == 1] == ["SN89I"]
+    reload = [g[2] for g in got if g[0] == 2]
+    assert len(reload) == 5 and "1230039B_X10B" not in reload
+
+
+def test_batch_grouping_ten_groups(spark, tmp_path):
+    sizes = [("9006", 13), ("9008", 8), ("9010", 8), ("9012", 12), ("9100", 3), ("9108", 4)]
+    lines, n = ["id,mm,sheet_name,remnant"], 502899
+    for mm, k in sizes:
+        for _ in range(k):
+            lines.append(f"{n:010d},50/50W-{mm},50/50W-{mm},N")
+            n += 1
+    for i in range(1, 5):
+        lines.append(f"{n:010d},50/50W-9100,SBX0{i},Y")
+        n += 1
+    p = tmp_path / "b.csv"
+    p.write_text("\n".join(lines) + "\n")
+    raw = spark.read.schema("id string, mm string, sheet_name string, remnant string").option("header", True).csv(str(p))
+    got = {r.sheet_name: r.batches for r in ns.batches_by_sheet(raw).collect()}
+    assert len(got) == 10 and len(lines) - 1 == 52
+    assert [got[f"50/50W-{mm}"] for mm, _ in sizes] == [k for _, k in sizes]
+    assert all(got[f"SBX0{i}"] == 1 for i in range(1, 5))
