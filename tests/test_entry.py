@@ -41,3 +41,12 @@ def test_nested_documents_have_one_page_per_key_here(spark):
     qs = entry.queries()
     assert qs["feedback_documents_nested"](spark, SF).count() == qs["feedback_documents"](spark, SF).count()
     assert qs["nest_documents_nested"](spark, SF).count() == qs["nest_documents"](spark, SF).count()
+
+
+def test_cli_lists_and_rejects_unknown(capsys):
+    from platehub.__main__ import main
+
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out
+    assert "open_programs_by_machine" in out and "stream_program_state  (no SQL twin)" in out
+    assert main(["run", "no_such_query"]) == 2
