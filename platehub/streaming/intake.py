@@ -240,8 +240,10 @@ def start_intake(
 
 
 def first_call_per_event(calls: DataFrame, watermark: str = "1 day", ts_col: str = "ts") -> DataFrame:
-    """Once-per-event gate on a stream (T3): the first call of each event id
-    within the watermark; state is dropped once the watermark passes.
+    """Once-per-event gate on a stream (T3): one call per event id within the
+    watermark (the first to arrive; inside one micro-batch, any one of that
+    batch's calls -- the batch reconciliation picks the lowest ``seq``
+    itself); state is dropped once the watermark passes.
     Watermarks need a session-zone timestamp, so a local (NTZ) event time is
     cast for it; it only decides when state is evicted."""
     calls = calls.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
