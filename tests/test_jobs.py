@@ -328,3 +328,14 @@ def test_batch_grouping_ten_groups(spark, tmp_path):
     assert len(got) == 10 and len(lines) - 1 == 52
     assert [got[f"50/50W-{mm}"] for mm, _ in sizes] == [k for _, k in sizes]
     assert all(got[f"SBX0{i}"] == 1 for i in range(1, 5))
+
+
+def test_cached_batches_view(spark, tmp_path):
+    from platehub.sources.batches import cached_batches
+
+    p = tmp_path / "c.csv"
+    p.write_text("id,mm,sheet_name,remnant\n0000000001,M,S,N\n0000000002,M,S,Y\n")
+    df = cached_batches(spark, str(p), view="batches_test")
+    assert df.is_cached
+    assert spark.sql("SELECT count(*) AS n FROM batches_test").first().n == 2
+    df.unpersist()

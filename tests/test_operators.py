@@ -150,3 +150,13 @@ def test_stage_completion_with_hot_program(spark):
     reps = sorted(r.ProgramRepeat for r in got.where("ProgramName = 'P'").collect())
     assert reps == [1] + list(range(3, 122))
     assert got.where("ProgramName = 'Q'").count() == 1
+
+
+def test_assert_required_fails_the_job(spark):
+    from platehub.operators.quality import assert_required
+
+    ok = spark.createDataFrame([("a", 1)], "n string, q int")
+    assert assert_required(ok, ["n", "q"]).count() == 1
+    bad = spark.createDataFrame([("a", None)], "n string, q int")
+    with pytest.raises(Exception):
+        assert_required(bad, ["n", "q"]).collect()
