@@ -30,7 +30,9 @@ def assert_required(df: DataFrame, required: list[str]) -> DataFrame:
     cond = F.lit(True)
     for c in required:
         cond = cond & F.col(c).isNotNull()
-    return df.withColumn("__ok", F.assert_true(cond, "required field is NULL")).drop("__ok")
+    # inside a filter, so column pruning cannot remove the check
+    # (assert_true yields NULL when the condition holds)
+    return df.where(F.assert_true(cond, "required field is NULL").isNull())
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
