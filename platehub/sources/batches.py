@@ -21,7 +21,10 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
         .option("enforceSchema", False)
         .csv(path)
     )
-    return raw.select("id", "mm", "sheet_name", codes.batch_type(F.col("remnant")).alias("type"))
+    typed = raw.select("id", "mm", "sheet_name", codes.batch_type(F.col("remnant")).alias("type"))
+    # a filter keeps the decode (and its failure on unknown codes) even when a
+    # caller does not select ``type``; it never drops a row
+    return typed.where(F.col("type").isNotNull())
 
 
 def cached_batches(spark: SparkSession, path: str, view: str = "batches") -> DataFrame:

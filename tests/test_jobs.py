@@ -339,3 +339,10 @@ def test_cached_batches_view(spark, tmp_path):
     assert df.is_cached
     assert spark.sql("SELECT count(*) AS n FROM batches_test").first().n == 2
     df.unpersist()
+
+
+def test_bad_batch_code_fails_even_without_type_column(spark, tmp_path):
+    bad = tmp_path / "bad2.csv"
+    bad.write_text("id,mm,sheet_name,remnant\n0000000001,M,S,N\n0000000002,M,S,Q\n")
+    with pytest.raises(Exception):
+        read_batches(spark, str(bad)).select("id").collect()
