@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--out", help="write the result here")
     run.add_argument("--format", default="parquet", choices=["parquet", "json"])
     run.add_argument("--show", type=int, default=0, help="print at most N rows")
+    run.add_argument("--master", help="Spark master, e.g. local[8] (default: from the environment)")
+    run.add_argument("--shuffle-partitions", type=int, help="initial shuffle width (cluster default 4096)")
     args = ap.parse_args(argv)
 
     if args.cmd == "list":
@@ -38,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from .session import build_session
 
-    spark = build_session()
+    spark = build_session(master=args.master, shuffle_partitions=args.shuffle_partitions)
     df = run_named(QUERIES, args.name, spark, args.sf)
     if args.out:
         df.write.mode("overwrite").format(args.format).save(args.out)
