@@ -346,3 +346,16 @@ def test_bad_batch_code_fails_even_without_type_column(spark, tmp_path):
     bad.write_text("id,mm,sheet_name,remnant\n0000000001,M,S,N\n0000000002,M,S,Q\n")
     with pytest.raises(Exception):
         read_batches(spark, str(bad)).select("id").collect()
+
+
+def test_duplicate_config_rows_pick_smallest_district(spark):
+    from platehub.plans.queue import district_by_system
+
+    config = spark.createDataFrame([("AAA", 9, "/b/<sheet_name>"), ("AAA", 3, "/a/<sheet_name>"), ("BBB", 5, None)],
+                                   "SapSystem string, SimTransDistrict int, RemnantDxfTemplate string")
+    got = rows(district_by_system(config), ["cfg_system", "cfg_district", "cfg_template"])
+    assert got == [("AAA", 3, "/a/<sheet_name>"), ("BBB", 5, None)]
+    events = spark.createDataFrame([("AAA", "00000000000000000042", 11)],
+                                   "sap_system string, sap_event_id string, archive_packet_id int")
+    program = spark.createDataFrame([("P1", 1, 11)], "ProgramName string, RepeatID int, ArchivePacketID int")
+    assert rows(pg.stage_program_update(events, program, config), ["District"]) == [(3,)]
