@@ -359,3 +359,13 @@ def test_duplicate_config_rows_pick_smallest_district(spark):
                                    "sap_system string, sap_event_id string, archive_packet_id int")
     program = spark.createDataFrame([("P1", 1, 11)], "ProgramName string, RepeatID int, ArchivePacketID int")
     assert rows(pg.stage_program_update(events, program, config), ["District"]) == [(3,)]
+
+
+def test_snapshot_diff_applies_on_proxy_stock(spark, views):
+    from platehub.operators.changelog import apply_diff, snapshot_diff
+    from platehub.plans.registry import _STOCK_VALUES, _stock_versions
+
+    old, new = _stock_versions(views)
+    diff = snapshot_diff(old, new, ["SheetName"], _STOCK_VALUES)
+    cols = ["SheetName", *_STOCK_VALUES]
+    assert rows(apply_diff(old.select(*cols), diff, ["SheetName"]), cols) == rows(new.select(*cols), cols)
