@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from .chat import OP4_SQL, op4_chat
+from .host_rules import OP6_SQL, op6_host_rules
+from .licenses import OP2_SQL, op2_licenses
 
 QUERIES = {
+    "op2_licenses": op2_licenses,
     "op4_chat": op4_chat,
+    "op6_host_rules": op6_host_rules,
 }
 ORACLE = {
+    "op2_licenses": OP2_SQL,
     "op4_chat": OP4_SQL,
+    "op6_host_rules": OP6_SQL,
 }
