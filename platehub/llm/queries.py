@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import OP4_SQL, op4_chat
 from .host_rules import OP6_SQL, op6_host_rules
+from .jaccard import OP5_SQL, op5_jaccard
 from .licenses import OP2_SQL, op2_licenses
 from .link_graph import op9_link_graph
 from .quality import op1_quality
@@ -12,11 +13,13 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
     "op4_chat": op4_chat,
+    "op5_jaccard": op5_jaccard,
     "op6_host_rules": op6_host_rules,
     "op9_link_graph": op9_link_graph,
 }
 ORACLE = {
     "op2_licenses": OP2_SQL,
     "op4_chat": OP4_SQL,
+    "op5_jaccard": OP5_SQL,
     "op6_host_rules": OP6_SQL,
 }
