@@ -7,11 +7,13 @@ from .host_rules import OP6_SQL, op6_host_rules
 from .jaccard import OP5_SQL, op5_jaccard
 from .licenses import OP2_SQL, op2_licenses
 from .link_graph import op9_link_graph
+from .mixing import OP3_SQL, op3_mixing
 from .quality import op1_quality
 
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
+    "op3_mixing": op3_mixing,
     "op4_chat": op4_chat,
     "op5_jaccard": op5_jaccard,
     "op6_host_rules": op6_host_rules,
@@ -19,6 +21,7 @@ QUERIES = {
 }
 ORACLE = {
     "op2_licenses": OP2_SQL,
+    "op3_mixing": OP3_SQL,
     "op4_chat": OP4_SQL,
     "op5_jaccard": OP5_SQL,
     "op6_host_rules": OP6_SQL,
