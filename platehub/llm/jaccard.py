@@ -35,23 +35,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
+from .packed import INDEX, PROBE, SCHEMA, Groups, Packer, buckets_for, rows, tagged
 from .scratch import Scratch
 from .tokens import U, byte_views, mix, shingles, word_hashes
 
 WORDS = 5
 THRESHOLD = Fraction(3, 4)
 SINGLETONS = 16
-#: Signatures in one bucket, about; a task sorts a bucket at a time.
-BUCKET = 1_000_000
-#: Signatures that a map task packs at a time.
-FLUSH = 1_500_000
 #: Identifiers or shingles that may be broadcast (8 bytes each).
 BROADCAST = 2_000_000
 #: Rounds of star-shaped follow-up before all untested pairs across components.
 STAR_ROUNDS = 3
 
-_MASK = U((1 << 40) - 1)
-
 
 class Plan:
     """Bands, segments and allowances for a threshold."""
@@ -80,9 +75,6 @@ class Plan:
         return int(self.missing * n) + 1
 
 
-INDEX, PROBE = 1, 2
-
-
 def signatures(sets: np.ndarray, plan: Plan) -> tuple[list[tuple[np.ndarray, int]], bool]:
     """Keys with their roles for one set, and whether it must be looked up by
     single shingles instead of probing."""
@@ -145,46 +137,15 @@ def signatures(sets: np.ndarray, plan: Plan) -> tuple[list[tuple[np.ndarray, int
     return out, short
 
 
-def _planes(x: np.ndarray, width: int) -> bytes:
-    """Bytes of the same significance together: the high ones compress away."""
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
-
-
-def _unplanes(raw: bytes, width: int) -> np.ndarray:
-    part = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
-    out = np.zeros((part.shape[1], 8), dtype=np.uint8)
-    out[:, :width] = part.T
-    return out.view("<u8").ravel()
-
-
-_PACKED = "bucket int, keys binary, ids binary"
 _SHORT = -1
 
 
 def _pack(buckets: int, words: int, plan: Plan):
     """(doc_id, text) -> packed signatures; sets seen before in the task are left out."""
 
-    def flush(keys: list, ids: list):
-        if not keys:
-            return None
-        key, idf = np.concatenate(keys), np.concatenate(ids)
-        bucket = (key >> U(40)) % U(buckets)
-        order = np.argsort(bucket, kind="stable")
-        key, idf, bucket = key[order], idf[order], bucket[order]
-        cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-        ends = np.append(cut[1:], len(key))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(bucket[cut].astype(np.int32)),
-                pa.array([_planes(key[a:b], 5) for a, b in zip(cut, ends)], pa.binary()),
-                pa.array([_planes(idf[a:b], 8) for a, b in zip(cut, ends)], pa.binary()),
-            ],
-            ["bucket", "keys", "ids"],
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        keys, ids, held, short = [], [], 0, []
+        packer, short = Packer(buckets), []
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for d, text in zip(doc, byte_views(batch.column(1))):
@@ -196,17 +157,13 @@ def _pack(buckets: int, words: int, plan: Plan):
                 found, late = signatures(s, plan)
                 if late:
                     short.append(d)
-                for k, role in found:
-                    keys.append(k)
-                    ids.append(np.full(len(k), (int(d) << 2 | role) & ((1 << 64) - 1), dtype=np.uint64))
-                    held += len(k)
-                if held >= FLUSH:
-                    yield flush(keys, ids)
-                    keys, ids, held = [], [], 0
-        if held:
-            yield flush(keys, ids)
+                for keys, role in found:
+                    packer.add(keys, tagged(np.full(len(keys), d), role))
+                if packer.full():
+                    yield packer.take()
+        yield packer.take()
         if short:
-            yield pa.RecordBatch.from_arrays([pa.array([_SHORT], pa.int32()), pa.array([b""], pa.binary()), pa.array([np.array(short, dtype="<i8").tobytes()], pa.binary())], ["bucket", "keys", "ids"])
+            yield rows([_SHORT], [b""], [np.array(short, dtype="<i8").tobytes()])
 
     return run
 
@@ -226,37 +183,9 @@ def _meet(table: pa.Table) -> pa.Table:
     if table.num_rows and table.column("bucket")[0].as_py() == _SHORT:
         late = np.concatenate([np.frombuffer(x.as_py(), dtype="<i8") for x in table.column("ids")])
         return _found([(LATE, late, late)])
-    key = np.concatenate([_unplanes(x.as_py(), 5) for x in table.column("keys")])
-    idf = np.concatenate([_unplanes(x.as_py(), 8) for x in table.column("ids")])
-    ordered = np.sort(key)
-    again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    if not len(again):
-        return _found([])
-    at = np.searchsorted(again, key)
-    at[at == len(again)] = 0
-    keep = again[at] == key
-    key, doc, role = key[keep], idf[keep].view(np.int64) >> 2, idf[keep] & U(3)
-    order = np.lexsort((doc, key))
-    key, doc, role = key[order], doc[order], role[order]
-    first = np.concatenate(([True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
-    begin = np.flatnonzero(first)
-    role = np.bitwise_or.reduceat(role, begin)
-    key, doc = key[begin], doc[begin]
-    start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    size = np.diff(np.append(start, len(key)))
-    both = np.bitwise_or.reduceat(role, start) == U(INDEX | PROBE)
-    live = np.repeat((size > 1) & both, size)
-    leader, group = np.repeat(doc[start], size), np.repeat(np.arange(len(start)), size)
-    tail = live & (doc != leader)
-    pairs = np.unique(np.stack([leader[tail], doc[tail]], axis=1), axis=0)
-    # A group is known by its members; equal groups are given once.
-    name = np.add.reduceat(mix(doc.view(np.uint64) + U(1)), start)
-    wide = (size > 2) & both
-    _, once = np.unique(name[wide], return_index=True)
-    chosen = np.zeros(len(start), dtype=bool)
-    chosen[np.flatnonzero(wide)[once]] = True
-    member = chosen[group]
-    return _found([(PAIR, pairs[:, 0], pairs[:, 1]), (GROUP, name.view(np.int64)[group[member]], doc[member])])
+    groups = Groups(table)
+    pairs, (name, member) = groups.star(), groups.members(3)
+    return _found([(PAIR, pairs[:, 0], pairs[:, 1]), (GROUP, name, member)])
 
 
 def _found(parts: list) -> pa.Table:
@@ -343,8 +272,8 @@ def _late_pairs(docs: DataFrame, late: DataFrame, words: int, plan: Plan, scratc
     for k in range(blocks):
         mine = probes.filter(F.pmod(F.xxhash64("token"), F.lit(blocks)) == k)
         known = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in mine.select("token").distinct().toLocalIterator()], dtype=np.int64)))
-        rows = docs.select("doc_id", "text").mapInArrow(holders(known), "b long, token long")
-        part = scratch.cut(rows.join(mine, "token").filter("a <> b").select("a", "b").distinct())
+        holding = docs.select("doc_id", "text").mapInArrow(holders(known), "b long, token long")
+        part = scratch.cut(holding.join(mine, "token").filter("a <> b").select("a", "b").distinct())
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -365,8 +294,8 @@ def join_components(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
     usable = sets.filter("mark is not null and doc_id is not null")
     classes = scratch.cut(usable.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")))
     total = classes.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, -(-total * 5 // (4 * BUCKET)))
-    packed = docs.filter("doc_id is not null").mapInArrow(_pack(buckets, words, plan), _PACKED)
+    buckets = buckets_for(total * 5 // 4)
+    packed = docs.filter("doc_id is not null").mapInArrow(_pack(buckets, words, plan), SCHEMA)
     found = scratch.cut(packed.groupBy("bucket").applyInArrow(_meet, _FOUND))
     member = scratch.cut(usable.join(classes, "mark").select("doc_id", "rep", "n_shingles"))
     rep = member.select(F.col("doc_id").alias("x"), F.col("rep").alias("r"), F.col("n_shingles").alias("s"))
@@ -382,8 +311,8 @@ def join_components(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         ids = scratch.cut(ids)
         texts = scratch.cut(_only(docs, ids, ids.count()))
-        rows = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
-        links = scratch.cut(rows.select("a", "b", "x", "y").mapInArrow(_verifier(words, Fraction(threshold)), "a long, b long").distinct())
+        both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
+        links = scratch.cut(both.select("a", "b", "x", "y").mapInArrow(_verifier(words, Fraction(threshold)), "a long, b long").distinct())
         scratch.drop(ids, texts)
         return links
 
