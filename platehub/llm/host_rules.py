@@ -104,24 +104,31 @@ def host_verdicts(judged: DataFrame, host: str, rules: dict[str, str] = RULES, m
         F.count("*").alias("n_docs"), *(F.sum(F.expr(rule).cast("long")).alias(f"f_{name}") for name, rule in rules.items())
     )
     rate = {r: F.col(f"f_{r}") / F.col("n_docs") for r in rules}
-    prior = counts.agg(
+    exact = lambda c: F.sum(F.round(c, 12).cast("decimal(30,12)")).cast("double")  # noqa: E731  no matter in which order
+    all_hosts = counts.agg(
         F.count("*").alias("n_hosts"), F.sum("n_docs").alias("all_docs"),
-        *(F.sum(f"f_{r}").alias(f"all_{r}") for r in rules),
-        *(F.sum(F.round(rate[r] * rate[r], 12).cast("decimal(30,12)")).cast("double").alias(f"sq_{r}") for r in rules),
-        *(F.sum(F.round(rate[r], 12).cast("decimal(30,12)")).cast("double").alias(f"sum_{r}") for r in rules),
-    )
-    out = counts.join(F.broadcast(prior))  # the prior is one row
+        *(F.sum(f"f_{r}").alias(f"all_{r}") for r in rules), *(exact(rate[r] * rate[r]).alias(f"sq_{r}") for r in rules), *(exact(rate[r]).alias(f"sum_{r}") for r in rules),
+    ).first()
+    out = counts
     for r in rules:
-        mean, spread = F.col(f"all_{r}") / F.col("all_docs"), F.col(f"sq_{r}") / F.col("n_hosts") - F.pow(F.col(f"sum_{r}") / F.col("n_hosts"), F.lit(2.0))
-        average = F.col("all_docs") / F.col("n_hosts")
-        weight = F.greatest(F.lit(MIN_ROWS_OF_PRIOR), F.when(spread > 1e-9, mean * (1 - mean) / spread - 1).otherwise(average))
-        out = out.withColumn(f"rate_{r}", (F.col(f"f_{r}") + mean * weight) / (F.col("n_docs") + weight))
+        mean, weight = _prior(all_hosts, r)
+        out = out.withColumn(f"rate_{r}", (F.col(f"f_{r}") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight)))
     kept = F.lit(True)
     for r in rules:
         kept = kept & (F.col(f"rate_{r}") <= max_rate)
     return out.select("host", "n_docs", *(f"rate_{r}" for r in rules), kept.alias("host_kept"))
 
 
+def _prior(hosts, rule: str) -> tuple[float, float]:
+    """Mean and weight (in documents) of a rule's beta prior, from one row of sums."""
+    if not hosts["n_hosts"]:
+        return 0.0, MIN_ROWS_OF_PRIOR
+    mean = hosts[f"all_{rule}"] / hosts["all_docs"]
+    spread = hosts[f"sq_{rule}"] / hosts["n_hosts"] - (hosts[f"sum_{rule}"] / hosts["n_hosts"]) ** 2
+    weight = mean * (1 - mean) / spread - 1 if spread > 1e-9 else hosts["all_docs"] / hosts["n_hosts"]
+    return mean, max(MIN_ROWS_OF_PRIOR, weight)
+
+
 def judge(docs: DataFrame, host: str, text: str = "text", rules: dict[str, str] = RULES, max_rate: float = MAX_RATE) -> DataFrame:
     """One row per row of ``docs`` (repeated rows stay): its measures,
     ``base_failed``, ``host_kept`` and ``kept``; no text.

@@ -6,6 +6,7 @@ from .chat import OP4_SQL, op4_chat
 from .host_rules import OP6_SQL, op6_host_rules
 from .jaccard import OP5_SQL, op5_jaccard
 from .licenses import OP2_SQL, op2_licenses
+from .line_dedup import op8_line_dedup
 from .link_graph import op9_link_graph
 from .mixing import OP3_SQL, op3_mixing
 from .quality import op1_quality
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_chat": op4_chat,
     "op5_jaccard": op5_jaccard,
     "op6_host_rules": op6_host_rules,
+    "op8_line_dedup": op8_line_dedup,
     "op9_link_graph": op9_link_graph,
 }
 ORACLE = {

@@ -64,16 +64,26 @@ def word_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def span_hashes(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of byte spans, A to Z as a to z."""
-    up, down = powers(len(text) + 1)
-    total = np.zeros(len(text) + 1, dtype=np.uint64)
-    np.cumsum(_LOWER[text] * up[: len(text)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * _STEP)
+class Prefix:
+    """Hashes of any spans of a text; ``values`` gives each byte its number."""
+
+    def __init__(self, text: np.ndarray, values: np.ndarray):
+        up, self._down = powers(len(text) + 1)
+        self._total = np.zeros(len(text) + 1, dtype=np.uint64)
+        np.cumsum(values[text] * up[: len(text)], out=self._total[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self._total[end] - self._total[start]) * self._down[start] + (end - start).astype(np.uint64) * _STEP)
+
+
+#: Numbers of the bytes: as they are, and from a second family of hashes.
+PLAIN = np.arange(256, dtype=np.uint64) + U(1)
+SECOND = mix(PLAIN)
 
 
 def word_hashes(text: np.ndarray) -> np.ndarray:
-    return span_hashes(text, *word_spans(text))
+    """Hashes of the words, A to Z as a to z."""
+    return Prefix(text, _LOWER)(*word_spans(text))
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
