@@ -164,6 +164,21 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(run, "doc_id long, score double")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+    """The rows of ``docs``, all their columns, that score at least ``cut``; one
+    pass, as the texts pass the scorer anyway."""
+    model = fit(docs, labels.filter(fold("doc_id") != 0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = Sizer(model.good, model.bad)
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index("text"))
+            x = np.array([size(t.as_py()) for t in text]).reshape(-1, FEATURES)
+            yield batch.filter(pa.array(model.curve(x) >= cut))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs``.
 

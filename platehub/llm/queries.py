@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import OP4_SQL, op4_chat
+from .decontaminate import op7_decontaminate
 from .host_rules import OP6_SQL, op6_host_rules
 from .jaccard import OP5_SQL, op5_jaccard
 from .licenses import OP2_SQL, op2_licenses
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_chat": op4_chat,
     "op5_jaccard": op5_jaccard,
     "op6_host_rules": op6_host_rules,
+    "op7_decontaminate": op7_decontaminate,
     "op8_line_dedup": op8_line_dedup,
     "op9_link_graph": op9_link_graph,
 }
