@@ -26,11 +26,12 @@ def buckets_for(signatures: int) -> int:
     return max(1, -(-signatures // BUCKET))
 
 
-def _planes(x: np.ndarray, width: int) -> bytes:
+def planes(x: np.ndarray, width: int) -> bytes:
+    """Bytes of the same significance together: the high ones compress away."""
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def _unplanes(raw: bytes, width: int) -> np.ndarray:
+def unplanes(raw: bytes, width: int) -> np.ndarray:
     part = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
     out = np.zeros((part.shape[1], 8), dtype=np.uint8)
     out[:, :width] = part.T
@@ -67,8 +68,8 @@ class Packer:
         ends = np.append(cut[1:], len(key)) if len(key) else []
         return rows(
             bucket[cut].astype(np.int32) if len(key) else [],
-            [_planes(key[a:b], 5) for a, b in zip(cut, ends)],
-            [_planes(idf[a:b], 8) for a, b in zip(cut, ends)],
+            [planes(key[a:b], 5) for a, b in zip(cut, ends)],
+            [planes(idf[a:b], 8) for a, b in zip(cut, ends)],
         )
 
 
@@ -80,8 +81,8 @@ class Groups:
     """Groups of equal keys in a bucket, ids ascending, each id once."""
 
     def __init__(self, table: pa.Table):
-        key = np.concatenate([_unplanes(x.as_py(), 5) for x in table.column("keys")])
-        idf = np.concatenate([_unplanes(x.as_py(), 8) for x in table.column("ids")])
+        key = np.concatenate([unplanes(x.as_py(), 5) for x in table.column("keys")])
+        idf = np.concatenate([unplanes(x.as_py(), 8) for x in table.column("ids")])
         ordered = np.sort(key)
         again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
         at = np.searchsorted(again, key)
