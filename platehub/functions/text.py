@@ -68,10 +68,11 @@ def inches_text(x: Column, feet: bool = False) -> Column:
     plain = _whole_and_frac(x, False)
     if not feet:
         return plain
-    ft = F.floor(x / 12).cast("long")
-    rest = x - ft * 12
+    rounded = F.round(x * 64) / 64  # before the feet are taken off, so that no 12" is left
+    ft = F.floor(rounded / 12).cast("long")
+    rest = rounded - ft * 12
     with_feet = F.concat(ft.cast("string"), F.lit("'-"), _whole_and_frac(rest, True))
-    return F.when(x >= 12.0, with_feet).otherwise(plain)
+    return F.when(rounded >= 12.0, with_feet).otherwise(plain)
 
 
 def size_label(kind: Column, thk: Column, wid: Column, length: Column) -> Column:

@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 
 def _order_key(order_cols: list[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order_cols]) if len(order_cols) > 1 else F.col(order_cols[0])
+    """A struct is never NULL, so rows without an order value count too; within
+    it NULL comes before every value."""
+    return F.struct(*[F.col(c) for c in order_cols])
 
 
 def pick_per_key(df: DataFrame, keys: list[str], order_cols: list[str], last: bool = False) -> DataFrame:
-    """One row per key: the row with the smallest (or largest) order tuple."""
+    """One row per key: the row with the smallest (or largest) order tuple; a
+    NULL order value is smaller than any other."""
     value_cols = [c for c in df.columns if c not in keys]
     payload = F.struct(*[F.col(c) for c in value_cols])
     by = F.max_by if last else F.min_by

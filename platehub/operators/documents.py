@@ -1,13 +1,10 @@
 """Nested documents from flat tables.
 
-Child rows are grouped under their parent key with ``collect_list`` after a
-shuffle on the key, then sorted (D5: deterministic arrays).  To keep a hot
-parent from pulling an unbounded list into one task, children can be paged:
-each parent's children are spread over ``ceil(n / page_size)`` pages by a
-hash of the child, and every (parent, page) is its own group, so the work for
-a parent holding a third of the rows is split over many tasks.  Page counts
-are estimated from the first grouping pass itself, so the child plan is
-computed once.
+Children are grouped under their parent key into sorted arrays.  A parent with
+more than ``page_size`` children is spread over ``ceil(n / page_size)`` pages by
+a hash of the child's id, ``n`` being counted exactly by a partial aggregate, so
+no parent gathers an unbounded list in one task.  ``page`` is part of the
+document's key; a parent of up to ``page_size`` children has page 0 alone.
 """
 
 from __future__ import annotations
@@ -16,9 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_PAGE_SIZE = 50_000
-# Hash buckets per parent in the first grouping pass; a sub-list holds about
-# n / DEFAULT_BUCKETS children of a parent with n children.
-DEFAULT_BUCKETS = 16_384
 
 
 def child_arrays(
@@ -27,49 +21,38 @@ def child_arrays(
     fields: list[str],
     name: str,
     page_size: int | None = DEFAULT_PAGE_SIZE,
-    buckets: int = DEFAULT_BUCKETS,
+    child_id: list[str] | None = None,
 ) -> DataFrame:
-    """``keys [, page], name: array<struct<fields>>`` sorted by the fields.
+    """``keys, page, name: array<struct<fields>>`` sorted by the fields.
 
-    ``page_size=None`` (explicit opt-in, for keys known to be small): one
-    row per key.  By default, in one pass over the
-    children: (1) group by (key, hash bucket of the child) into sub-lists --
-    a hot key is spread over ``buckets`` groups; (2) hashing is uniform, so a
-    sub-list of ``c`` children estimates its key's total as ``c * buckets``
-    and places itself on page ``floor(h * pages / buckets)`` with ``pages =
-    ceil(c * buckets / page_size)``, no second pass or join needed; (3) group
-    by (key, page) and flatten the sub-lists.  Every child lands in exactly
-    one page; pages hold about ``page_size`` children for hot keys and all
-    children of a small key land on page 0.
+    ``child_id``: columns that tell children of one parent apart (default: the
+    fields), so that equal children of a large parent are spread as well.
+    ``page_size=None`` (for keys known to be small): one page.
     """
     item = F.struct(*[F.col(f) for f in fields])
-    if page_size is None:
-        return children.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias(name))
-    h = F.pmod(F.xxhash64(*[F.col(f) for f in fields]), F.lit(buckets))
-    subs = children.groupBy(*keys, h.alias("__h")).agg(
-        F.collect_list(item).alias("__sub"), F.count(F.lit(1)).alias("__c")
-    )
-    pages = F.greatest(F.lit(1), F.ceil(F.col("__c") * F.lit(buckets) / F.lit(page_size))).cast("long")
-    placed = subs.withColumn("page", F.floor(F.col("__h") * pages / F.lit(buckets)).cast("long"))
-    return placed.groupBy(*keys, "page").agg(F.array_sort(F.flatten(F.collect_list("__sub"))).alias(name))
+    page = F.lit(0).cast("long")
+    if page_size is not None:
+        large = children.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > page_size)
+        children = children.join(large, keys, "left")
+        pages = F.ceil(F.col("__n") / F.lit(page_size)).cast("long")
+        page = F.when(F.col("__n").isNull(), page).otherwise(F.pmod(F.xxhash64(*(child_id or fields)), pages))
+    return children.withColumn("page", page).groupBy(*keys, "page").agg(F.array_sort(F.collect_list(item)).alias(name))
 
 
 def paged_children(
     keys: list[str],
-    children: list[tuple[DataFrame, list[str], str]],
+    children: list[tuple[DataFrame, list[str], str, list[str]]],
     page_size: int | None = DEFAULT_PAGE_SIZE,
 ) -> DataFrame:
     """Aligned pages of several child lists of the same parent key:
-    ``keys, page, <name1>, <name2>, ...``.  Page ``p`` of each list is joined
-    with page ``p`` of the others (full outer join on key and page), so the
-    widest row holds ``page_size`` children of each kind, never the whole
-    list of a hot parent.  Missing lists are empty arrays."""
+    ``keys, page, <name1>, <name2>, ...``; each child list is (rows, fields,
+    name, id columns).  Page ``p`` of each list is joined with page ``p`` of
+    the others (full outer join on key and page), so the widest row holds about
+    ``page_size`` children of each kind.  Missing lists are empty arrays."""
     pages = None
     types = {}
-    for df, fields, name in children:
-        arr = child_arrays(df, keys, fields, name, page_size)
-        if page_size is None:
-            arr = arr.withColumn("page", F.lit(0).cast("long"))
+    for df, fields, name, child_id in children:
+        arr = child_arrays(df, keys, fields, name, page_size, child_id)
         types[name] = arr.schema[name].dataType
         pages = arr if pages is None else pages.join(arr, [*keys, "page"], "full_outer")
     return pages.select(

@@ -39,6 +39,17 @@ def program_feedback(st_prg_arc: DataFrame) -> DataFrame:
     )
 
 
+def unknown_code_counts(st_prg_arc: DataFrame) -> DataFrame:
+    """Quarantine (D8): outbox rows by codes that no state has."""
+    return st_prg_arc.where(codes.decode_state(F.col("TransType")).isNull()).groupBy("TransType").agg(F.count("*").alias("n"))
+
+
+def shipment_quarantine(part: DataFrame) -> DataFrame:
+    """Quarantine (D7): work-order parts whose shipment is text but no number;
+    the feeds show them without a shipment."""
+    return part.where(shipment_int(F.col("Data2")).isNull()).select("PartName", "WONumber", "Data2")
+
+
 # -- parts ---------------------------------------------------------------------
 
 
@@ -48,7 +59,7 @@ def _part_payload(j: DataFrame) -> list:
         F.coalesce(F.col("PartName"), F.lit("")).alias("PartName"),
         F.col("QtyInProcess").alias("PartQty"),
         F.coalesce(F.col("Data1"), F.lit("")).alias("Job"),
-        F.coalesce(shipment_int(F.col("Data2")), F.lit(0)).alias("Shipment"),
+        shipment_int(F.col("Data2")).alias("Shipment"),
         "TrueArea",
         "NestedArea",
     ]
@@ -142,11 +153,12 @@ def _created_parts(st_pip_arc: DataFrame, part: DataFrame) -> DataFrame:
     src = st_pip_arc.where(F.col("TransType") == codes.FEEDBACK_CREATED)
     j = _pip_with_part(src, part)
     return j.select(
+        "AutoID",
         "ArchivePacketID",
         F.coalesce(F.col("PartName"), F.lit("")).alias("partName"),
         F.col("QtyInProcess").alias("partQty"),
         F.coalesce(F.col("Data1"), F.lit("")).alias("job"),
-        F.coalesce(shipment_int(F.col("Data2")), F.lit(0)).alias("shipment"),
+        shipment_int(F.col("Data2")).alias("shipment"),
         F.col("TrueArea").alias("trueArea"),
         F.col("NestedArea").alias("nestedArea"),
     )
@@ -199,16 +211,18 @@ def feedback_documents(
     """
     heads = _feedback_heads(st_prg_arc, stock)
     created = heads.where(F.col("state") == "created")
-    parts = _created_parts(st_pip_arc, part)
-    rems = _remnant_rows(remnant).join(
-        created.select("ArchivePacketID", "ProgramName", "RepeatID"), ["ProgramName", "RepeatID"], "inner"
-    )
+    packets = created.select("ArchivePacketID")
+    # Only the children of created packets are joined and grouped at all.
+    parts = _created_parts(st_pip_arc.join(packets, "ArchivePacketID", "left_semi"), part)
+    # An outbox that delivers at least once may hold a packet twice.
+    owners = created.select("ArchivePacketID", "ProgramName", "RepeatID").distinct()
+    rems = _remnant_rows(remnant).join(owners, ["ProgramName", "RepeatID"], "inner")
     pages = paged_children(
         ["ArchivePacketID"],
-        [(parts, PART_FIELDS, "parts"), (rems.drop("ProgramName", "RepeatID"), REMNANT_FIELDS, "remnants")],
+        [(parts, PART_FIELDS, "parts", ["AutoID"]), (rems.drop("ProgramName", "RepeatID"), REMNANT_FIELDS, "remnants", REMNANT_FIELDS)],
         page_size,
     )
-    j = attach_pages(heads, ["ArchivePacketID"], pages)
+    j = attach_pages(created, ["ArchivePacketID"], pages)
     nest = F.struct(
         F.col("ArchivePacketID").alias("archivePacketId"),
         F.struct(
@@ -224,13 +238,29 @@ def feedback_documents(
         ).alias("sheet"),
         F.col("remnants"),
     )
-    return j.select(
-        "AutoID",
-        "ArchivePacketID",
-        "state",
-        "page",
-        F.when(F.col("state") == "created", nest).alias("nest"),
+    documents = j.select("AutoID", "ArchivePacketID", "state", "page", nest.alias("nest"))
+    markers = heads.where(F.col("state") != "created").select(
+        "AutoID", "ArchivePacketID", "state", F.lit(0).cast("long").alias("page"), F.lit(None).cast(documents.schema["nest"].dataType).alias("nest")
+    )
+    return documents.unionByName(markers)
+
+
+def feedback_document_rows(documents: DataFrame) -> DataFrame:
+    """The documents, one row per child: kind ``part``, ``remnant`` or, for
+    documents without children and for markers, ``none``."""
+    part = F.transform("nest.parts", lambda x: F.struct(
+        F.lit("part").alias("kind"), x["partName"].alias("name"), x["partQty"].cast("double").alias("n1"), x["job"].alias("job"),
+        x["shipment"].alias("shipment"), x["trueArea"].alias("n2"), x["nestedArea"].alias("n3")))
+    remnant = F.transform("nest.remnants", lambda x: F.struct(
+        F.lit("remnant").alias("kind"), x["remnantName"].alias("name"), x["length"].alias("n1"), F.lit(None).cast("string").alias("job"),
+        F.lit(None).cast("int").alias("shipment"), x["width"].alias("n2"), x["area"].alias("n3")))
+    rows = documents.select(
+        "AutoID", "ArchivePacketID", "state", "page", F.col("nest.program.programName").alias("ProgramName"), F.col("nest.program.repeatId").alias("RepeatID"),
+        F.col("nest.program.machineName").alias("MachineName"), F.col("nest.program.cuttingTime").alias("CuttingTime"),
+        F.col("nest.sheet.sheetName").alias("SheetName"), F.col("nest.sheet.materialMaster").alias("MaterialMaster"),
+        F.explode_outer(F.concat(part, remnant)).alias("c"),
     )
+    return rows.select(*[c for c in rows.columns if c != "c"], "c.*").withColumn("kind", F.coalesce("kind", F.lit("none")))
 
 
 def feedback_summary(

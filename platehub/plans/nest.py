@@ -11,7 +11,7 @@ from ..operators.dedup import first_per_key, last_per_key
 from ..operators.documents import DEFAULT_PAGE_SIZE, attach_pages, exact_sum, paged_children
 
 NEST_PART_FIELDS = ["partName", "partQty", "job", "shipment", "trueArea", "nestedArea"]
-NEST_REMNANT_FIELDS = ["remnantName", "length", "width", "area"]
+NEST_REMNANT_FIELDS = ["remnantName", "length", "width", "area", "weight", "primeCode", "qty"]
 
 
 def _program_heads(program: DataFrame) -> DataFrame:
@@ -42,17 +42,19 @@ def nest_parts(pip: DataFrame, part: DataFrame, literal: bool = False) -> DataFr
     prt = part.select("PartName", "WONumber", "Data1", "Data2")
     if literal:
         prt = prt.withColumnRenamed("WONumber", "__wo_part")
-    j = pip.join(prt, keys, "inner")
+    j = pip.join(prt, keys, "inner").select(
+        "ProgramName", "WONumber", "PartName", "QtyInProcess", "Data1", "Data2", "TrueArea", "NestedArea"
+    ).distinct()  # of the raw values: texts that default to the same value stay apart
     return j.select(
         "ProgramName",
         "WONumber",
         F.coalesce(F.col("PartName"), F.lit("")).alias("partName"),
         F.col("QtyInProcess").alias("partQty"),
         F.coalesce(F.col("Data1"), F.lit("")).alias("job"),
-        F.coalesce(shipment_int(F.col("Data2")), F.lit(0)).alias("shipment"),
+        shipment_int(F.col("Data2")).alias("shipment"),
         F.col("TrueArea").alias("trueArea"),
         F.col("NestedArea").alias("nestedArea"),
-    ).distinct()
+    )
 
 
 def nest_remnants(remnant: DataFrame) -> DataFrame:
@@ -62,6 +64,9 @@ def nest_remnants(remnant: DataFrame) -> DataFrame:
         F.col("Length").alias("length"),
         F.col("Width").alias("width"),
         F.col("Area").alias("area"),
+        F.col("Weight").alias("weight"),
+        F.col("PrimeCode").alias("primeCode"),
+        F.col("Qty").alias("qty"),
     ).distinct()
 
 
@@ -87,8 +92,8 @@ def nest_documents(
     heads = _program_heads(program).join(program_sheet(program, stock), "ProgramName", "inner")
     pages = paged_children(
         ["ProgramName"],
-        [(nest_parts(pip, part, literal).drop("WONumber"), NEST_PART_FIELDS, "parts"),
-         (nest_remnants(remnant), NEST_REMNANT_FIELDS, "remnants")],
+        [(nest_parts(pip, part, literal), NEST_PART_FIELDS, "parts", ["WONumber", *NEST_PART_FIELDS]),
+         (nest_remnants(remnant), NEST_REMNANT_FIELDS, "remnants", NEST_REMNANT_FIELDS)],
         page_size,
     )
     j = attach_pages(heads, ["ProgramName"], pages)
@@ -107,6 +112,23 @@ def nest_documents(
     )
 
 
+def nest_document_rows(documents: DataFrame) -> DataFrame:
+    """The documents, one row per child: kind ``part``, ``remnant`` or ``none``."""
+    part = F.transform("parts", lambda x: F.struct(
+        F.lit("part").alias("kind"), x["partName"].alias("name"), x["partQty"].cast("double").alias("n1"), x["job"].alias("text"),
+        x["shipment"].alias("qty"), x["trueArea"].alias("n2"), x["nestedArea"].alias("n3"), F.lit(None).cast("double").alias("n4")))
+    remnant = F.transform("remnants", lambda x: F.struct(
+        F.lit("remnant").alias("kind"), x["remnantName"].alias("name"), x["length"].alias("n1"), x["primeCode"].alias("text"),
+        x["qty"].alias("qty"), x["width"].alias("n2"), x["area"].alias("n3"), x["weight"].alias("n4")))
+    rows = documents.select(
+        "page", F.col("archivePacketId").alias("ArchivePacketID"), F.col("program.programName").alias("ProgramName"), F.col("program.repeatId").alias("RepeatID"),
+        F.col("program.machineName").alias("MachineName"), F.col("program.cuttingTime").alias("CuttingTime"),
+        F.col("sheet.sheetName").alias("SheetName"), F.col("sheet.materialMaster").alias("MaterialMaster"),
+        F.explode_outer(F.concat(part, remnant)).alias("c"),
+    )
+    return rows.select(*[c for c in rows.columns if c != "c"], "c.*").withColumn("kind", F.coalesce("kind", F.lit("none")))
+
+
 def nest_summary(program: DataFrame, pip: DataFrame, part: DataFrame, stock: DataFrame, remnant: DataFrame,
                  literal: bool = False) -> DataFrame:
     """Order-independent digest of :func:`nest_documents` (partial aggregates

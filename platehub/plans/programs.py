@@ -91,7 +91,7 @@ def stage_completion(
             F.lit(codes.PROGRAM_COMPLETE).alias("TransType"),
             F.lit(1).cast("int").alias("District"),
             "ProgramName",
-            F.lit(None).cast("int").alias("ProgramRepeat"),
+            F.lit(None).cast("long").alias("ProgramRepeat"),
         )
     k_post = row_number_within(completes, ["ProgramName"], order_col, "k", max_rows_per_task)
     k_rep = row_number_within(open_rep, ["ProgramName"], "RepeatID", "k", max_rows_per_task)

@@ -46,7 +46,7 @@ QUEUE_COLUMNS: dict[str, str] = {
     "ItemData14": "string",
     "ItemData18": "string",
     "ProgramName": "string",
-    "ProgramRepeat": "int",
+    "ProgramRepeat": "long",
     "Ordinal": "long",
 }
 

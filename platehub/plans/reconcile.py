@@ -38,27 +38,41 @@ INVENTORY_OPTIONAL = {
 }
 
 
-def _gate(calls: DataFrame, trans_act: DataFrame, adds: DataFrame, literal: bool) -> DataFrame:
-    """First calls whose event passes the once-per-event gate."""
-    key = "trans_id" if literal else "sap_event_id"
-    cols = ["seq", "sap_system", "sap_event_id", "trans_id", *[c for c in calls.columns if c not in
-            ("seq", "sap_system", "sap_event_id", "trans_id")]]
-    firsts = first_per_key(calls.select(*cols).where(F.col(key).isNotNull()), [key], ["seq"])
+def first_calls(calls: DataFrame, key: str) -> DataFrame:
+    """The first call (lowest ``seq``) of each event; calls without one are left out."""
+    return first_per_key(calls.where(F.col(key).isNotNull()), [key], ["seq"])
+
+
+def _gate(calls: DataFrame, trans_act: DataFrame, adds: DataFrame, literal: bool, event_col: str) -> DataFrame:
+    """First calls whose event passes the once-per-event gate.
+
+    Intended (D3): the event is not in the queue, by its whole id, which staged
+    rows carry in ``ItemData18`` or ``event_col``.  ``literal``: by the last ten characters, with
+    the NULLs of SQL's ``NOT IN``.
+    """
+    if not literal:
+        known = conform(trans_act).select(F.explode(F.array("ItemData18", event_col)).alias("__event")).where(F.col("__event").isNotNull())
+        return first_calls(calls, "sap_event_id").join(known, F.col("sap_event_id") == F.col("__event"), "left_anti")
+    firsts = first_calls(calls, "trans_id")
     staged = trans_act.select(F.col("TransID").alias("__tid"))
-    if literal:
-        # NOT IN: one NULL TransID in the queue closes every gate.
-        if has_null(staged, "__tid"):
-            return firsts.limit(0)
-        # An add from a call with a NULL event id stages a NULL TransID, which
-        # closes the gate for every later first call (bounded probe first).
-        if has_null(calls, "sap_event_id"):
-            first_null = adds.where(F.col("ItemData18").isNull()).agg(F.min("Ordinal")).first()[0]
-            if first_null is not None:
-                firsts = firsts.where(F.col("seq") * 2 < F.lit(first_null))
-    staged = staged.where(F.col("__tid").isNotNull())
+    # NOT IN: one NULL TransID in the queue closes every gate.
+    if has_null(staged, "__tid"):
+        return firsts.limit(0)
+    # An add from a call with a NULL event id stages a NULL TransID, which
+    # closes the gate for every later first call (bounded probe first).
+    if has_null(calls, "sap_event_id"):
+        first_null = adds.where(F.col("ItemData18").isNull()).agg(F.min("Ordinal")).first()[0]
+        if first_null is not None:
+            firsts = firsts.where(F.col("seq") * 2 < F.lit(first_null))
     return firsts.join(staged, F.col("trans_id") == F.col("__tid"), "left_anti")
 
 
+def unknown_system_calls(calls: DataFrame, config: DataFrame) -> DataFrame:
+    """Quarantine (D10): calls whose ERP system has no config row; they stage
+    and remove nothing."""
+    return calls.join(config.select(F.col("SapSystem").alias("sap_system")), "sap_system", "left_anti")
+
+
 def _prepare_calls(calls: DataFrame, optional: dict[str, str]) -> DataFrame:
     calls = with_column_defaults(calls, optional)
     return calls.withColumn("trans_id", trans_id(F.col("sap_event_id")))
@@ -142,7 +156,7 @@ def reconcile_demand(
     calls = _prepare_calls(calls, DEMAND_OPTIONAL)
     cfg = district_by_system(config)
     adds = demand_adds(calls, slab_part_alloc, cfg, literal)
-    gated = _gate(calls, trans_act, adds, literal)
+    gated = _gate(calls, trans_act, adds, literal, "ItemData18")
     # Removals: every work order of the called part not yet stamped with the
     # event (a NULL Data18 never compares unequal, so it is not removed).
     prt = part.select("PartName", "WONumber", "QtyCompleted", "Data18")
@@ -216,7 +230,7 @@ def reconcile_inventory(
     )
     # the gate's NULL-event rule looks at the add's event id
     gate_adds = a.select(F.col("sap_event_id").alias("ItemData18"), (F.col("seq") * 2 + 1).alias("Ordinal"))
-    gated = _gate(calls, trans_act, gate_adds, literal)
+    gated = _gate(calls, trans_act, gate_adds, literal, "BinNumber")
     stk = stock.select("SheetName", "PrimeCode", "Material", "Thickness", "Width", "Length", "BinNumber")
     rem = gated.join(
         stk,
@@ -236,6 +250,8 @@ def reconcile_inventory(
             "Thickness",
             "Length",
             "Width",
+            # the event that passed the gate, so that it does not pass again
+            (F.lit(None).cast("string") if literal else F.col("sap_event_id")).alias("ItemData18"),
             (F.col("seq") * 2).alias("Ordinal"),
         )
     )

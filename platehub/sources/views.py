@@ -17,8 +17,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ranking import row_number_within
-from .tables import read_table, table_path
+from .tables import read_table
 
 
 def _s(c) -> Column:
@@ -36,9 +35,14 @@ def _part_name(partkey: Column) -> Column:
 
 
 def _erp_system(event_id: Column) -> Column:
-    # five ERP system codes, picked by event_id mod 5 (fixed values)
-    codes = F.array(*[F.lit(c) for c in ("AFR", "AME", "ASI", "EUR", "MID")])
-    return F.element_at(codes, (event_id % 5 + 1).cast("int"))
+    # fixed values: the five configured ERP systems and one that has no config row
+    codes = F.array(*[F.lit(c) for c in ("AFR", "AME", "ASI", "EUR", "MID", "OLD")])
+    return F.element_at(codes, (event_id % 6 + 1).cast("int"))
+
+
+def _group(column: str, size: int) -> Column:
+    """Whole-number groups of ``size`` neighbours; their number grows with the data."""
+    return F.floor(F.col(column) / size).cast("long")
 
 
 class Views:
@@ -66,21 +70,18 @@ class Views:
     # -- program outbox and programs ---------------------------------------
     @cached_property
     def st_prg_arc(self) -> DataFrame:
-        # repeat number per customer, split over tasks if a customer is hot
-        o = row_number_within(
-            self.table("orders"), ["o_custkey"], "o_orderkey", "__repeat",
-            probe_key=(table_path(self.sf_dir, "orders"),),
-        )
-        repeat = F.col("__repeat")
+        # The order key is a repeat number: unique in a program, and in order.
+        o = self.table("orders")
         return o.select(
             F.col("o_orderkey").alias("AutoID"),
             F.col("o_orderkey").alias("ArchivePacketID"),
             F.when(F.col("o_orderstatus") == "O", "SN100")
             .when(F.col("o_orderstatus") == "F", "SN101")
+            .when(F.col("o_orderpriority") == "5-LOW", "SN109")  # a code nothing knows
             .otherwise("SN102")
             .alias("TransType"),
             F.concat(F.lit("PRG"), _s("o_custkey")).alias("ProgramName"),
-            repeat.cast("int").alias("RepeatID"),
+            F.col("o_orderkey").alias("RepeatID"),
             F.col("o_orderpriority").alias("MachineName"),
             F.col("o_totalprice").alias("CuttingTime"),
             F.concat(F.lit("S"), _s("o_custkey")).alias("SheetName"),
@@ -107,7 +108,7 @@ class Views:
         key = F.col("p_partkey")
         return p.select(
             F.concat(F.lit("S"), _s(key)).alias("SheetName"),
-            F.col("p_brand").alias("PrimeCode"),
+            F.concat(F.lit("MM"), _group("p_partkey", 10).cast("string")).alias("PrimeCode"),
             F.col("p_type").alias("Material"),
             (F.col("p_size").cast("double") * F.lit(0.125)).alias("Thickness"),
             (F.lit(48) + F.col("p_size")).cast("double").alias("Width"),
@@ -129,14 +130,15 @@ class Views:
         return li.groupBy("l_partkey", "l_orderkey").agg(
             F.sum("l_quantity").cast("int").alias("QtyOrdered"),
             F.sum(completed).cast("int").alias("QtyCompleted"),
-            F.min("l_linenumber").cast("string").alias("Data2"),
+            F.min("l_linenumber").alias("__line"),
         ).select(
             _part_name(pk).alias("PartName"),
             F.concat(F.lit("WO"), _s("l_orderkey")).alias("WONumber"),
             "QtyOrdered",
             "QtyCompleted",
             F.concat(F.lit("J"), (pk % 50).cast("string")).alias("Data1"),
-            "Data2",
+            F.when(F.col("__line") == 3, "").when(F.col("__line") == 4, "n/a").when(F.col("__line") == 5, F.lit(None))
+            .otherwise(F.concat(F.lit(" "), _s("__line"))).alias("Data2"),
             F.when(pk % 7 == 0, F.lit(None).cast("string"))
             .otherwise(_event_key20(pk % 100))
             .alias("Data18"),
@@ -199,6 +201,9 @@ class Views:
             F.col("l_quantity").alias("Length"),
             (F.col("l_quantity") / 2).alias("Width"),
             (F.col("l_quantity") * F.col("l_quantity") / 2).alias("Area"),
+            (F.col("l_quantity") * 7.5).alias("Weight"),
+            F.concat(F.lit("MM"), _group("l_partkey", 10).cast("string")).alias("PrimeCode"),
+            F.col("l_linenumber").cast("int").alias("Qty"),
         )
 
     # -- batch file ----------------------------------------------------------
@@ -208,20 +213,26 @@ class Views:
         return p.select(
             F.lpad(_s("p_partkey"), 10, "0").alias("id"),
             F.col("p_brand").alias("mm"),
-            F.concat(F.lit("S"), (F.col("p_partkey") % 500).cast("string")).alias("sheet_name"),
+            F.concat(F.lit("S"), _group("p_partkey", 4).cast("string")).alias("sheet_name"),
             F.when(F.col("p_type") == "PROMO", "Y").otherwise("N").alias("remnant"),
         )
 
     # -- staged-transaction queue -------------------------------------------
     @cached_property
     def trans_act(self) -> DataFrame:
-        """Staged SN70 rows for every fifth outbox program.  The outbox id is
-        the order key (unique), so no join back to orders is needed."""
-        prg = self.st_prg_arc.where(F.col("AutoID") % 5 == 0)
+        """Staged SN70 rows of the low-priority programs, with the ids of the
+        events that staged them: every second id shares only its tail with an
+        ERP call's."""
+        prg = self.st_prg_arc.where(F.col("MachineName") == "5-LOW")
+        event = F.when(F.col("AutoID") % 2 == 0, _event_key20(_group("AutoID", 8))).otherwise(
+            F.concat(F.lit("9"), F.lpad(_group("AutoID", 8).cast("string"), 19, "0"))
+        )
         return prg.select(
             F.lit("SN70").alias("TransType"),
             F.lit(1).cast("int").alias("District"),
-            F.lpad((F.col("AutoID") % 1000).cast("string"), 10, "0").alias("TransID"),
+            F.right(event, F.lit(10)).alias("TransID"),
+            event.alias("ItemData18"),
+            event.alias("BinNumber"),
             "ProgramName",
             F.col("RepeatID").alias("ProgramRepeat"),
         )
@@ -229,31 +240,44 @@ class Views:
     # -- slab allocations ----------------------------------------------------
     @cached_property
     def slab_part_alloc(self) -> DataFrame:
-        e = self.table("events").where(F.col("event_id") % 7 == 0)
+        e = self.table("events").where(F.col("event_type") == "purchase")
         return e.select(
-            _part_name(F.col("event_id") % 500).alias("PartName"),
+            _part_name(_group("event_id", 10)).alias("PartName"),
             F.concat(F.lit("WO"), _s("user_id")).alias("WoNumber"),
             F.floor(F.col("value") / 2).cast("int").alias("Qty"),
         )
 
     @cached_property
     def slab_sheet_alloc(self) -> DataFrame:
-        p = self.table("part").where(F.col("p_size") == 50)
-        return p.select(F.concat(F.lit("S"), (F.col("p_partkey") % 200).cast("string")).alias("SheetName"))
+        p = self.table("part")
+        return p.select(F.concat(F.lit("S"), _group("p_partkey", 20).cast("string")).alias("SheetName"))
 
     # -- ERP event calls -----------------------------------------------------
     @cached_property
     def demand_events(self) -> DataFrame:
+        """Ten calls an ERP event; events, parts and work orders grow with the data."""
         e = self.table("events")
-        ev = F.col("event_id") % 500
+        ev = _group("event_id", 10)
+        kind = F.col("event_type")
         return e.select(
-            (ev * 1000000 + F.col("event_id")).alias("seq"),
+            F.col("event_id").alias("seq"),
             _event_key20(ev).alias("sap_event_id"),
-            _erp_system(F.col("event_id")).alias("sap_system"),
+            _erp_system(ev).alias("sap_system"),
             _part_name(ev).alias("part_name"),
             F.concat(F.lit("WO"), _s("user_id")).alias("work_order"),
             F.floor("value").cast("int").alias("qty"),
-            F.concat(F.lit("J"), (ev % 50).cast("string")).alias("job"),
+            F.when(ev % 9 != 0, F.concat(F.lit("J"), (ev % 50).cast("string"))).alias("job"),
+            F.concat(F.lit("M"), _s(ev % 7)).alias("matl"),
+            F.concat(F.lit("C-"), kind).alias("state"),
+            F.concat(F.lit("D"), _s(ev)).alias("dwg"),
+            F.when(kind == "click", "CG").alias("codegen"),
+            _s(ev % 4).alias("shipment"),
+            F.concat(F.lit("CR"), _s("user_id")).alias("chargeref"),
+            F.when(kind == "error", "DRILL").alias("op1"),
+            F.when(kind == "signup", "BEVEL").alias("op2"),
+            F.when(kind == "view", "PAINT").alias("op3"),
+            F.when(ev % 13 == 0, F.concat(F.lit("MK"), _s(ev))).alias("mark"),
+            F.concat(F.lit("R"), _s(ev % 11)).alias("raw_mm"),
             "event_type",
             "ts",
         )
@@ -261,18 +285,23 @@ class Views:
     @cached_property
     def inventory_events(self) -> DataFrame:
         e = self.table("events")
-        p = self.table("part").select("p_partkey", "p_brand", "p_type")
-        j = e.join(p, p["p_partkey"] == e["event_id"] % 100, "inner")
-        ev = F.col("event_id") % 100
-        return j.select(
-            (ev * 1000000 + F.col("event_id")).alias("seq"),
+        ev = _group("event_id", 10)
+        return e.select(
+            F.col("event_id").alias("seq"),
             _event_key20(ev).alias("sap_event_id"),
-            _erp_system(F.col("event_id")).alias("sap_system"),
-            F.concat(F.lit("S"), (F.col("event_id") % 200).cast("string")).alias("sheet_name"),
+            _erp_system(ev).alias("sap_system"),
+            F.concat(F.lit("S"), _group("event_id", 5).cast("string")).alias("sheet_name"),
             F.when(F.col("event_type") == "error", "Remnant").otherwise("Sheet").alias("sheet_type"),
-            F.floor(F.col("value") / 100).cast("int").alias("qty"),
-            F.col("p_brand").alias("mm"),
-            F.col("p_type").alias("matl"),
+            F.floor(F.col("value") / 2).cast("int").alias("qty"),
+            F.concat(F.lit("MM"), _group("event_id", 100).cast("string")).alias("mm"),
+            F.concat(F.lit("A"), _s(ev % 7)).alias("matl"),
+            (F.col("user_id") % 8 / 8).cast("double").alias("thk"),
+            (F.col("user_id") % 90).cast("double").alias("wid"),
+            (F.col("user_id") % 500).cast("double").alias("len"),
+            F.concat(F.lit("n"), _s("user_id")).alias("notes1"),
+            F.when(F.col("event_type") == "error", "check").alias("notes2"),
+            _s(ev % 3).alias("notes3"),
+            F.col("event_type").alias("notes4"),
         )
 
     # -- engineering BOM -----------------------------------------------------

@@ -31,6 +31,7 @@ DEMAND_CALL_SCHEMA = T.StructType(
         T.StructField("work_order", T.StringType()),
         T.StructField("qty", T.IntegerType()),
         T.StructField("job", T.StringType()),
+        *[T.StructField(c, T.StringType()) for c in ("matl", "state", "dwg", "codegen", "shipment", "chargeref", "op1", "op2", "op3", "mark", "raw_mm")],
         T.StructField("event_type", T.StringType()),
         T.StructField("ts", T.TimestampNTZType()),
     ]
@@ -46,6 +47,8 @@ INVENTORY_CALL_SCHEMA = T.StructType(
         T.StructField("qty", T.IntegerType()),
         T.StructField("mm", T.StringType()),
         T.StructField("matl", T.StringType()),
+        *[T.StructField(c, T.DoubleType()) for c in ("thk", "wid", "len")],
+        *[T.StructField(f"notes{k}", T.StringType()) for k in (1, 2, 3, 4)],
     ]
 )
 

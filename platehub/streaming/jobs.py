@@ -98,7 +98,7 @@ def stream_program_state(spark: SparkSession, v: Views) -> DataFrame:
 
 
 OUTBOX_SCHEMA = (
-    "AutoID long, ArchivePacketID long, TransType string, ProgramName string, RepeatID int, "
+    "AutoID long, ArchivePacketID long, TransType string, ProgramName string, RepeatID long, "
     "MachineName string, CuttingTime double, SheetName string"
 )
 
