@@ -22,6 +22,11 @@ document of each group of equal signatures.  Copies are one set throughout.
 Candidates are verified exactly on the whole texts; groups whose members are not
 yet in one component after that get further links until none is untested.  So a
 group of g near copies costs about g comparisons, and no link is lost.
+
+Before texts are compared, candidates pass a bound: each set has a sketch of the
+parities of its shingles in about two bits a shingle; where two sets differ in d
+shingles, at most d parities differ.  Groups that share a signature by chance, or
+a passage, are settled by these bounds, block by block.
 """
 
 from __future__ import annotations
@@ -45,7 +50,9 @@ SINGLETONS = 16
 #: Identifiers or shingles that may be broadcast (8 bytes each).
 BROADCAST = 2_000_000
 #: Rounds of star-shaped follow-up before all untested pairs across components.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+#: Members of a group whose bounds are compared at a time with as many others.
+BLOCK = 2048
 
 
 class Plan:
@@ -194,20 +201,71 @@ def _found(parts: list) -> pa.Table:
     return pa.table({"kind": cat([np.full(len(a), k) for k, a, _ in parts], pa.int32()), "a": cat([a for _, a, _ in parts], pa.int64()), "b": cat([b for _, _, b in parts], pa.int64())})
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of a set's shingles in a power of two of bits, at least twice as many."""
+    bits = max(64, 2 << int(len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & U(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def folded(raw: bytes, size: int) -> np.ndarray:
+    """A sketch brought down to ``size`` bytes: parities of halves add up."""
+    x = np.frombuffer(raw, dtype=np.uint8)
+    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0)
+
+
 def shingle_counts(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, mark) for each row; equal sets have equal marks, and
-    texts without words a null one."""
+    """(doc_id, n_shingles, mark, sketch) for each row; equal sets have equal
+    marks, and texts without words a null one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, marks = [], []
+            n, marks, sketches = [], [], []
             for text in byte_views(batch.column(1)):
                 s = shingles(word_hashes(text), words)
                 n.append(len(s))
                 marks.append(_fingerprint(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(marks, pa.binary())], ["doc_id", "n_shingles", "mark"])
+                sketches.append(sketch(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(marks, pa.binary()), pa.array(sketches, pa.binary())], ["doc_id", "n_shingles", "mark", "sketch"]
+            )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, mark binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, mark binary, sketch binary")
+
+
+def _possible(plan: Plan):
+    """(a, b, na, nb, x, y): pairs whose sketches x and y allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = (batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3))
+            ok = np.zeros(batch.num_rows, dtype=bool)
+            for k, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())):
+                size = min(len(x), len(y))
+                ok[k] = np.bitwise_count(folded(x, size) ^ folded(y, size)).sum() <= int(plan.apart * int(na[k] + nb[k]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], ["a", "b"])
+
+    return run
+
+
+def _across(plan: Plan):
+    """Two blocks of a group -> pairs across components that sketches allow."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, comp, n, block = (table.column(c).to_numpy() for c in ("id", "c", "n", "block"))
+        raw = table.column("sketch").to_pylist()
+        size = min(map(len, raw))
+        bits = np.stack([folded(x, size) for x in raw])
+        p, q = (np.flatnonzero(block == table.column(c)[0].as_py()) for c in ("p", "q"))
+        out = []
+        for i in p:
+            differ = np.bitwise_count(bits[q] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            most = (n[q] + n[i]) * plan.apart.numerator // plan.apart.denominator
+            hit = q[(differ <= most) & (comp[q] != comp[i])]
+            out.append(np.stack([np.minimum(ids[hit], ids[i]), np.maximum(ids[hit], ids[i])], axis=1))
+        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), dtype=np.int64)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    return run
 
 
 def _verifier(words: int, t: Fraction):
@@ -292,20 +350,27 @@ def join_components(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
     docs = docs.select("doc_id", "text")
     sets = scratch.cut(shingle_counts(docs, words))
     usable = sets.filter("mark is not null and doc_id is not null")
-    classes = scratch.cut(usable.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")))
+    classes = scratch.cut(usable.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
     total = classes.agg(F.sum("n")).first()[0] or 0
     buckets = buckets_for(total * 5 // 4)
     packed = docs.filter("doc_id is not null").mapInArrow(_pack(buckets, words, plan), SCHEMA)
     found = scratch.cut(packed.groupBy("bucket").applyInArrow(_meet, _FOUND))
     member = scratch.cut(usable.join(classes, "mark").select("doc_id", "rep", "n_shingles"))
-    rep = member.select(F.col("doc_id").alias("x"), F.col("rep").alias("r"), F.col("n_shingles").alias("s"))
+    rep = member.select("doc_id", "rep")
+    known, sketches = classes.select("rep", "n"), classes.select("rep", "sketch")
 
     def as_reps(pairs: DataFrame) -> DataFrame:
-        """Candidate pairs of representatives whose sizes allow a link."""
-        both = pairs.join(rep.toDF("a", "ra", "sa"), "a").join(rep.toDF("b", "rb", "sb"), "b")
+        """Candidate pairs by their sets' smallest documents."""
+        both = pairs.join(rep.toDF("a", "ra"), "a").join(rep.toDF("b", "rb"), "b")
+        return both.filter(F.col("ra") != F.col("rb")).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sizes and sketches allow a link."""
         t = Fraction(threshold)
-        fits = F.least("sa", "sb") * t.denominator >= F.greatest("sa", "sb") * t.numerator
-        return both.filter(fits & (F.col("ra") != F.col("rb"))).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+        both = pairs.join(known.toDF("a", "na"), "a").join(known.toDF("b", "nb"), "b")
+        both = both.filter(F.least("na", "nb") * t.denominator >= F.greatest("na", "nb") * t.numerator)
+        both = both.join(sketches.toDF("a", "x"), "a").join(sketches.toDF("b", "y"), "b")
+        return both.select("a", "b", "na", "nb", "x", "y").mapInArrow(_possible(plan), "a long, b long").distinct()
 
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
@@ -316,12 +381,22 @@ def join_components(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
         scratch.drop(ids, texts)
         return links
 
+    def across(now: DataFrame) -> DataFrame:
+        """Pairs across the components of open groups that sizes and sketches
+        allow; a large group is compared block by block."""
+        sizes = now.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        rows = now.join(sizes, "g").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        rows = rows.withColumn("other", other).withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
+        rows = rows.join(known.toDF("id", "n"), "id").join(sketches.toDF("id", "sketch"), "id")
+        return rows.select("g", "p", "q", "id", "c", "n", "block", "sketch").groupBy("g", "p", "q").applyInArrow(_across(plan), "a long, b long").distinct()
+
     candidates = found.filter(F.col("kind") == PAIR).select("a", "b").distinct()
     late = found.filter(F.col("kind") == LATE).select(F.col("a").alias("doc_id")).distinct()
     if not late.isEmpty():
         candidates = candidates.unionByName(_late_pairs(docs.filter("doc_id is not null"), late, words, plan, scratch))
     tested = scratch.cut(as_reps(candidates))
-    links = verify(tested)
+    links = verify(scratch.cut(possible(tested)))
     groups = found.filter(F.col("kind") == GROUP).select(F.col("a").alias("g"), F.col("b").alias("doc_id")).distinct()
     groups = scratch.cut(groups.join(member, "doc_id").select("g", F.col("rep").alias("id")).distinct())
     done = 0
@@ -335,18 +410,17 @@ def join_components(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
             heads = now.groupBy("g", "c", "lo").agg((F.min if done % 2 else F.max)("id").alias("id"))
             centre = heads.filter("c = lo").select("g", F.col("id").alias("a"))
             more = heads.filter("c <> lo").join(centre, "g").select("a", F.col("id").alias("b"))
+            more = scratch.cut(as_reps(more).join(tested, ["a", "b"], "left_anti"))
+            allowed = possible(more)
         else:
-            other = now.select("g", F.col("id").alias("b"), F.col("c").alias("d"))
-            more = now.join(other, "g").filter("c < d").select(F.col("id").alias("a"), "b")
-        more = as_reps(more).join(tested, ["a", "b"], "left_anti")
-        more = scratch.cut(more)
-        if more.isEmpty():
-            if done >= STAR_ROUNDS:
-                break
-            done = STAR_ROUNDS
-            continue
-        new = verify(more)
-        links = scratch.cut(links.unionByName(new))
+            more = None
+            allowed = across(now).join(tested, ["a", "b"], "left_anti")
+        allowed = scratch.cut(allowed)
+        if not allowed.isEmpty():
+            links = scratch.cut(links.unionByName(verify(allowed)))
+        if more is None:
+            linked = components(links, scratch)
+            break
         tested = scratch.cut(tested.unionByName(more))
         done += 1
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))

@@ -1,0 +1,394 @@
+"""Edge cases and brute-force checks of the operators that search: near copies,
+decontamination, line dedup, link graph and repeated strings."""
+
+import random
+import re
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from platehub.llm import components, decontaminate, jaccard, line_dedup, link_graph, suffixes
+from platehub.llm.scratch import Scratch
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_frame(spark, texts, **extra):
+    df = spark.createDataFrame([(i, t, "en", "src0", 0) for i, t in texts], DOCS)
+    for c, v in extra.items():
+        df = df.withColumn(c, F.lit(v))
+    return df.repartition(3)
+
+
+def vocabulary(rng, n, letters="abcdefghij"):
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(n)]
+
+
+# near copies --------------------------------------------------------------
+
+
+def brute_components(texts, percent=75):
+    sets = {}
+    for i, t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.setdefault(i, []).append(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset())
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            for x in sets[a]:
+                for y in sets[b]:
+                    c = len(x & y)
+                    if c and 100 * c >= percent * (len(x) + len(y) - c):
+                        root[max(find(a), find(b))] = min(find(a), find(b))
+    return {i: (sorted(len(x) for x in sets[i]), find(i)) for i in ids}
+
+
+def near_texts(rng, n, sizes, edit):
+    words = vocabulary(rng, 400)
+    out = []
+    while len(out) < n:
+        base = [rng.choice(words) for _ in range(rng.choice(sizes))]
+        out.append(" ".join(base))
+        for _ in range(rng.randint(0, 4)):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, int(len(base) * edit)))):
+                if copy:
+                    p = rng.randrange(len(copy))
+                    copy[p : p + rng.randint(0, 2)] = [rng.choice(words)] * rng.randint(0, 2)
+            out.append(" ".join(copy))
+            if rng.random() < 0.3:
+                base = copy  # chains, whose ends need not link
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("seed,sizes,edit", [(1, [0, 1, 3, 5, 6, 8, 10, 14], 0.2), (2, [18, 22, 30, 45, 64, 70], 0.06), (3, [120, 260, 400, 700], 0.03)])
+def test_jaccard_against_brute_force(spark, seed, sizes, edit):
+    texts = near_texts(random.Random(seed), 250, sizes, edit)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join_components(spark, docs_frame(spark, texts)).collect()}
+    want = {i: (n[0], c) for i, (n, c) in brute_components(texts).items()}
+    assert got == want
+
+
+def test_jaccard_lookup_by_single_shingles(spark, monkeypatch):
+    """Sets whose segments cannot add up are searched all the same."""
+    real = jaccard.signatures
+    monkeypatch.setattr(jaccard, "signatures", lambda s, plan: ([(k, r & jaccard.INDEX) for k, r in real(s, plan)[0] if r & jaccard.INDEX], True))
+    monkeypatch.setattr(jaccard, "BROADCAST", 500)
+    texts = near_texts(random.Random(4), 120, [5, 12, 40, 90], 0.05)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join_components(spark, docs_frame(spark, texts)).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(texts).items()}
+
+
+def test_jaccard_hot_groups(spark):
+    rng = random.Random(5)
+    words = vocabulary(rng, 300)
+    base = [rng.choice(words) for _ in range(60)]
+    texts = [" ".join(base)] * 80
+    for _ in range(120):  # near copies of one text, many not linked with each other
+        copy = list(base)
+        for p in rng.sample(range(60), 2):
+            copy[p] = rng.choice(words)
+        texts.append(" ".join(copy))
+    texts += [" ".join([rng.choice(words) for _ in range(40)] + base[:20]) for _ in range(40)]  # a passage
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join_components(spark, docs_frame(spark, rows)).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(rows).items()}
+
+
+def test_jaccard_edges(spark):
+    long = " ".join(f"w{i % 977}x{i}" for i in range(60_000))
+    texts = [(1, None), (2, ""), (3, " \n\t"), (4, "One two"), (5, "one  TWO"), (6, "É one two"), (7, "é one two"), (None, "one two"), (8, long), (9, long + " tail"), (4, "One two"), (10, "x"), (10, "one two three four five six")]
+    df = docs_frame(spark, texts, mark="clash", rep=1, component_id=5, n=0, a=1, b=2, id=3)
+    rows = jaccard.join_components(spark, df).collect()
+    assert len(rows) == len(texts)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows if r["doc_id"] is not None) == sorted(
+        [(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (4, 1, 4), (5, 1, 4), (6, 1, 6), (7, 1, 7), (8, 59_996, 8), (9, 59_997, 8), (10, 1, 10), (10, 2, 10)]
+    )
+    assert [(r["n_shingles"], r["component_id"]) for r in rows if r["doc_id"] is None] == [(1, None)]
+    assert jaccard.join_components(spark, df.limit(0)).count() == 0
+
+
+def test_jaccard_pigeonhole_by_pairs():
+    """Every linked pair shares a signature that one indexes and the larger probes."""
+    rng = np.random.default_rng(6)
+    plan = jaccard.Plan(Fraction(3, 4))
+    for n in [1, 2, 3, 4, 7, 10, 15, 17, 20, 33, 64, 65, 100, 257, 300, 900, 1600, 4000]:
+        for _ in range(15):
+            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            most = int(n * 2 // 7)
+            drop = int(rng.integers(0, most + 1))
+            b = np.concatenate([a[rng.permutation(len(a))[: len(a) - drop // 2]], rng.integers(0, 2**63, drop - drop // 2, dtype=np.uint64)])
+            b = np.unique(b)
+            common = len(np.intersect1d(a, b))
+            if common == 0 or 4 * common < 3 * (len(a) + len(b) - common):
+                continue
+            big, small = (a, b) if len(a) >= len(b) else (b, a)
+            found, late = jaccard.signatures(big, plan)
+            if late:
+                continue
+            probes = np.concatenate([k for k, r in found if r & jaccard.PROBE])
+            index = np.concatenate([k for k, r in jaccard.signatures(small, plan)[0] if r & jaccard.INDEX])
+            assert len(np.intersect1d(probes, index)), (n, drop)
+
+
+def test_components(spark):
+    rng = random.Random(8)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5000 + i) for i in range(1, 50)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r["id"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "t")).collect()}
+    assert got == {x: find(x) for x in list(root) if find(x) != x}
+
+
+# decontamination ----------------------------------------------------------
+
+
+def brute_leaks(docs, items, threshold=decontaminate.THRESHOLD, overlap=decontaminate.MIN_OVERLAP):
+    import math
+
+    cut = lambda t: decontaminate.words(t).tolist()
+    item_words = {i: cut(t) for i, t in items}
+    n, mean = len(items), sum(map(len, item_words.values())) / len(items)
+    df = {}
+    for w in item_words.values():
+        for x in set(w):
+            df[x] = df.get(x, 0) + 1
+    k1, b = decontaminate.K1, decontaminate.B
+    weight = {i: {x: math.log(1 + (n - df[x] + 0.5) / (df[x] + 0.5)) * w.count(x) * (k1 + 1) / (w.count(x) + k1 * (1 - b + b * len(w) / mean)) for x in set(w)} for i, w in item_words.items()}
+    window = 2 * max(map(len, item_words.values()))
+    pairs = lambda w: {tuple(w[k : k + 2]) for k in range(len(w) - 1)} if len(w) > 1 else {(x,) for x in w}
+    out = {}
+    for d, t in docs:
+        w = cut(t or "")
+        for s in range(0, max(1, len(w) - window // 2), window // 2):
+            passage = w[s : s + window]
+            held = pairs(passage) | {(x,) for x in passage}
+            for i, t2 in items:
+                score = sum(v for x, v in weight[i].items() if x in passage) / sum(weight[i].values())
+                q, a = (pairs(cut(p)) for p in decontaminate.split_item(t2))
+                if score >= threshold - 1e-9 and len(q & held) >= overlap * len(q) and len(a & held) >= overlap * len(a):
+                    out[(d, i)] = max(out.get((d, i), 0.0), score)
+    return out
+
+
+@pytest.mark.parametrize("max_postings", [10**6, 150])
+def test_decontaminate_against_brute_force(spark, monkeypatch, max_postings):
+    monkeypatch.setattr(decontaminate, "MAX_POSTINGS", max_postings)
+    rng = random.Random(21)
+    words = vocabulary(rng, 250)
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(6, 20))) + ("\n" if i % 2 else ". ") + " ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) + ".") for i in range(60)]
+    docs = []
+    for d in range(150):
+        body = [rng.choice(words) for _ in range(rng.randint(0, 160))]
+        if d % 3 == 0:
+            leak = rng.choice(items)[1].split()
+            if d % 2:
+                leak = [x.upper() if rng.random() < 0.5 else x for x in leak[: rng.randint(len(leak) // 3, len(leak))]]
+            p = rng.randint(0, len(body))
+            body[p:p] = leak
+        docs.append((d, " ".join(body)))
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.find_leaks(spark, docs_frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = brute_leaks(docs, items)
+    assert len(want) > 20 and got == pytest.approx(want)
+
+
+def test_decontaminate_edges(spark):
+    items = spark.createDataFrame([(1, "What is the capital of the far country?\nThe old town."), (1, "Zzz"), (2, None), (3, ""), (None, "no id"), (4, "one"), (1, "What is the capital of the far country?\nThe old town.")], "item_id long, text string")
+    leak = "WHAT IS the capital -- of the far country? The old town."
+    docs = docs_frame(spark, [(1, "pad " * 50_000 + leak), (2, None), (3, ""), (4, leak), (4, leak), (None, leak), (5, "what is the capital of the far country but no answer")], score=1, item_id=9, words=2)
+    got = sorted((r["doc_id"] or 0, r["item_id"]) for r in decontaminate.find_leaks(spark, docs, items).filter("item_id = 1").collect())
+    assert got == [(0, 1), (1, 1), (4, 1), (4, 1)]
+    assert decontaminate.find_leaks(spark, docs, items.limit(0)).count() == 0
+    assert decontaminate.find_leaks(spark, docs.limit(0), items).count() == 0
+
+
+# line dedup ---------------------------------------------------------------
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(new[-1] + 1, row[j + 1] + 1, row[j] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_banded_distance():
+    rng = random.Random(31)
+    a, b = [], []
+    for _ in range(600):
+        x = [rng.choice(b"abc") for _ in range(rng.randint(0, 30))]
+        y = list(x)
+        for _ in range(rng.randint(0, 6)):
+            p = rng.randint(0, len(y))
+            y[p : p + rng.randint(0, 1)] = [rng.choice(b"abc")] * rng.randint(0, 1)
+        a.append(np.array(x, dtype=np.uint8))
+        b.append(np.array(y, dtype=np.uint8))
+    for band in (1, 2, 4):
+        assert line_dedup.banded_distance(a, b, band).tolist() == [min(band + 1, distance(x.tolist(), y.tolist())) for x, y in zip(a, b)]
+
+
+def brute_lines(docs):
+    first, gone = {}, set()
+    for d, t in sorted(docs):
+        for i, s in enumerate((t or "").split("\n")):
+            raw = s.encode()
+            if len(raw) >= line_dedup.MIN_BYTES and s.strip(" \t\x0b\x0c\r"):
+                if raw in first:
+                    gone.add((d, i))
+                else:
+                    first[raw] = (d, i)
+    lines = sorted(first, key=first.get)
+    for k, x in enumerate(lines):
+        for y in lines[:k]:
+            edits = min(line_dedup.MAX_EDITS, min(len(x), len(y)) // line_dedup.BYTES_PER_EDIT)
+            if edits and abs(len(x) - len(y)) <= edits and distance(x, y) <= edits:
+                gone.add(first[x])
+                break
+    return gone
+
+
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_line_dedup_against_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(line_dedup, "BROADCAST", broadcast)
+    rng = random.Random(33)
+    words = vocabulary(rng, 40, "abcé")
+    pool = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 16))) for _ in range(45)]
+    docs = []
+    for d in range(60):
+        lines = []
+        for _ in range(rng.randint(0, 6)):
+            s = list(rng.choice(pool))
+            for _ in range(rng.choice([0, 0, 1, 2, 3])):
+                p = rng.randrange(len(s)) if s else 0
+                s[p : p + rng.randint(0, 1)] = [rng.choice("abxy")] * rng.randint(0, 1)
+            lines.append("".join(s))
+        docs.append((d, "\n".join(lines)))
+    gone = brute_lines(docs)
+    assert len(gone) > 30
+    want = {d: "\n".join(s for i, s in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in docs}
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark, docs_frame(spark, docs)).collect()} == want
+
+
+def test_line_dedup_edges(spark):
+    line = "this line is long enough to count"
+    docs = [(1, None), (2, ""), (3, f"{line}\n\nshort\n{line}\n"), (4, line), (None, line), (5, "short\nshort"), (6, " " * 40), (7, " " * 40), (8, "x" * 200_000), (9, "x" * 200_001), (3, f"{line}\n\nshort\n{line}\n")]
+    df = docs_frame(spark, docs, n_lines="clash", line=1, id=2, second=3, near=True, first=0)
+    rows = line_dedup.dedup_lines(spark, df).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in rows if r["text"] is not None) == sorted(
+        [(2, ""), (3, f"{line}\n\nshort\n"), (3, f"{line}\n\nshort\n"), (4, ""), (0, line), (5, "short\nshort"), (6, " " * 40), (7, " " * 40), (8, "x" * 200_000), (9, "")]
+    )
+    assert [r["doc_id"] for r in rows if r["text"] is None] == [1]
+    assert line_dedup.dedup_lines(spark, df.limit(0)).count() == 0
+
+
+# link graph ---------------------------------------------------------------
+
+
+def test_links_rules_and_ranks(spark):
+    edges = [("a", "b", 2.0), ("a", "c", 1.0), ("b", "c", 1.0), ("c", "a", 1.0), ("d", "c", 1.0), ("d", "e", 3.0), ("e", "e2", 1.0)]
+    seeds = [("a", 1.0, 0.0), ("e2", 0.0, 1.0), ("c", 0.25, 0.5)]
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in link_graph.propagate(spark, spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame(seeds, "host string, trust double, distrust double")).collect()}
+    hosts = sorted({h for e in edges for h in e[:2]})
+    rank = {}
+    for k, flip in ((0, False), (1, True)):
+        seed = {h: next((s[1 + k] for s in seeds if s[0] == h), 0.0) for h in hosts}
+        links = [(d, s, w) if flip else (s, d, w) for s, d, w in edges]
+        out = {h: sum(w for s, _, w in links if s == h) for h in hosts}
+        r = dict(seed)
+        for _ in range(link_graph.MAX_ITERATIONS):
+            r = {h: seed[h] + link_graph.DAMPING * sum(r[s] * w / out[s] for s, d, w in links if d == h) for h in hosts}
+        rank[k] = r
+    for h in hosts:
+        assert got.get(h, (0.0, 0.0)) == pytest.approx((rank[0][h], rank[1][h]), abs=1e-2)
+
+
+def test_url_verdicts(spark):
+    pages = [
+        (1, "http://WWW.Example.COM/en/x?q#f", None), (2, "https://example.com/en/", ""), (3, "ftp://shop.com", None), (4, "//example.com/en/", None), (5, None, None),
+        (6, "http://a.net/es/1", '<a href="http://good.org/">g</a>'), (7, "http://a.net/fr/2", None), (8, "http://a.net/de/3", None),
+        (9, "http://farm.org/1", "<a href='//A.NET/es/'>x</a> <A HREF = http://a.net/y>y</a>"), (10, "http://good.org/", '<a href="http://fine.com/">x</a>'), (11, "x://y://z/p?q", None),
+        (12, "http://notcom/en/", None), (13, "http://É.com/É?#", None), (1, "http://WWW.Example.COM/en/x?q#f", None),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("host", F.lit("clash")).withColumn("rule", F.lit(1)).withColumn("trust", F.lit(2))
+    rows = link_graph.judge_urls(spark, df).collect()
+    assert len(rows) == len(pages)
+    out = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in rows}
+    assert out[1] == ("www.example.com", "/en/x", "www.example.com/en/", "allow")
+    assert out[2] == ("example.com", "/en/", "example.com/en/", "block")
+    assert out[3] == ("shop.com", "", None, "allow") and out[4] == ("", "", None, "allow") and out[5] == ("", "", None, "allow")
+    assert out[6][2:] == ("net/es/", "block") and out[8][2:] == (None, "block")  # two thirds of the host are blocked
+    assert out[9][2:] == (None, "block")  # links to it alone
+    assert out[10][2:] == (None, "allow") and out[11][:2] == ("y:", "//z/p") and out[12][2] is None
+    assert out[13] == ("É.com", "/É", "com/", "allow")
+    assert link_graph.judge_urls(spark, df.limit(0)).count() == 0
+
+
+# repeated strings ---------------------------------------------------------
+
+
+def brute_cut(docs, length=100):
+    seen, out = {}, {}
+    for d, t in sorted(docs):
+        raw = (t or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            w = raw[i : i + length]
+            if w in seen and seen[w] != (d, i):
+                gone[i : i + length] = b"\1" * length
+            else:
+                seen.setdefault(w, (d, i))
+        out[d] = (bytes(x for x, g in zip(raw, gone) if not g), sum(1 for i in range(len(raw)) if gone[i] and not (i and gone[i - 1])))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_repeats_against_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(suffixes, "BROADCAST", broadcast)
+    monkeypatch.setattr(suffixes, "TOGETHER", 300)
+    monkeypatch.setattr(suffixes, "FLUSH", 3000)
+    rng = random.Random(41)
+    words = vocabulary(rng, 300, "abcdé")
+    passages = [" ".join(rng.choice(words) for _ in range(n)) for n in (18, 22, 30, 60, 90)]
+    docs = []
+    for d in range(120):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 80)))
+        for _ in range(rng.randint(0, 2)):
+            p, passage = rng.randint(0, len(text)), rng.choice(passages)
+            a = rng.randint(0, len(passage) // 2)
+            text = text[:p] + passage[a : rng.randint(a, len(passage))] + text[p:]
+        docs.append((d, text))
+    docs += [(200 + i, docs[7 * i][1]) for i in range(10)] + [(300, "ab" * 200), (301, "z" * 99), (302, "z" * 99), (303, "z" * 101), (304, "q" * 100), (305, "q" * 100)]
+    got = {r["doc_id"]: (bytes(r["kept"]), len(r["spans"])) for r in suffixes.remove_repeats(spark, docs_frame(spark, docs)).collect()}
+    assert got == brute_cut(docs)
+
+
+def test_repeats_edges(spark):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    docs = [(1, None), (2, ""), (3, long), (4, "head " + long), (None, long), (3, long), (5, "short")]
+    df = docs_frame(spark, docs, spans="clash", kept=1, first=2, gram=3, n=4)
+    rows = suffixes.remove_repeats(spark, df).collect()
+    assert sorted((r["doc_id"] or 0, r["n_bytes"], len(r["kept"]), len(r["spans"])) for r in rows) == sorted(
+        [(1, 0, 0, 0), (2, 0, 0, 0), (3, len(long), len(long), 0), (3, len(long), len(long), 0), (0, len(long), len(long), 0), (4, len(long) + 5, 5, 1), (5, 5, 5, 0)]
+    )
+    assert suffixes.remove_repeats(spark, df.limit(0)).count() == 0
