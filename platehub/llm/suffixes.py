@@ -37,11 +37,11 @@ from .tokens import PLAIN, Prefix, U, byte_views, mix
 LENGTH = 100
 GRAM = 36
 #: Suffixes that a map task sorts at a time.
-FLUSH = 1_000_000
+FLUSH = 2_000_000
 #: Samples that a map task sorts at a time.
 SAMPLES = 1_000_000
 #: Repeated samples that may be broadcast (16 bytes each).
-BROADCAST = 2_000_000
+BROADCAST = 4_000_000
 #: Suffixes of one sample that stay together; more are dealt out by name.
 TOGETHER = 65_536
 
@@ -121,7 +121,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     return pa.table({"gram": pa.array(value[twice].view(np.int64)), "n": pa.array(total[twice].astype(np.int64))})
 
 
-_SENT = "bucket int, names binary, docs binary, starts binary, lengths binary"
+_SENT = "bucket int, names binary, leans binary, docs binary, starts binary, lengths binary"
 _LOCAL = -1
 
 
@@ -141,7 +141,7 @@ def _suffixes(buckets: int, length: int, gram: int, repeated):
     stretches in buckets below 0."""
 
     def flush(held: list) -> pa.RecordBatch:
-        name, deal, doc, start = (np.concatenate(x) for x in zip(*held))
+        name, lean, deal, doc, start = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((start, doc, name))
         first = np.concatenate(([True], name[order][1:] != name[order][:-1]))
         origin = order[first][np.cumsum(first) - 1]
@@ -152,18 +152,18 @@ def _suffixes(buckets: int, length: int, gram: int, repeated):
         mine = mine[np.lexsort((start[mine], doc[mine]))]
         begin, size = _stretches(doc[mine], start[mine])
         if len(begin):
-            out.append((_LOCAL - int(doc[mine[0]]) % buckets, b"", doc[mine][begin], start[mine][begin], size))
+            out.append((_LOCAL - int(doc[mine[0]]) % buckets, b"", b"", doc[mine][begin], start[mine][begin], size))
         send = order[first]
         bucket = _buckets(deal[send], buckets)
         send = send[np.lexsort((start[send], doc[send], bucket))]
         bucket = _buckets(deal[send], buckets)
         for i, j in _cuts(bucket):
             part = send[i:j]
-            begin, size = _stretches(doc[part], start[part])
-            out.append((int(bucket[i]), planes(name[part], 7), doc[part][begin], start[part][begin], size))
+            begin, size = _stretches(doc[part], start[part], lean[part])
+            out.append((int(bucket[i]), planes(name[part], 5), planes(lean[part][begin], 4), doc[part][begin], start[part][begin], size))
         cols = list(zip(*out))
         pack = lambda xs: pa.array([planes(x.astype(np.int64).view(np.uint64), 8) for x in xs], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pack(cols[2]), pack(cols[3]), pack(cols[4])], ["bucket", "names", "docs", "starts", "lengths"])
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary()), *map(pack, cols[3:])], ["bucket", "names", "leans", "docs", "starts", "lengths"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -193,7 +193,7 @@ def _suffixes(buckets: int, length: int, gram: int, repeated):
                 lean, many = np.repeat(value[hit], size[hit]), np.repeat(counts[at[hit]], size[hit])
                 split = (many * (length - gram) // TOGETHER).astype(np.uint64) + U(1)
                 deal = mix(lean + (name % split) * U(0x9E3779B97F4A7C15))
-                held.append((name, deal, np.full(len(start), d, dtype=np.int64), start))
+                held.append((name, lean, deal, np.full(len(start), d, dtype=np.int64), start))
                 n += len(start)
                 if n >= FLUSH:
                     yield flush(held)
@@ -208,7 +208,9 @@ def _compare(table: pa.Table) -> pa.Table:
     """A bucket's suffixes in order: stretches of those that equal an earlier one."""
     doc, start, size = (np.concatenate([unplanes(x.as_py(), 8).view(np.int64) for x in table.column(c)]) for c in ("docs", "starts", "lengths"))
     if table.column("bucket")[0].as_py() >= 0:
-        name = np.concatenate([unplanes(x.as_py(), 7) for x in table.column("names")])
+        # A stretch has one sample: 32 bits of it and 40 of each name make the key.
+        lean, name = (np.concatenate([unplanes(x.as_py(), w) for x in table.column(c)]) for c, w in (("leans", 4), ("names", 5)))
+        name = name ^ (np.repeat(lean, size) << U(32))
         inside = np.arange(len(name)) - np.repeat(np.cumsum(size) - size, size)
         doc, start = np.repeat(doc, size), np.repeat(start, size) + inside
         order = np.lexsort((start, doc, name))
