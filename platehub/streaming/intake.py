@@ -5,8 +5,8 @@
   written under ``version=<batchId>`` -- overwriting that one folder makes a
   replayed batch idempotent, and the checkpoint records which batches are
   done, so a lost executor or driver restart resumes where it stopped.
-* T3 once-per-event gate: ``dropDuplicatesWithinWatermark`` on the event id,
-  state bounded by the watermark.
+* T3 once-per-event gate: first calls against the events that earlier batches
+  let through; there is no horizon after which an event is forgotten.
 * T6 periodic refresh: the ``trigger`` argument (``processingTime``).
 """
 
@@ -125,25 +125,35 @@ class BucketedQueueStore:
     ``<root>/v=<batchId>/bucket=<b>/``.  A micro-batch writes only the buckets
     it touched, under its own version folder (an idempotent overwrite on
     replay); the current queue is, per bucket, the newest completed version
-    holding it, or the initial rows of that bucket.  A large standing queue
-    is therefore not rewritten by every batch."""
+    holding it, or the initial rows of that bucket.
 
-    def __init__(self, spark: SparkSession, root: str, initial: DataFrame, buckets: int = 64):
+    Rows without an item are superseded by nothing, so they are never rewritten:
+    the initial ones stay where they are, and each batch appends its own under
+    bucket -1.  Once a version is written, folders that no reader of it or of a
+    replay of the next one needs are deleted, so the listing stays as long as
+    the number of buckets.  ``buckets`` (default: the session's shuffle width)
+    is fixed when the store is made."""
+
+    NO_ITEM = -1
+
+    def __init__(self, spark: SparkSession, root: str, initial: DataFrame, buckets: int | None = None):
         from ..plans.queue import conform
 
         self.spark = spark
         self.root = root
         self.initial = conform(initial)
-        self.buckets = buckets
+        self.buckets = buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def bucket_of(self, df: DataFrame):
-        return F.pmod(F.xxhash64(F.col("ItemName")), F.lit(self.buckets)).cast("int")
+        item = F.col("ItemName")
+        return F.when(item.isNull(), F.lit(self.NO_ITEM)).otherwise(F.pmod(F.xxhash64(item), F.lit(self.buckets))).cast("int")
 
-    def _latest_paths(self, before: int | None) -> dict[int, str]:
+    def _folders(self, before: int | None) -> list[tuple[int, int, str]]:
+        """(version, bucket, path) of completed versions."""
         fs, p = _fs(self.spark, self.root)
-        latest: dict[int, tuple[int, str]] = {}
+        out = []
         if not fs.exists(p):
-            return {}
+            return out
         for vst in fs.listStatus(p):
             name = vst.getPath().getName()
             if not name.startswith("v=") or not fs.exists(vst.getPath().suffix("/_SUCCESS")):
@@ -154,23 +164,29 @@ class BucketedQueueStore:
             for bst in fs.listStatus(vst.getPath()):
                 bname = bst.getPath().getName()
                 if bname.startswith("bucket="):
-                    b = int(bname.split("=", 1)[1])
-                    if b not in latest or latest[b][0] < ver:
-                        latest[b] = (ver, bst.getPath().toString())
-        return {b: path for b, (_, path) in latest.items()}
+                    out.append((ver, int(bname.split("=", 1)[1]), bst.getPath().toString()))
+        return out
+
+    def _latest(self, before: int | None) -> dict[int, tuple[int, str]]:
+        latest: dict[int, tuple[int, str]] = {}
+        for ver, b, path in self._folders(before):
+            if b != self.NO_ITEM and (b not in latest or latest[b][0] < ver):
+                latest[b] = (ver, path)
+        return latest
 
     def current(self, before: int | None = None) -> DataFrame:
-        paths = self._latest_paths(before)
+        latest = self._latest(before)
+        paths = [path for _, path in latest.values()] + [path for _, b, path in self._folders(before) if b == self.NO_ITEM]
         base = self.initial
         if paths:
-            base = base.where(~self.bucket_of(base).isin(*paths.keys()))
-            stored = self.spark.read.parquet(*paths.values()).select(*self.initial.columns)
-            base = base.unionByName(stored)
+            base = base.where(F.col("ItemName").isNull() | ~self.bucket_of(base).isin(*latest.keys())) if latest else base
+            base = base.unionByName(self.spark.read.parquet(*paths).select(*self.initial.columns))
         return base
 
     def _touched_buckets(self, items: DataFrame) -> list[int]:
         # at most `buckets` small ints reach the driver
-        return [r[0] for r in items.select(self.bucket_of(items).alias("b")).distinct().collect()]
+        found = items.where(F.col("ItemName").isNotNull()).select(self.bucket_of(items).alias("b")).distinct()
+        return [r[0] for r in found.collect()]
 
     def write(self, version: int, df: DataFrame, touched_items: DataFrame | None = None) -> None:
         """Write the buckets of ``df`` (the next queue) that this batch touched.
@@ -190,9 +206,10 @@ class BucketedQueueStore:
             touched = self._touched_buckets(touched_items)
         else:
             cached = b = b.persist(StorageLevel.MEMORY_AND_DISK)
-            touched = [r[0] for r in b.where(F.col(BATCH_FLAG)).select("bucket").distinct().collect()]
+            touched = self._touched_buckets(b.where(F.col(BATCH_FLAG)))
         try:
-            out = b.where(F.col("bucket").isin(*touched)) if touched else b.limit(0)
+            new = F.col("ItemName").isNull() & F.col(BATCH_FLAG)
+            out = b.where(F.col("bucket").isin(*touched) | new) if touched else b.where(new)
             (
                 out.drop(BATCH_FLAG)
                 .repartition("bucket")  # one writer per bucket: one file per touched bucket
@@ -203,6 +220,15 @@ class BucketedQueueStore:
         finally:
             if cached is not None:
                 cached.unpersist()
+        self._vacuum(version)
+
+    def _vacuum(self, version: int) -> None:
+        """Delete folders of buckets that a version before ``version`` replaces."""
+        needed = {path for _, path in self._latest(version).values()} | {path for _, path in self._latest(None).values()}
+        fs, _ = _fs(self.spark, self.root)
+        for ver, b, path in self._folders(version):
+            if b != self.NO_ITEM and path not in needed:
+                fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
 
 
 def reconcile_batches(store, reconcile, touched_items=None, **tables):
@@ -242,12 +268,23 @@ def start_intake(
     )
 
 
-def first_call_per_event(calls: DataFrame, watermark: str = "1 day", ts_col: str = "ts") -> DataFrame:
-    """Once-per-event gate on a stream (T3): one call per event id within the
-    watermark (the first to arrive; inside one micro-batch, any one of that
-    batch's calls -- the batch reconciliation picks the lowest ``seq``
-    itself); state is dropped once the watermark passes.
-    Watermarks need a session-zone timestamp, so a local (NTZ) event time is
-    cast for it; it only decides when state is evicted."""
-    calls = calls.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
-    return calls.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark(["sap_event_id"])
+class EventGate:
+    """Once-per-event gate (T3): ``<root>/version=<batch id>`` holds the calls a
+    micro-batch let through, the lowest ``seq`` of each event that no earlier
+    batch has let through.  Late calls of a new event pass, however late; later
+    calls of a known event never do."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def passed(self, before: int | None = None) -> DataFrame | None:
+        done = [v for v in completed_versions(self.spark, self.root) if before is None or v < before]
+        return self.spark.read.parquet(*[f"{self.root}/version={v}" for v in done]) if done else None
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from ..plans.reconcile import first_calls
+
+        firsts, before = first_calls(batch, "sap_event_id"), self.passed(batch_id)
+        if before is not None:
+            firsts = firsts.join(before.select("sap_event_id"), "sap_event_id", "left_anti").select(*firsts.columns)
+        firsts.write.mode("overwrite").parquet(f"{self.root}/version={batch_id}")

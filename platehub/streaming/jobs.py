@@ -1,39 +1,53 @@
-"""Runnable streaming jobs over the proxy tables.
+"""Runnable streaming jobs over the proxy tables.
 
 Each job lands its input as files in a fresh folder under the shared
-checkpoint location (the arrival side of the stream), runs the streaming
-query with ``trigger(availableNow=True)`` and returns the sink read back as
-a batch DataFrame.
+checkpoint location (the arrival side of the stream), in several drops, runs
+the streaming query over them with ``trigger(availableNow=True)``, one drop a
+micro-batch, and returns the sink read back as a batch DataFrame.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.reconcile import reconcile_demand
+from ..plans.feedback import feedback_document_rows
+from ..plans.reconcile import reconcile_demand, reconcile_inventory
 from ..sources.views import Views
 from .intake import (
     DEMAND_CALL_SCHEMA,
+    INVENTORY_CALL_SCHEMA,
     BucketedQueueStore,
+    EventGate,
+    QueueStore,
     call_stream,
-    first_call_per_event,
+    json_array_calls,
     scratch_dir,
     start_intake,
 )
-from .outbox import start_outbox_export
-from .program_state import program_state_stream
+from .outbox import compact_outbox, start_outbox_export
+from .program_state import STATE_COLUMNS, StagedCompletions, merge_latest, stage_batches
 
 POST_SCHEMA = "post_seq long, program string, batch string, state string"
+#: Micro-batches of a job's input.
+DROPS = 3
+
+
+def land(df: DataFrame, path: str, drop: Column | None = None, fmt: str = "parquet") -> str:
+    """Write rows as files (the producer side of a file stream), one file for
+    each value 0, 1, ... of ``drop``, in that order of arrival."""
+    if drop is None:
+        df.write.mode("errorifexists").format(fmt).save(path)
+        return path
+    for k in range(DROPS):
+        df.where(drop == k).coalesce(1).write.mode("append").format(fmt).save(path)
+    return path
 
 
-def land(df: DataFrame, path: str, files: int | None = None) -> str:
-    """Write rows as parquet files (the producer side of a file stream);
-    ``files`` range-partitions by the first column so files follow its order."""
-    if files:
-        df = df.repartitionByRange(files, df.columns[0])
-    df.write.mode("errorifexists").parquet(path)
-    return path
+def run(stream: DataFrame, each, root: str) -> None:
+    """Run a ``foreachBatch`` function over all that has landed."""
+    q = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
 
 
 def _reconcile(calls, trans_act, part, pip, alloc, config):
@@ -45,12 +59,22 @@ def _demand_items(batch: DataFrame) -> DataFrame:
     return batch.select(F.col("part_name").alias("ItemName"))
 
 
+def in_order(column: str, df: DataFrame) -> Column:
+    """Drops by the order of a column, cut at its approximate quantiles."""
+    cuts = df.agg(F.percentile_approx(column, [k / DROPS for k in range(1, DROPS)])).first()[0] or []
+    drop = F.lit(0)
+    for cut in cuts:
+        drop = drop + (F.col(column) > cut).cast("int")
+    return drop
+
+
 def stream_demand_intake(spark: SparkSession, v: Views) -> DataFrame:
     root = scratch_dir(spark, "demand-intake")
-    src = land(v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames()), f"{root}/calls")
+    calls = v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames())
+    src = land(calls, f"{root}/calls", in_order("seq", calls))
     store = BucketedQueueStore(spark, f"{root}/queue", v.trans_act)
     q = start_intake(
-        call_stream(spark, src, DEMAND_CALL_SCHEMA),
+        call_stream(spark, src, DEMAND_CALL_SCHEMA, max_files_per_trigger=1),
         store,
         _reconcile,
         f"{root}/_checkpoint",
@@ -64,37 +88,60 @@ def stream_demand_intake(spark: SparkSession, v: Views) -> DataFrame:
     return store.current()
 
 
+def stream_inventory_intake(spark: SparkSession, v: Views) -> DataFrame:
+    """Calls arrive as posted JSON arrays, one line for all calls of an event."""
+    root = scratch_dir(spark, "inventory-intake")
+    calls = v.inventory_events.select(*INVENTORY_CALL_SCHEMA.fieldNames())
+    # An event has a bounded number of calls: they came in one request.
+    posts = calls.groupBy("sap_event_id").agg(F.min("seq").alias("seq"), F.to_json(F.collect_list(F.struct(*calls.columns))).alias("value"))
+    land(posts.where("value is not null").select("value", in_order("seq", posts).alias("drop")).select("value", "drop"), f"{root}/posts", F.col("drop"), "json")
+    stock = v.stock
+    posted = call_stream(spark, f"{root}/posts", "value string, drop int", "json", max_files_per_trigger=1)
+
+    def items(batch: DataFrame) -> DataFrame:
+        # called sheets, and the sheets that the events' materials may remove
+        removed = stock.join(batch.select(F.col("mm").alias("PrimeCode")), "PrimeCode", "left_semi").select(F.col("SheetName").alias("ItemName"))
+        return batch.select(F.col("sheet_name").alias("ItemName")).unionByName(removed)
+
+    def rec(batch, trans_act, alloc, config):
+        return reconcile_inventory(batch, stock, alloc, config, trans_act, flag_new=True)
+
+    store = BucketedQueueStore(spark, f"{root}/queue", v.trans_act)
+    q = start_intake(json_array_calls(posted, INVENTORY_CALL_SCHEMA), store, rec, f"{root}/_checkpoint", touched_items=items, alloc=v.slab_sheet_alloc, config=v.config)
+    q.awaitTermination()
+    return store.current()
+
+
 def stream_event_gate(spark: SparkSession, v: Views) -> DataFrame:
+    """The calls of an event arrive in different batches, and not in order."""
     root = scratch_dir(spark, "event-gate")
-    src = land(v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames()), f"{root}/calls")
-    gated = first_call_per_event(call_stream(spark, src, DEMAND_CALL_SCHEMA)).select("sap_event_id")
-    q = (
-        gated.writeStream.format("parquet")
-        .option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/_checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    src = land(v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames()), f"{root}/calls", F.pmod(F.col("seq"), F.lit(DROPS)))
+    gate = EventGate(spark, f"{root}/passed")
+    run(call_stream(spark, src, DEMAND_CALL_SCHEMA, max_files_per_trigger=1), gate, root)
+    return gate.passed()
+
+
+def _posts(spark: SparkSession, v: Views, root: str) -> DataFrame:
+    posts = v.program_state_events.select("post_seq", "program", "batch", "state")
+    src = land(posts, f"{root}/posts", F.pmod(F.xxhash64("post_seq"), F.lit(DROPS)))
+    return call_stream(spark, src, POST_SCHEMA, max_files_per_trigger=1)
 
 
 def stream_program_state(spark: SparkSession, v: Views) -> DataFrame:
+    """The latest state of each program; posts arrive out of order."""
     root = scratch_dir(spark, "program-state")
-    src = land(v.program_state_events.select("post_seq", "program", "batch", "state"), f"{root}/posts")
-    posts = call_stream(spark, src, POST_SCHEMA)
-    q = (
-        program_state_stream(posts)
-        .writeStream.format("parquet")
-        .option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/_checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    none = spark.createDataFrame([], POST_SCHEMA).select(*STATE_COLUMNS)
+    store = QueueStore(spark, f"{root}/latest", none)
+    run(_posts(spark, v, root), merge_latest(store), root)
+    return store.current().select("program", "batch", "state")
+
+
+def stream_program_complete(spark: SparkSession, v: Views) -> DataFrame:
+    """Completions staged by the posts, whatever the cut into batches."""
+    root = scratch_dir(spark, "program-complete")
+    store = StagedCompletions(spark, f"{root}/staged", v.trans_act)
+    run(_posts(spark, v, root), stage_batches(store, v.program), root)
+    return store.rows()
 
 
 OUTBOX_SCHEMA = (
@@ -104,16 +151,16 @@ OUTBOX_SCHEMA = (
 
 
 def stream_outbox_export(spark: SparkSession, v: Views) -> DataFrame:
+    """The exported documents, read back, one row per child; acknowledged rows
+    have left the outbox, so any that are still there would be added as ``left``."""
     root = scratch_dir(spark, "outbox")
-    src = land(v.st_prg_arc, f"{root}/outbox")
-    q = start_outbox_export(
-        call_stream(spark, src, OUTBOX_SCHEMA),
-        root,
-        stock=v.stock,
-        st_pip_arc=v.st_pip_arc,
-        part=v.part_wo,
-        remnant=v.remnant,
-    )
+    src = land(v.st_prg_arc, f"{root}/outbox", F.pmod(F.col("AutoID"), F.lit(DROPS)))
+    tables = dict(stock=v.stock, st_pip_arc=v.st_pip_arc, part=v.part_wo, remnant=v.remnant)
+    q = start_outbox_export(call_stream(spark, src, OUTBOX_SCHEMA, max_files_per_trigger=1), root, **tables)
     q.awaitTermination()
-    docs = spark.read.schema("ArchivePacketID long, state string, batch long").json(f"{root}/docs")
-    return docs.select("ArchivePacketID", "state")
+    from ..plans.feedback import feedback_documents
+
+    schema = feedback_documents(v.st_prg_arc, **tables).schema
+    rows = feedback_document_rows(spark.read.schema(schema).json(f"{root}/docs"))
+    left = compact_outbox(spark, v.st_prg_arc, root).select("AutoID", "ArchivePacketID", F.lit("left").alias("state"))
+    return rows.unionByName(left, allowMissingColumns=True)

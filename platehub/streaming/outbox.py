@@ -17,9 +17,16 @@ from ..plans.feedback import feedback_documents
 
 def export_batches(root: str, stock: DataFrame, st_pip_arc: DataFrame, part: DataFrame, remnant: DataFrame):
     def run(batch: DataFrame, batch_id: int) -> None:
-        docs = feedback_documents(batch, stock, st_pip_arc, part, remnant)
-        docs.write.mode("overwrite").json(f"{root}/docs/batch={batch_id}")
-        batch.select("AutoID").write.mode("overwrite").parquet(f"{root}/acks/batch={batch_id}")
+        batch = batch.persist()  # read for the documents and for the acks
+        try:
+            # Only the batch's own packets and programs are looked up.
+            pips = st_pip_arc.join(batch.select("ArchivePacketID"), "ArchivePacketID", "left_semi")
+            rems = remnant.join(batch.select("ProgramName", "RepeatID"), ["ProgramName", "RepeatID"], "left_semi")
+            docs = feedback_documents(batch, stock, pips, part, rems)
+            docs.write.mode("overwrite").json(f"{root}/docs/batch={batch_id}")
+            batch.select("AutoID").write.mode("overwrite").parquet(f"{root}/acks/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return run
 

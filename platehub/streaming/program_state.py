@@ -1,112 +1,57 @@
-"""Program state machine per program (T4).
-
-Operator posts move a program between ``Initiated``, ``Processing``,
-``Complete`` and ``Cancelled``; a post to ``Complete`` stages the program's
-completion (SN70).  The stream keeps one small state per program
-(``applyInPandasWithState``), so each micro-batch touches only the posts it
-received.  The batch twin sorts posts by (program, seq) inside each hash
-partition and replays them in one pass per partition (``mapInPandas``), so
-there is no per-group pandas overhead.
+"""Program posts as a stream (T4).
+
+Every ``Complete`` post stages the completion of its program's lowest repeat
+that is still open; no post is rejected.  The latest state of a program is the
+post with the largest sequence number, whenever it arrives.  Both are merges in
+``foreachBatch`` over versions in the shared folder: a micro-batch reads what
+the batches before it left and overwrites its own folder, so a replay writes
+the same.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-# States and the transitions an operator may make.  A finished
-# program (Complete / Cancelled) may be opened again, which starts at Initiated.
-STATES = ("Initiated", "Processing", "Complete", "Cancelled")
-ALLOWED = {
-    None: ("Initiated",),
-    "Initiated": ("Processing", "Cancelled"),
-    "Processing": ("Initiated", "Complete", "Cancelled"),
-    "Complete": ("Initiated",),
-    "Cancelled": ("Initiated",),
-}
-
-OUT_COLUMNS = ["program", "post_seq", "batch", "from_state", "state", "emits_sn70"]
-OUTPUT_SCHEMA = "program string, post_seq long, batch string, from_state string, state string, emits_sn70 boolean"
-STATE_SCHEMA = "state string, last_seq long"
-
-
-def step(program, current, last_seq, seq, batch, new, out):
-    """Apply one post (in seq order); accepted transitions go to ``out``.
-    Invalid posts and posts not newer than the state are ignored."""
-    if last_seq is not None and seq <= last_seq:
-        return current, last_seq
-    if new in ALLOWED.get(current, ()):
-        out.append((program, int(seq), batch, current, new, new == "Complete"))
-        return new, int(seq)
-    return current, last_seq
-
-
-def transitions(program: str, current: str | None, last_seq: int | None, posts: pd.DataFrame):
-    """Apply a program's posts; returns (accepted rows, state, last seq)."""
-    seqs = posts["post_seq"].tolist()
-    batches = posts["batch"].tolist()
-    states = posts["state"].tolist()
-    out: list = []
-    for i in sorted(range(len(seqs)), key=seqs.__getitem__):
-        current, last_seq = step(program, current, last_seq, seqs[i], batches[i], states[i], out)
-    return out, current, last_seq
-
-
-_EMPTY = pd.DataFrame(
-    {
-        "program": pd.Series([], dtype=object),
-        "post_seq": pd.Series([], dtype="int64"),
-        "batch": pd.Series([], dtype=object),
-        "from_state": pd.Series([], dtype=object),
-        "state": pd.Series([], dtype=object),
-        "emits_sn70": pd.Series([], dtype=bool),
-    }
-)
-
-
-def _frame(rows) -> pd.DataFrame:
-    if not rows:
-        return _EMPTY
-    return pd.DataFrame.from_records(rows, columns=OUT_COLUMNS)
-
-
-def _stateful(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    program = key[0]
-    cur, last = (state.get if state.exists else (None, None))
-    frames = list(pdfs)
-    posts = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    rows, cur, last = transitions(program, cur, last, posts)
-    state.update((cur, last))
-    yield _frame(rows)
-
-
-def program_state_stream(posts: DataFrame) -> DataFrame:
-    """Streaming state machine: accepted transitions per micro-batch."""
-    return posts.groupBy("program").applyInPandasWithState(
-        _stateful, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def _replay_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    prog, cur, last = None, None, None
-    for pdf in batches:
-        out: list = []
-        for p, seq, b, s in zip(pdf["program"].tolist(), pdf["post_seq"].tolist(), pdf["batch"].tolist(),
-                                pdf["state"].tolist()):
-            if p != prog:
-                prog, cur, last = p, None, None
-            cur, last = step(p, cur, last, seq, b, s, out)
-        yield _frame(out)
-
-
-def program_state_batch(posts: DataFrame) -> DataFrame:
-    """Batch twin: replay every program's posts from the start.  Rows are
-    hash-partitioned by program and sorted by (program, seq) within each
-    partition, then streamed through the state machine in Arrow batches."""
-    ordered = posts.select("program", "post_seq", "batch", "state").repartition("program").sortWithinPartitions(
-        "program", "post_seq"
-    )
-    return ordered.mapInPandas(_replay_partition, OUTPUT_SCHEMA)
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators.dedup import last_per_key
+from ..plans.programs import stage_completion
+from .intake import QueueStore, completed_versions
+
+STATE_COLUMNS = ["program", "post_seq", "batch", "state"]
+
+
+def merge_latest(store: QueueStore):
+    """``foreachBatch`` function: the latest post of each program so far."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        known = store.current(before=batch_id).unionByName(batch.select(*STATE_COLUMNS))
+        store.write(batch_id, last_per_key(known, ["program"], ["post_seq", "batch", "state"]))
+
+    return run
+
+
+class StagedCompletions:
+    """Completions staged by micro-batches: ``<root>/version=<batch id>``."""
+
+    def __init__(self, spark: SparkSession, root: str, trans_act: DataFrame):
+        self.spark, self.root = spark, root
+        self.trans_act = trans_act.select("TransType", "ProgramName", "ProgramRepeat")
+
+    def rows(self, before: int | None = None) -> DataFrame | None:
+        done = [v for v in completed_versions(self.spark, self.root) if before is None or v < before]
+        return self.spark.read.parquet(*[f"{self.root}/version={v}" for v in done]) if done else None
+
+    def queue(self, before: int) -> DataFrame:
+        staged = self.rows(before)
+        return self.trans_act if staged is None else self.trans_act.unionByName(staged.select(*self.trans_act.columns))
+
+
+def stage_batches(store: StagedCompletions, program: DataFrame):
+    """``foreachBatch`` function: completions of the batch's Complete posts, on
+    top of all that is staged already.  The repeats of a program that get
+    completed do not depend on how posts are cut into batches."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        out = stage_completion(batch, program, store.queue(batch_id))
+        out.write.mode("overwrite").parquet(f"{store.root}/version={batch_id}")
+
+    return run
