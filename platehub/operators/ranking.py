@@ -1,34 +1,22 @@
 """``row_number()`` within a key that stays parallel when one key is huge.
 
-A plain window ``partitionBy(key)`` puts every row of a key into one task.
-Here keys are split by size first (one partial aggregate: count, min, max of
-the numeric order column per key):
-
-* cold keys (at most ``max_rows_per_task`` rows) use the ordinary window;
-* a hot key is cut into ``2 * ceil(n / max_rows_per_task)`` equal-width
-  ranges of its order values; each (key, range) is numbered by its own
-  window task, and each range is shifted by the row count of the ranges
-  before it (a window over a table of #hot keys x #ranges rows).
-
-The range of a row is a monotone function of its order value, so ranges are
-ordered and the result equals the plain window whenever the order column is
-unique within the key.  Uneven value distributions only make ranges uneven,
-never wrong.
+A plain window ``partitionBy(key)`` puts every row of a key into one task.  A
+key of more than ``max_rows_per_task`` rows is cut into ranges at approximate
+quantiles of its order values, so ranges are even however skewed the values
+are; each range is numbered by its own task and shifted by the row count of the
+ranges before it.  NULL order values come first, as in the plain window, and
+NULL keys are a key like any other.  Both ways give the same numbers whenever
+the order column is unique within the key.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
-
 DEFAULT_MAX_ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS = 100_000
-
-# Answers of the hot-key probe for immutable inputs, keyed by the caller
-# (e.g. input path + key + threshold), like table statistics computed once.
-_HOT_PROBES: dict[tuple, bool] = {}
 
 
 def row_number_within(
@@ -37,46 +25,33 @@ def row_number_within(
     order: str,
     out: str = "rn",
     max_rows_per_task: int = DEFAULT_MAX_ROWS_PER_TASK,
-    probe_key: tuple | None = None,
 ) -> DataFrame:
-    """``row_number()`` over ``partitionBy(keys).orderBy(order)``, split for
-    hot keys.  ``probe_key`` identifies an immutable input so the hot-key
-    probe runs once per process for it."""
-    stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(order).alias("__lo"), F.max(order).alias("__hi")
-    )
-    hot = stats.where(F.col("__n") > max_rows_per_task)
-    w = Window.partitionBy(*keys).orderBy(order)
-    # a hot key holds more than max_rows_per_task rows, so there are at most
-    # total_rows / max_rows_per_task hot keys: a bounded table
-    cache_key = None if probe_key is None else (*probe_key, tuple(keys), order, max_rows_per_task)
-    if cache_key is not None and cache_key in _HOT_PROBES:
-        any_hot = _HOT_PROBES[cache_key]
-    else:
-        any_hot = hot.limit(1).count() > 0
-        if cache_key is not None:
-            _HOT_PROBES[cache_key] = any_hot
-    if not any_hot:
-        return df.withColumn(out, F.row_number().over(w))
-
-    hot = hot.withColumn("__nb", (F.ceil(F.col("__n") / F.lit(max_rows_per_task)) * 2).cast("long"))
-    hot_keys = bounded_broadcast(hot.select(*keys, "__lo", "__hi", "__nb"), MAX_HOT_KEYS)
-    tagged = df.join(hot_keys, keys, "left")
-    cold = tagged.where(F.col("__nb").isNull()).drop("__lo", "__hi", "__nb").withColumn(
-        out, F.row_number().over(w)
+    """``row_number()`` over ``partitionBy(keys).orderBy(order)``, split for hot keys."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    largest = counts.agg(F.max("__n")).first()[0] or 0
+    if largest <= max_rows_per_task:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+
+    ranges = min(10_000, 2 * math.ceil(largest / max_rows_per_task))
+    # One row per hot key: at most total rows / max_rows_per_task of them.
+    cuts = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx(order, [k / ranges for k in range(1, ranges)]).alias("__cuts"))
+        .where(F.col("__n") > max_rows_per_task).select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__cuts")
     )
-
-    span = F.col("__hi").cast("double") - F.col("__lo").cast("double") + F.lit(1.0)
-    pos = (F.col(order).cast("double") - F.col("__lo").cast("double")) / span
-    bucket = F.least(F.col("__nb") - 1, F.floor(pos * F.col("__nb")).cast("long"))
-    hot_rows = tagged.where(F.col("__nb").isNotNull()).withColumn("__b", bucket).drop("__lo", "__hi", "__nb")
-    local = hot_rows.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(order)))
-    sizes = hot_rows.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__bn"))
-    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("__off", F.coalesce(F.sum("__bn").over(before), F.lit(0))).drop("__bn")
-    hot_ranked = (
-        local.join(offsets, [*keys, "__b"], "inner")
-        .withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
-        .drop("__b", "__local", "__off")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    above = F.coalesce(F.size(F.filter("__cuts", lambda c: c < F.col(order))), F.lit(0))
+    piece = F.when(F.col("__cuts").isNull(), F.lit(0)).when(F.col(order).isNull(), F.lit(-1)).otherwise(above)
+    tagged = df.join(cuts, same, "left").withColumn("__piece", piece).select(*df.columns, "__piece")
+    local = tagged.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, "__piece").orderBy(order)))
+    before = Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        tagged.groupBy(*keys, "__piece").agg(F.count(F.lit(1)).alias("__c"))
+        .withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0)))
+        .select(*[F.col(k).alias(f"__o_{k}") for k in keys], F.col("__piece").alias("__o_piece"), "__off")
     )
-    return cold.unionByName(hot_ranked)
+    own = F.col("__piece") == F.col("__o_piece")
+    for k in keys:
+        own = own & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
+    return local.join(offsets, own).select(*df.columns, (F.col("__local") + F.col("__off")).cast("int").alias(out))

@@ -10,6 +10,7 @@ from ..functions import codes
 from ..functions.text import first_dash_to_underscore, is_main_member, job_of
 from ..operators.changelog import overlay
 from ..operators.dedup import last_per_key
+from .queue import with_column_defaults
 
 
 def parts_in_process(part: DataFrame, pip: DataFrame) -> DataFrame:
@@ -55,8 +56,9 @@ def zero_order_deletes(revised_part: DataFrame) -> DataFrame:
 def demand_feed(calls: DataFrame) -> DataFrame:
     """The ERP's current demand: the last call per (work order, part) with a
     positive quantity, as SN81 rows (the reload of an overlay)."""
+    feed = with_column_defaults(calls, {"matl": "string", "thk": "double", "shipment": "string"})
     last = last_per_key(
-        calls.select("work_order", "part_name", "seq", "qty", "job"), ["work_order", "part_name"], ["seq"]
+        feed.select("work_order", "part_name", "seq", "qty", "job", "matl", "thk", "shipment"), ["work_order", "part_name"], ["seq"]
     )
     return last.where(F.col("qty") > 0).select(
         F.lit(codes.ADD_PART).alias("TransType"),
@@ -64,10 +66,23 @@ def demand_feed(calls: DataFrame) -> DataFrame:
         F.col("work_order").alias("OrderNo"),
         F.col("part_name").alias("ItemName"),
         F.col("qty").cast("int").alias("Qty"),
+        F.col("matl").alias("Material"),
+        F.col("thk").alias("Thickness"),
         F.col("job").alias("ItemData1"),
+        F.col("shipment").alias("ItemData2"),
     )
 
 
+def revise_and_stage(part: DataFrame, in_process: DataFrame, calls: DataFrame, part_name: str | None = None) -> DataFrame:
+    """Revision of a part (C13): its orders are cut to what is done or nested,
+    SN82 is staged for every work order left at zero, then SN81 for the part's
+    current demand.  ``part_name=None`` revises every part."""
+    deletes = zero_order_deletes(revise_demand(part, in_process, part_name))
+    if part_name is not None:
+        calls = calls.where(F.col("part_name") == part_name)
+    return deletes.unionByName(demand_feed(calls), allowMissingColumns=True)
+
+
 def overlay_demand(part: DataFrame, in_process: DataFrame, calls: DataFrame) -> DataFrame:
     """Demand overlay (C14): revise every part, stage SN82 for zero orders,
     one SN89I marker, then the full reload.  ``Phase`` orders the three
@@ -89,7 +104,9 @@ def overlay_stock(inventory_calls: DataFrame, config: DataFrame) -> DataFrame:
 
     cfg = district_by_system(config)
     last = last_per_key(
-        inventory_calls.select("sheet_name", "seq", "sap_system", "sheet_type", "qty", "mm", "matl"),
+        with_column_defaults(inventory_calls, {"thk": "double", "wid": "double", "len": "double"}).select(
+            "sheet_name", "seq", "sap_system", "sheet_type", "qty", "mm", "matl", "thk", "wid", "len"
+        ),
         ["sheet_name"],
         ["seq"],
     ).where(F.col("qty") > 0)
@@ -101,6 +118,9 @@ def overlay_stock(inventory_calls: DataFrame, config: DataFrame) -> DataFrame:
         F.col("sheet_name").alias("ItemName"),
         F.col("qty").cast("int").alias("Qty"),
         F.col("matl").alias("Material"),
+        F.col("thk").alias("Thickness"),
+        F.col("wid").alias("Width"),
+        F.col("len").alias("Length"),
         F.col("mm").alias("PrimeCode"),
         F.when(remnant, F.replace(F.col("cfg_template"), F.lit("<sheet_name>"), F.col("sheet_name"))).alias(
             "FileName"

@@ -39,6 +39,39 @@ def program_feedback(st_prg_arc: DataFrame) -> DataFrame:
     )
 
 
+def program_feed(st_prg_arc: DataFrame) -> DataFrame:
+    """All programs of the unpurged outbox with their state (S3)."""
+    return st_prg_arc.select(
+        "ArchivePacketID", codes.decode_state(F.col("TransType")).alias("state"), "ProgramName", "RepeatID", "MachineName", "CuttingTime"
+    )
+
+
+def completed_parts(st_prt_arc: DataFrame) -> DataFrame:
+    """Completed parts of the archive (S3): typed, with P6 defaults."""
+    return st_prt_arc.select(
+        "ArchivePacketID", F.coalesce("PartName", F.lit("")).alias("PartName"), F.col("QtyProgram").alias("PartQty"),
+        F.coalesce("Data1", F.lit("")).alias("Job"), shipment_int(F.col("Data2")).alias("Shipment"), "TrueArea", "NestedArea",
+    )
+
+
+def purge_outbox(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The outbox tables after the retention purge (U2, C3): programs and parts
+    keep the codes that are still read; the other archives are emptied."""
+    keep = {"st_prg_arc": purge_program_outbox, "st_pip_arc": purge_part_outbox}
+    return {name: keep[name](df) if name in keep else df.limit(0) for name, df in tables.items()}
+
+
+def purge_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows before and after the purge, by table."""
+    out = None
+    for name, kept in purge_outbox(tables).items():
+        row = tables[name].select(F.lit(name).alias("table_name"), F.lit(1).alias("before"), F.lit(0).alias("after")).unionByName(
+            kept.select(F.lit(name).alias("table_name"), F.lit(0).alias("before"), F.lit(1).alias("after"))
+        )
+        out = row if out is None else out.unionByName(row)
+    return out.groupBy("table_name").agg(F.sum("before").cast("long").alias("rows_before"), F.sum("after").cast("long").alias("rows_after"))
+
+
 def unknown_code_counts(st_prg_arc: DataFrame) -> DataFrame:
     """Quarantine (D8): outbox rows by codes that no state has."""
     return st_prg_arc.where(codes.decode_state(F.col("TransType")).isNull()).groupBy("TransType").agg(F.count("*").alias("n"))

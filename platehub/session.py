@@ -68,10 +68,13 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is
-    unset (local runs, tests) fall back to a fresh scratch folder."""
+    """Use the cluster's shared ``spark.checkpoint.dir``; a local master without
+    it gets a fresh scratch folder, any other is an error: its executors would
+    write to disks of their own."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="platehub-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)

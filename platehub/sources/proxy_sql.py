@@ -48,6 +48,10 @@ FROM lineitem GROUP BY l_partkey, l_orderkey""",
     "remnant": """SELECT 'R' || l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber AS RemnantName, p.ProgramName, p.RepeatID,
   l_quantity AS Length, l_quantity / 2 AS Width, l_quantity * l_quantity / 2 AS Area, l_quantity * 7.5::DOUBLE AS Weight, 'MM' || l_partkey // 10 AS PrimeCode, CAST(l_linenumber AS INTEGER) AS Qty
 FROM lineitem JOIN st_prg_arc p ON p.ArchivePacketID = l_orderkey WHERE l_returnflag = 'R'""",
+    "st_prt_arc": """SELECT l_orderkey AS ArchivePacketID, 'J' || l_partkey % 50 || '-P' || l_partkey AS PartName, CAST(l_quantity AS INTEGER) AS QtyProgram,
+  'J' || l_partkey % 50 AS Data1, CASE WHEN l_linenumber = 4 THEN 'n/a' WHEN l_linenumber <> 3 THEN CAST(l_linenumber AS VARCHAR) END AS Data2,
+  l_extendedprice * (1 - l_discount) AS TrueArea, l_extendedprice AS NestedArea FROM lineitem WHERE l_linestatus = 'F'""",
+    "st_wo_arc": "SELECT 'WO' || o_orderkey AS WONumber FROM orders",
     "sip": "select ProgramName,RepeatID,SheetName from program",
     "batches": """SELECT lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS id, p_brand AS mm, 'S' || p_partkey // 4 AS sheet_name, CASE p_type WHEN 'PROMO' THEN 'Y' ELSE 'N' END AS remnant FROM part""",
     "trans_act": """SELECT 'SN70' AS TransType, CAST(1 AS INTEGER) AS District, right(e, 10) AS TransID, e AS ItemData18, e AS BinNumber, ProgramName, RepeatID AS ProgramRepeat

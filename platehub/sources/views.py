@@ -206,6 +206,25 @@ class Views:
             F.col("l_linenumber").cast("int").alias("Qty"),
         )
 
+    # -- further archive tables of the outbox --------------------------------
+    @cached_property
+    def st_prt_arc(self) -> DataFrame:
+        """Completed parts (STPrtArc)."""
+        li = self.table("lineitem").where(F.col("l_linestatus") == "F")
+        return li.select(
+            F.col("l_orderkey").alias("ArchivePacketID"),
+            _part_name(F.col("l_partkey")).alias("PartName"),
+            F.col("l_quantity").cast("int").alias("QtyProgram"),
+            F.concat(F.lit("J"), (F.col("l_partkey") % 50).cast("string")).alias("Data1"),
+            F.when(F.col("l_linenumber") == 4, "n/a").when(F.col("l_linenumber") != 3, _s("l_linenumber")).alias("Data2"),
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("TrueArea"),
+            F.col("l_extendedprice").alias("NestedArea"),
+        )
+
+    @cached_property
+    def st_wo_arc(self) -> DataFrame:
+        return self.table("orders").select(F.concat(F.lit("WO"), _s("o_orderkey")).alias("WONumber"))
+
     # -- batch file ----------------------------------------------------------
     @cached_property
     def batches(self) -> DataFrame:
