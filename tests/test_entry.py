@@ -4,10 +4,11 @@ at sf0.001 (row count, column names, values)."""
 import pytest
 
 import __spark_entry__ as entry
+from platehub.plans import registry
 from platehub.testing.oracle import compare, duckdb_conn
 
 SF = "/root/testdata/sf0.001"
-STREAMS = {"stream_demand_intake", "stream_event_gate", "stream_program_state", "stream_outbox_export"}
+STREAMS = {n for n in registry.QUERIES if n.startswith("stream_")}
 
 
 def test_entry_smoke(spark):
@@ -18,8 +19,8 @@ def test_entry_smoke(spark):
 
 def test_oracle_keys_are_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"stream_program_state", "feedback_documents_nested", "nest_documents_nested"}
+    assert set(registry.QUERIES) <= set(entry.queries())
+    assert set(registry.QUERIES) == set(registry.ORACLE)  # every one has its SQL
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +28,7 @@ def con():
     return duckdb_conn(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(registry.ORACLE) - STREAMS))
 def test_query_matches_oracle(spark, con, name):
     r = compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name])
     assert r["cols_match"], r
@@ -35,12 +36,25 @@ def test_query_matches_oracle(spark, con, name):
     assert r["values_match"], r
 
 
-def test_nested_documents_have_one_page_per_key_here(spark):
-    """At these sizes every document fits one page, so the nested queries have
-    exactly the rows of their digests (which are checked against SQL)."""
-    qs = entry.queries()
-    assert qs["feedback_documents_nested"](spark, SF).count() == qs["feedback_documents"](spark, SF).count()
-    assert qs["nest_documents_nested"](spark, SF).count() == qs["nest_documents"](spark, SF).count()
+@pytest.mark.parametrize("name", sorted(STREAMS))
+def test_stream_matches_oracle(spark, con, name):
+    r = compare(registry.QUERIES[name](spark, SF), con, registry.ORACLE[name])
+    assert r["cols_match"] and r["values_match"], r
+
+
+def test_entry_without_the_optional_parts(tmp_path):
+    """A copy of the repository without the optional folders still imports."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__", ".pytest_cache"))
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(sorted(e.queries()))"], cwd=copy, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
+    assert said.returncode == 0, said.stderr
+    assert eval(said.stdout.strip().splitlines()[-1]) == sorted(registry.QUERIES)
 
 
 def test_cli_lists_and_rejects_unknown(capsys):
@@ -48,5 +62,5 @@ def test_cli_lists_and_rejects_unknown(capsys):
 
     assert main(["list"]) == 0
     out = capsys.readouterr().out
-    assert "open_programs_by_machine" in out and "stream_program_state  (no SQL twin)" in out
+    assert "open_programs_by_machine" in out and "stream_program_state" in out
     assert main(["run", "no_such_query"]) == 2

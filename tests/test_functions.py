@@ -21,7 +21,7 @@ def test_runtime_text(spark):
 @pytest.mark.parametrize(
     "x,feet,want",
     [(30.5, True, "2'-6 1/2"), (0.75, False, "3/4"), (24.0, True, "2'-0"), (7.25, False, "7 1/4"),
-     (0.0, False, ""), (3.125, False, "3 1/8"), (12.0, False, "12"), (36.25, True, "3'-0 1/4")],
+     (0.0, False, ""), (3.125, False, "3 1/8"), (12.0, False, "12"), (36.25, True, "3'-0 1/4"), (23.999, True, "2'-0"), (11.999, True, "1'-0")],
 )
 def test_inches_text(spark, x, feet, want):
     assert one(spark, X.inches_text(F.col("x"), feet=feet), "x double", (x,)) == want

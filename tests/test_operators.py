@@ -131,7 +131,8 @@ def test_row_number_within_splits_hot_keys(spark):
 
     from platehub.operators.ranking import row_number_within
 
-    data = [("hot", i * 7 % 1000) for i in range(1000)] + [(f"k{i % 5}", i) for i in range(40)] + [(None, 3), (None, 9)]
+    data = [("hot", i * 7 % 1000) for i in range(1000)] + [(f"k{i % 5}", i) for i in range(40)]
+    data += [("skew", 10**12 + i) for i in range(300)] + [("skew", None), ("hot", None)] + [(None, i * i) for i in range(200)]  # skewed values, no value, no key
     df = spark.createDataFrame(data, "k string, o long")
     want = rows(df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o"))))
     got = row_number_within(df, ["k"], "o", max_rows_per_task=50)
@@ -139,6 +140,40 @@ def test_row_number_within_splits_hot_keys(spark):
     assert rows(row_number_within(df, ["k"], "o").select("k", "o", "rn")) == want
 
 
+def test_rows_without_an_order_value_are_kept_whole(spark):
+    df = spark.createDataFrame([("a", None, "x"), ("b", None, "y"), ("b", 1, "z")], "k string, s int, v string")
+    assert rows(first_per_key(df, ["k"], ["s"]), ["k", "v"]) == [("a", "x"), ("b", "y")]
+    assert rows(last_per_key(df, ["k"], ["s"]), ["k", "v"]) == [("a", "x"), ("b", "z")]
+
+
+def test_pages_are_exact_and_split_equal_children(spark):
+    kids = spark.createDataFrame([("p", "x", i) for i in range(4)] + [("p", "y", 10 + i) for i in range(4)] + [("p", "z", 20)], "k string, name string, id int")
+    nine = child_arrays(kids, ["k"], ["name"], "items", page_size=9, child_id=["id"])
+    assert rows(nine, ["page"]) == [(0,)] and nine.first()["items"][0]["name"] == "x" and len(nine.first()["items"]) == 9
+    same = spark.createDataFrame([("p", "x", i) for i in range(400)], "k string, name string, id int")
+    pages = child_arrays(same, ["k"], ["name"], "items", page_size=100, child_id=["id"])
+    assert rows(pages, ["page"]) == [(0,), (1,), (2,), (3,)]
+    assert pages.agg(F.sum(F.size("items"))).first()[0] == 400
+
+
+def test_documents_of_a_repeated_outbox_row(spark):
+    """A packet that is in the outbox twice doubles no child, and a marker
+    stands once however many pages its packet's children fill."""
+    from platehub.plans.feedback import feedback_documents
+
+    outbox = spark.createDataFrame([(1, 7, "SN100", "P", 1, "M", 1.0, "S"), (2, 7, "SN100", "P", 1, "M", 1.0, "S"), (3, 7, "SN101", "P", 1, "M", 1.0, "S")],
+                                   "AutoID long, ArchivePacketID long, TransType string, ProgramName string, RepeatID long, MachineName string, CuttingTime double, SheetName string")
+    stock = spark.createDataFrame([("S", "MM1")], "SheetName string, PrimeCode string")
+    pips = spark.createDataFrame([(i, 7, "SN100", "A", "W", 1, 1.0, 2.0) for i in range(5)], "AutoID long, ArchivePacketID long, TransType string, PartName string, WONumber string, QtyInProcess int, TrueArea double, NestedArea double")
+    part = spark.createDataFrame([("A", "W", "J", "bad")], "PartName string, WONumber string, Data1 string, Data2 string")
+    remnant = spark.createDataFrame([("P", 1, "R", 1.0, 1.0, 1.0)], "ProgramName string, RepeatID long, RemnantName string, Length double, Width double, Area double")
+    docs = feedback_documents(outbox, stock, pips, part, remnant, page_size=2)
+    assert docs.where("state = 'deleted'").count() == 1
+    per = docs.where("nest is not null").groupBy("AutoID").agg(F.sum(F.size("nest.parts")).alias("p"), F.sum(F.size("nest.remnants")).alias("r"))
+    assert rows(per, ["AutoID", "p", "r"]) == [(1, 5, 1), (2, 5, 1)]
+    assert docs.select(F.explode("nest.parts.shipment")).distinct().collect()[0][0] is None  # no shipment, not 0
+
+
 def test_stage_completion_with_hot_program(spark):
     from platehub.plans.programs import stage_completion
 

@@ -6,10 +6,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from platehub.plans import registry
 
 SF = "/root/testdata/sf0.001"
-STREAMS = {n for n in entry.queries() if n.startswith("stream_")}
+STREAMS = {n for n in registry.QUERIES if n.startswith("stream_")}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
@@ -17,16 +17,16 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - STREAMS))
 def test_plan_has_no_unscalable_operators(spark, name):
-    df = entry.queries()[name](spark, SF)
+    df = registry.QUERIES[name](spark, SF)
     plan = plan_text(df)
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op} in plan"
 
 
 def test_lineitem_scans_are_pruned(spark):
-    df = entry.queries()["part_feedback"](spark, SF)
+    df = registry.QUERIES["part_feedback"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     schemas = [c for c in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if "l_orderkey" in c]
     assert schemas, plan
@@ -40,3 +40,22 @@ def test_filters_reach_the_scan(spark, views):
 
     plan = plan_text(views.table("orders").where(F.col("o_orderkey") == 7).select("o_custkey"))
     assert "PushedFilters: [IsNotNull(o_orderkey), EqualTo(o_orderkey,7)]" in plan
+
+
+@pytest.mark.parametrize("name,scans,exchanges", [
+    ("demand_reconcile", 18, 30), ("inventory_reconcile", 14, 24), ("nest_documents", 10, 22), ("feedback_documents", 10, 22),
+    ("program_complete", 4, 10), ("open_programs_by_machine", 4, 8),
+])
+def test_plans_without_broadcasts(spark, name, scans, exchanges):
+    """The plan at scale, where no side is small enough to be broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = plan_text(registry.QUERIES[name](spark, SF))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert not any(op in plan for op in FORBIDDEN)
+    assert plan.count("FileScan parquet") <= scans and plan.count("Exchange hashpartitioning") <= exchanges

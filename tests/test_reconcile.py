@@ -62,7 +62,7 @@ def _row(**kw):
 
 def simulate_demand(calls, parts, pip, alloc, queue, literal):
     queue = [dict(r) for r in queue]
-    pre_tids = [r["TransID"] for r in queue]
+    known = {r[c] for r in queue for c in ("ItemData18", "BinNumber")} - {None}
     seen_events = set()
     for seq, system, event, wo, part, qty, job in sorted(calls):
         tid = _right10(event)
@@ -70,7 +70,7 @@ def simulate_demand(calls, parts, pip, alloc, queue, literal):
         if literal:
             gate = _not_in(tid, [r["TransID"] for r in queue]) is True
         else:
-            gate = event is not None and event not in seen_events and _not_in(tid, [t for t in pre_tids if t]) is True
+            gate = event is not None and event not in seen_events and event not in known
             seen_events.add(event)
         cfg = _cfg(system)
         if gate and cfg:
@@ -98,14 +98,14 @@ def simulate_demand(calls, parts, pip, alloc, queue, literal):
 
 def simulate_inventory(calls, stock, alloc_sheets, queue, literal):
     queue = [dict(r) for r in queue]
-    pre_tids = [r["TransID"] for r in queue]
+    known = {r[c] for r in queue for c in ("ItemData18", "BinNumber")} - {None}
     seen_events = set()
     for seq, system, event, sheet, stype, qty, mm, matl in sorted(calls):
         tid = _right10(event)
         if literal:
             gate = _not_in(tid, [r["TransID"] for r in queue]) is True
         else:
-            gate = event is not None and event not in seen_events and _not_in(tid, [t for t in pre_tids if t]) is True
+            gate = event is not None and event not in seen_events and event not in known
             seen_events.add(event)
         cfg = _cfg(system)
         if gate and cfg:
@@ -231,6 +231,9 @@ def _demand_scenario(rng, s):
         if rng.random() < 0.25:  # already staged before the batch: TransID = right(ItemData18, 10)
             queue.append(_row(TransType="SN81", District=7, TransID=e[-10:], OrderNo=rng.choice(W),
                               ItemName=rng.choice(P), Qty=1, ItemData18=e))
+        elif rng.random() < 0.25:  # another event, with the same last ten characters
+            queue.append(_row(TransType="SN70", District=7, TransID=e[-10:], ProgramName="PRG", ProgramRepeat=2,
+                              ItemData18="9" + e[1:]))
     if rng.random() < 0.3:
         queue.append(_row(TransType="SN70", District=1, TransID=f"{s:05d}99999", ProgramName="PRG", ProgramRepeat=1))
     calls, seq = [], s * 1000
@@ -272,6 +275,9 @@ def _inventory_scenario(rng, s):
         if rng.random() < 0.25:  # staged earlier, under a name no call of this batch touches
             queue.append(_row(TransType="SN91A", District=7, TransID=e[-10:], ItemName=f"S{s}OLD{e[-2:]}", Qty=1,
                               BinNumber=e))
+        elif rng.random() < 0.25:
+            queue.append(_row(TransType="SN70", District=7, TransID=e[-10:], ProgramName="PRG", ProgramRepeat=2,
+                              BinNumber="9" + e[1:]))
     calls, seq = [], s * 1000
     for e in rng.sample(events, rng.randint(1, 4)):
         mm = rng.choice(mms)  # one material master per event, calls contiguous
@@ -338,6 +344,8 @@ def test_queue_invariants_on_proxy_data(spark, views):
     # the gate opens once per event: all removals of an event come from one call
     rem = new.where(F.col("Ordinal") % 2 == 0)
     assert rem.groupBy("ItemData18").agg(F.countDistinct("Ordinal").alias("n")).where("n > 1").count() == 0
+    # an event that is in the queue opens no gate; one that shares its tail does
+    assert rem.join(v.trans_act.select("ItemData18"), "ItemData18", "left_semi").count() == 0
     # pre-existing rows are never touched (their keys are NULL)
     assert out.where(F.col("Ordinal").isNull()).count() == v.trans_act.count()
     inv = reconcile_inventory(v.inventory_events, v.stock, v.slab_sheet_alloc, v.config, v.trans_act)
@@ -345,3 +353,22 @@ def test_queue_invariants_on_proxy_data(spark, views):
     # inventory: the last add per sheet evicts every earlier row of that sheet
     last = inv_adds.groupBy("ItemName").agg(F.max("Ordinal").alias("m"))
     assert inv.join(last, "ItemName").where(F.col("Ordinal") < F.col("m")).count() == 0
+
+
+def test_inventory_replay_does_not_open_the_gate_again(spark):
+    """Removals carry the event, so a second batch of the same event removes nothing."""
+    stock = spark.createDataFrame([("S1", "MM", "MS", 0.5, 96.0, 240.0, EV.format(5))], STOCK_SCHEMA)
+    alloc, config = spark.createDataFrame([], "SheetName string"), spark.createDataFrame(CONFIG, CONFIG_SCHEMA)
+    queue = spark.createDataFrame([], QUEUE_SCHEMA)
+    one = reconcile_inventory(spark.createDataFrame([(1, "AAA", EV.format(1), "S9", "Sheet", 0, "MM", "MS")], ICALL_SCHEMA), stock, alloc, config, queue)
+    assert one.count() == 1
+    again = spark.createDataFrame([(2, "AAA", EV.format(1), "S9", "Sheet", 0, "MM", "MS"), (3, "AAA", "9" + EV.format(1)[1:], "S9", "Sheet", 0, "MM", "MS")], ICALL_SCHEMA)
+    two = reconcile_inventory(again, stock, alloc, config, one)
+    assert _spark_rows(two, ["Ordinal"]) == [(2,), (6,)]
+
+
+def test_unknown_system_quarantine(spark):
+    from platehub.plans.reconcile import unknown_system_calls
+
+    calls = spark.createDataFrame([(1, "ZZZ", EV.format(1), "W1", "X1", 5, "J"), (2, "AAA", EV.format(1), "W1", "X1", 5, "J"), (3, None, EV.format(1), "W1", "X1", 5, "J")], CALL_SCHEMA)
+    assert _spark_rows(unknown_system_calls(calls, spark.createDataFrame(CONFIG, CONFIG_SCHEMA)), ["seq"]) == [(1,), (3,)]

@@ -13,39 +13,65 @@ from platehub.streaming.intake import (
     reconcile_batches,
     scratch_dir,
 )
-from platehub.streaming.jobs import POST_SCHEMA
-from platehub.streaming.program_state import program_state_batch, program_state_stream, transitions
 
 
-def test_transition_rules():
-    import pandas as pd
+def test_completions_do_not_depend_on_the_cut(spark, views):
+    """T4: any cut of the posts into micro-batches, in any order, completes the
+    repeats that one batch completes; a replayed batch changes nothing."""
+    from platehub.plans.programs import stage_completion
+    from platehub.streaming.program_state import StagedCompletions, stage_batches
 
-    posts = pd.DataFrame({"post_seq": [1, 2, 3, 4, 5], "batch": ["b"] * 5,
-                          "state": ["Processing", "Initiated", "Processing", "Complete", "Cancelled"]})
-    acc, state, last = transitions("P", None, None, posts)
-    assert [(r[3], r[4]) for r in acc] == [(None, "Initiated"), ("Initiated", "Processing"),
-                                          ("Processing", "Complete")]
-    assert (state, last) == ("Complete", 4)
-
-
-def test_program_state_stream_in_two_steps_equals_batch(spark, views):
-    posts = views.program_state_events.select("post_seq", "program", "batch", "state")
-    root = scratch_dir(spark, "t4-test")
-    cut = posts.agg(F.expr("percentile_approx(post_seq, 0.5)")).first()[0]
-    posts.where(F.col("post_seq") <= cut).write.parquet(f"{root}/in/part=1")
-    stream = call_stream(spark, f"{root}/in", POST_SCHEMA + ", part int")
-
-    def run():
-        q = (program_state_stream(stream.drop("part")).writeStream.format("parquet")
-             .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck")
-             .outputMode("append").trigger(availableNow=True).start())
-        q.awaitTermination()
-
-    run()
-    posts.where(F.col("post_seq") > cut).write.parquet(f"{root}/in/part=2")
-    run()
-    got = spark.read.parquet(f"{root}/out")
-    assert rows(got) == rows(program_state_batch(posts).select(*got.columns))
+    v = views
+    posts = v.program_state_events
+    want = rows(stage_completion(posts, v.program, v.trans_act), ["ProgramName", "ProgramRepeat"])
+    store = StagedCompletions(spark, scratch_dir(spark, "t4-test"), v.trans_act)
+    step = stage_batches(store, v.program)
+    for k in (2, 0, 3, 1):
+        step(posts.where(F.pmod(F.xxhash64("post_seq"), F.lit(4)) == k), {2: 0, 0: 1, 3: 2, 1: 3}[k])
+    assert rows(store.rows(), ["ProgramName", "ProgramRepeat"]) == want
+    step(posts.where(F.pmod(F.xxhash64("post_seq"), F.lit(4)) == 1), 3)
+    assert rows(store.rows(), ["ProgramName", "ProgramRepeat"]) == want
+
+
+def test_latest_state_with_late_posts(spark):
+    from platehub.streaming.program_state import STATE_COLUMNS, merge_latest
+
+    schema = "program string, post_seq long, batch string, state string"
+    store = QueueStore(spark, scratch_dir(spark, "t4-latest"), spark.createDataFrame([], schema).select(*STATE_COLUMNS))
+    step = merge_latest(store)
+    step(spark.createDataFrame([("P", 5, "b", "Complete"), ("Q", 1, "b", "Initiated")], schema), 0)
+    step(spark.createDataFrame([("P", 3, "b", "Processing"), ("Q", 2, "b", None)], schema), 1)
+    assert rows(store.current(), ["program", "post_seq", "state"]) == [("P", 5, "Complete"), ("Q", 2, None)]
+
+
+def test_gate_forgets_nothing(spark):
+    """Late events pass, known events do not, however old."""
+    from platehub.streaming.intake import EventGate
+
+    gate = EventGate(spark, scratch_dir(spark, "t3-test"))
+    schema = "seq long, sap_event_id string"
+    gate(spark.createDataFrame([(10, "e1"), (11, "e1")], schema), 0)
+    gate(spark.createDataFrame([(5, "e2"), (12, "e3"), (1, "e1"), (7, None)], schema), 1)
+    gate(spark.createDataFrame([(13, "e2"), (14, "e1")], schema), 2)
+    assert rows(gate.passed(), ["seq", "sap_event_id"]) == [(10, "e1"), (12, "e3"), (5, "e2")]
+    gate(spark.createDataFrame([(5, "e2"), (12, "e3"), (1, "e1"), (7, None)], schema), 1)  # a replay
+    assert rows(gate.passed(), ["seq", "sap_event_id"]) == [(10, "e1"), (12, "e3"), (5, "e2")]
+
+
+def test_queue_rows_without_an_item_are_appended(spark, views):
+    from platehub.plans.queue import BATCH_FLAG, conform
+
+    store = BucketedQueueStore(spark, scratch_dir(spark, "null-items"), views.trans_act, buckets=8)
+    n = views.trans_act.count()
+    new = conform(spark.createDataFrame([("SN81", None), ("SN81", "X")], "TransType string, ItemName string"))
+    for version in range(3):
+        queue = store.current(before=version).withColumn(BATCH_FLAG, F.lit(False))
+        store.write(version, queue.unionByName(new.withColumn(BATCH_FLAG, F.lit(True))), new)
+        assert store.current().count() == n + 2 * (version + 1)
+    store.write(2, store.current(before=2).withColumn(BATCH_FLAG, F.lit(False)).unionByName(new.withColumn(BATCH_FLAG, F.lit(True))), new)
+    assert store.current().count() == n + 6
+    # replaced folders of item buckets are gone but for the one a replay reads
+    assert sum(b != store.NO_ITEM for _, b, _ in store._folders(None)) == 2
 
 
 def test_intake_micro_batches_equal_one_batch(spark, views):
@@ -80,17 +106,6 @@ def test_json_array_intake(spark):
     assert rows(got, ["seq", "work_order", "qty"]) == [(1, "WO1", 3), (2, "WO2", 0)]
 
 
-def test_registered_stream_queries_run(spark):
-    import __spark_entry__ as entry
-
-    qs = entry.queries()
-    sf = "/root/testdata/sf0.001"
-    gate = qs["stream_event_gate"](spark, sf)
-    assert gate.count() == gate.select("sap_event_id").distinct().count()
-    state = qs["stream_program_state"](spark, sf)
-    assert state.count() > 0
-
-
 def test_outbox_export_then_compaction(spark, views):
     from platehub.streaming.jobs import OUTBOX_SCHEMA, land
     from platehub.streaming.outbox import compact_outbox, start_outbox_export
