@@ -95,18 +95,15 @@ class Index:
         """Items that score at least the threshold against a passage's known
         words, block by block under the blocks' bounds."""
         terms = np.unique(query)
-        bound = self.most[terms].sum(axis=0, dtype=np.float64)
-        out = []
-        live = np.flatnonzero(bound >= threshold - 1e-4)
+        most = self.most[terms]
+        live = np.flatnonzero(most.sum(axis=0, dtype=np.float64) >= threshold - 1e-4)
         if not len(live):
-            return out
-        score = np.zeros(len(self.ids))
-        open_blocks = np.zeros(self.blocks, dtype=bool)
-        open_blocks[live] = True
-        for t in terms[self.most[terms][:, live].any(axis=1)]:
-            mine = slice(self.begin[t], self.end[t])
-            inside = open_blocks[self.item[mine] // self.block]
-            score[self.item[mine][inside]] += self.impact[mine][inside]
+            return []
+        terms = terms[most[:, live].any(axis=1)]
+        # The postings of all these words, one list after the other.
+        size = self.end[terms] - self.begin[terms]
+        at = np.arange(size.sum()) + np.repeat(self.begin[terms] - (np.cumsum(size) - size), size)
+        score = np.bincount(self.item[at], weights=self.impact[at], minlength=len(self.ids))
         return [(int(k), float(score[k])) for k in np.flatnonzero(score >= threshold - 1e-9)]
 
     def search(self, text: str, threshold: float, min_overlap: float) -> list[tuple[int, float, float, float, int]]:
