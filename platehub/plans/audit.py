@@ -21,7 +21,7 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def orphans(child: DataFrame, child_keys: list[str], parent: DataFrame, parent_keys: list[str]) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent (FK check)."""
-    p = parent.select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(parent_keys)]).distinct()
+    p = parent.select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(parent_keys)])
     cond = None
     for i, k in enumerate(child_keys):
         c = F.col(k) == F.col(f"__p{i}")
