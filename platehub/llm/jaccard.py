@@ -389,7 +389,9 @@ def join_components(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         rows = rows.withColumn("other", other).withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
         rows = rows.join(known.toDF("id", "n"), "id").join(sketches.toDF("id", "sketch"), "id")
-        return rows.select("g", "p", "q", "id", "c", "n", "block", "sketch").groupBy("g", "p", "q").applyInArrow(_across(plan), "a long, b long").distinct()
+        # A fixed number of tasks: these rows are few, but each costs a comparison with many.
+        rows = rows.select("g", "p", "q", "id", "c", "n", "block", "sketch").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "g", "p", "q")
+        return rows.groupBy("g", "p", "q").applyInArrow(_across(plan), "a long, b long").distinct()
 
     candidates = found.filter(F.col("kind") == PAIR).select("a", "b").distinct()
     late = found.filter(F.col("kind") == LATE).select(F.col("a").alias("doc_id")).distinct()
