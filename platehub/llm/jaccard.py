@@ -50,7 +50,7 @@ SINGLETONS = 16
 #: Identifiers or shingles that may be broadcast (8 bytes each).
 BROADCAST = 2_000_000
 #: Rounds of star-shaped follow-up before all untested pairs across components.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 #: Members of a group whose bounds are compared at a time with as many others.
 BLOCK = 2048
 
@@ -401,30 +401,26 @@ def join_components(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
     links = verify(scratch.cut(possible(tested)))
     groups = found.filter(F.col("kind") == GROUP).select(F.col("a").alias("g"), F.col("b").alias("doc_id")).distinct()
     groups = scratch.cut(groups.join(member, "doc_id").select("g", F.col("rep").alias("id")).distinct())
-    done = 0
-    while True:
-        linked = components(links, scratch)
+    linked = components(links, scratch)
+    for step in range(STAR_ROUNDS + 1):
         now = groups.join(linked, "id", "left").select("g", "id", F.coalesce("component", "id").alias("c"))
         open_groups = now.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
         now = scratch.cut(now.join(open_groups, "g").select("g", "id", "c", "lo"))
-        if done < STAR_ROUNDS:
+        if step < STAR_ROUNDS:
             # One document of each component against the first component's.
-            heads = now.groupBy("g", "c", "lo").agg((F.min if done % 2 else F.max)("id").alias("id"))
+            heads = now.groupBy("g", "c", "lo").agg((F.min if step % 2 else F.max)("id").alias("id"))
             centre = heads.filter("c = lo").select("g", F.col("id").alias("a"))
             more = heads.filter("c <> lo").join(centre, "g").select("a", F.col("id").alias("b"))
             more = scratch.cut(as_reps(more).join(tested, ["a", "b"], "left_anti"))
-            allowed = possible(more)
+            tested, allowed = tested.unionByName(more), possible(more)
         else:
-            more = None
             allowed = across(now).join(tested, ["a", "b"], "left_anti")
         allowed = scratch.cut(allowed)
         if not allowed.isEmpty():
-            links = scratch.cut(links.unionByName(verify(allowed)))
-        if more is None:
-            linked = components(links, scratch)
-            break
-        tested = scratch.cut(tested.unionByName(more))
-        done += 1
+            new = verify(allowed)
+            links = links.unionByName(new)
+            # Components so far are stars; only the new links can merge them.
+            linked = components(linked.toDF("a", "b").unionByName(new), scratch)
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     labels = classes.select("rep").distinct().join(linked.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left")
     found_for = (
