@@ -19,7 +19,7 @@ SCHEMA = "bucket int, keys binary, ids binary"
 #: Signatures in one bucket, about; a task sorts a bucket at a time.
 BUCKET = 1_000_000
 #: Signatures that a map task packs at a time.
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 
 
 def buckets_for(signatures: int) -> int:
