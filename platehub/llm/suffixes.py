@@ -40,7 +40,7 @@ GRAM = 36
 FLUSH = 2_000_000
 #: Samples that a map task sorts at a time.
 SAMPLES = 1_000_000
-#: Repeated samples that may be broadcast (16 bytes each).
+#: Repeated samples that may be broadcast (8 bytes each).
 BROADCAST = 4_000_000
 #: Suffixes of one sample that stay together; more are dealt out by name.
 TOGETHER = 65_536
@@ -176,8 +176,9 @@ def _suffixes(buckets: int, length: int, gram: int, repeated):
                     known, counts = (np.array(batch.column(c)[k].as_py(), dtype=np.int64) for c in (2, 3))
                     order = np.argsort(known.view(np.uint64))
                     known, counts = known.view(np.uint64)[order], counts[order]
+                    hot, hot_counts = known, counts
                 else:
-                    known, counts = repeated.value
+                    known, hot, hot_counts = repeated.value
                 if not len(known):
                     continue
                 text = Text(raw, length, gram)
@@ -190,7 +191,9 @@ def _suffixes(buckets: int, length: int, gram: int, repeated):
                 size = np.diff(np.append(text.runs, len(text.least)))
                 start = np.flatnonzero(np.repeat(hit, size))
                 name = text.hash(start, start + length)
-                lean, many = np.repeat(value[hit], size[hit]), np.repeat(counts[at[hit]], size[hit])
+                spot = np.minimum(np.searchsorted(hot, value[hit]), max(0, len(hot) - 1))
+                count = np.where(hot[spot] == value[hit], hot_counts[spot], 0) if len(hot) else np.zeros(len(spot), dtype=np.int64)
+                lean, many = np.repeat(value[hit], size[hit]), np.repeat(count, size[hit])
                 split = (many * (length - gram) // TOGETHER).astype(np.uint64) + U(1)
                 deal = mix(lean + (name % split) * U(0x9E3779B97F4A7C15))
                 held.append((name, lean, deal, np.full(len(start), d, dtype=np.int64), start))
@@ -237,10 +240,12 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     number, total = grams.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     buckets = max(1, -(-total * (length - gram) // 2 // BUCKET))
     if number <= BROADCAST:
-        rows = grams.toPandas() if number else None
-        value = rows["gram"].to_numpy(dtype=np.int64).view(np.uint64) if number else np.zeros(0, dtype=np.uint64)
-        order = np.argsort(value)
-        known = spark.sparkContext.broadcast((value[order], rows["n"].to_numpy(dtype=np.int64)[order] if number else np.zeros(0, dtype=np.int64)))
+        # 8 bytes each by Arrow; counts go out only where a sample's suffixes are dealt out.
+        value = np.sort(grams.select("gram").toArrow().column(0).to_numpy().view(np.uint64))
+        many = grams.filter(F.col("n") * (length - gram) >= TOGETHER).orderBy("gram").toArrow()
+        many = many.column("gram").to_numpy().view(np.uint64), many.column("n").to_numpy()
+        order = np.argsort(many[0])
+        known = spark.sparkContext.broadcast((value, many[0][order], many[1][order]))
         sent = texts.mapInArrow(_suffixes(buckets, length, gram, known), _SENT)
     else:
         own = texts.mapInArrow(_own_samples(length, gram), "doc_id long, gram long").join(grams, "gram")
