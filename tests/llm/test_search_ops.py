@@ -290,6 +290,57 @@ def test_line_dedup_against_brute_force(spark, monkeypatch, broadcast):
     assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark, docs_frame(spark, docs)).collect()} == want
 
 
+def test_line_within_by_diagonals():
+    rng = random.Random(35)
+    for _ in range(150):
+        x = [rng.choice(b"abc") for _ in range(rng.randint(0, 60))]
+        y = list(x)
+        for _ in range(rng.randint(0, 8)):
+            p = rng.randint(0, len(y))
+            y[p : p + rng.randint(0, 1)] = [rng.choice(b"abc")] * rng.randint(0, 1)
+        true = distance(x, y)
+        for band in (1, 3, 7, 40):
+            assert line_dedup.within(np.array(x, dtype=np.uint8), np.array(y, dtype=np.uint8), band) == (true <= band)
+
+
+def test_line_dedup_long_lines_with_changed_words(spark):
+    rng = random.Random(37)
+    words = vocabulary(rng, 3000)
+    docs, near = [], set()
+    for k, size in enumerate([30, 36, 45, 60, 90, 150, 300, 1000, 4000] * 4):
+        old = [rng.choice(words) for _ in range(size)]
+        new = list(old)
+        for p in rng.sample(range(size), 1 + k % 2):
+            new[p] = rng.choice(words)
+        # Every fifth word changed: beyond the edits.
+        far = [w if i % 5 else rng.choice(words) for i, w in enumerate(old)]
+        docs += [(3 * k + i, " ".join(w)) for i, w in enumerate((old, new, far))]
+        x, y = (" ".join(w).encode() for w in (old, new))
+        edits = min(len(x), len(y)) // line_dedup.BYTES_PER_EDIT
+        if x != y and (size > 300 or distance(x, y) <= edits):
+            near.add(3 * k + 1)
+    rows = line_dedup.dedup_lines(spark, docs_frame(spark, docs)).collect()
+    assert len(near) > 25
+    assert {r["doc_id"] for r in rows if r["n_near"]} == near
+
+
+def test_line_dedup_edits_spread_evenly(spark):
+    """As many edits as a line allows, as far apart as they can be."""
+    rng = random.Random(39)
+    docs = []
+    for k, size in enumerate([90, 119, 120, 131, 200, 271, 400, 899, 1000, 3000]):
+        x = [rng.choice("abcdefghijklmnop") for _ in range(size)]
+        edits = size // line_dedup.BYTES_PER_EDIT
+        y, z = list(x), list(x)
+        for i in reversed(range(edits)):
+            p = (i + 1) * size // (edits + 1)
+            y[p : p + 1] = "z"
+            z[p:p] = "z"
+        docs += [(3 * k, "".join(x)), (3 * k + 1, "".join(y)), (3 * k + 2, "".join(z))]
+    rows = line_dedup.dedup_lines(spark, docs_frame(spark, docs)).collect()
+    assert {r["doc_id"] for r in rows if r["n_near"]} == {i for i, _ in docs if i % 3}
+
+
 def test_line_dedup_edges(spark):
     line = "this line is long enough to count"
     docs = [(1, None), (2, ""), (3, f"{line}\n\nshort\n{line}\n"), (4, line), (None, line), (5, "short\nshort"), (6, " " * 40), (7, " " * 40), (8, "x" * 200_000), (9, "x" * 200_001), (3, f"{line}\n\nshort\n{line}\n")]
