@@ -341,6 +341,14 @@ def test_line_dedup_edits_spread_evenly(spark):
     assert {r["doc_id"] for r in rows if r["n_near"]} == {i for i, _ in docs if i % 3}
 
 
+def test_equal_short_lines_go(spark):
+    docs = [(1, "Les.\n\nAnd so.\nx"), (2, "Les.\n\n \nx\nanother"), (3, "les.\n \nAnd so.\nx"), (4, "Lex.")]
+    rows = line_dedup.dedup_lines(spark, docs_frame(spark, docs)).collect()
+    assert {r["doc_id"]: (r["text"], r["n_removed"], r["n_near"]) for r in rows} == {
+        1: (docs[0][1], 0, 0), 2: ("\n \nanother", 2, 0), 3: ("les.\n ", 2, 0), 4: ("Lex.", 0, 0)
+    }
+
+
 def test_line_dedup_edges(spark):
     line = "this line is long enough to count"
     docs = [(1, None), (2, ""), (3, f"{line}\n\nshort\n{line}\n"), (4, line), (None, line), (5, "short\nshort"), (6, " " * 40), (7, " " * 40), (8, "x" * 200_000), (9, "x" * 200_001), (3, f"{line}\n\nshort\n{line}\n")]
