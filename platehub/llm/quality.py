@@ -9,7 +9,9 @@ fitted on labelled texts that the dictionaries have not seen, turns the two into
 a probability.
 
 Only the labelled sample is gathered (at most MAX_DOCS whole texts and MAX_BYTES
-bytes per class); scoring is one pass over the table without a shuffle.
+bytes per class); the curve weighs its texts by their class' share of all labelled
+texts, so the sample's bounds do not move the scores.  Scoring is one pass over the
+table without a shuffle.
 """
 
 from __future__ import annotations
@@ -92,18 +94,21 @@ class Sizer:
         return (bad - good) / (bad + good), size, size * size
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[np.ndarray, np.ndarray, float]:
+def logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 0.01) -> tuple[np.ndarray, np.ndarray, float]:
     """Means, weights and bias by Newton's method, with a light ridge on the
-    standardised weights."""
-    x = np.where(np.isnan(x), np.nanmean(x, axis=0), x)
-    mean, scale = x.mean(axis=0), x.std(axis=0)
+    standardised weights; ``share`` is how much each row counts."""
+    share = share / share.mean()
+    known = ~np.isnan(x)
+    mean = (np.where(known, x, 0.0) * share[:, None]).sum(axis=0) / (known * share[:, None]).sum(axis=0)
+    x = np.where(known, x, mean)
+    scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=share))
     scale[scale == 0] = 1.0
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
     w = np.zeros(z.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        g = z.T @ (p - y) + ridge * w
-        h = (z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w))
+        g = z.T @ (share * (p - y)) + ridge * w
+        h = (z * (share * p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w))
         step = np.linalg.solve(h, g)
         w -= step * min(1.0, 3.0 / np.abs(step).max())
         if np.abs(step).max() < 1e-9:
@@ -111,15 +116,26 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[np.ndar
     return mean, w[:-1] / scale, float(w[-1])
 
 
+def settled(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y) of the ids with one label of 0 or 1."""
+    return labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("__hi")).filter("y = __hi").select("doc_id", "y")
+
+
+def class_counts(docs: DataFrame, labels: DataFrame, label: str) -> dict[int, int]:
+    """How many labelled ids of each class have a text in ``docs``."""
+    found = settled(labels, label).join(docs.select("doc_id"), "doc_id", "left_semi").groupBy("y").count()
+    return {0: 0, 1: 0} | {int(r["y"]): r["count"] for r in found.collect()}
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """At most MAX_DOCS texts a class, in hash order, up to MAX_BYTES in all.
 
     Rows without an id or a label of 0 or 1 and ids with both labels are left out.
     """
-    one = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("__hi")).filter("y = __hi")
+    one = settled(labels, label)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = one.filter("y = 0").orderBy(*order).limit(MAX_DOCS).unionByName(one.filter("y = 1").orderBy(*order).limit(MAX_DOCS))
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id", "y")), "doc_id").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
     sized = texts.select("y", F.xxhash64("doc_id").alias("h"), "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
     sizes = sized.select("y", "h", "doc_id", "n").collect()  # at most 2 * MAX_DOCS rows of numbers
     kept, used = [], {0: 0, 1: 0}
@@ -134,19 +150,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
     """Train on ``labels`` (doc_id, label 0 or 1) and the texts of ``docs``.
 
     Of each class every other text of the sample trains its dictionary and the
-    rest the curve.  Where a class has no text the curve is the smoothed share
-    of label 1.
+    rest the curve, where a class counts by all its labelled texts.  Where a
+    class has no text the curve is the smoothed share of label 1.
     """
     rows = sorted(labelled_sample(docs, labels, label).collect(), key=lambda r: (r["h"], r["doc_id"]))
     by = {y: [r["text"] or "" for r in rows if r["y"] == y] for y in (0, 1)}
-    prior = (len(by[1]) + 1) / (len(rows) + 2)
+    n = class_counts(docs, labels, label)
+    prior = (n[1] + 1) / (n[0] + n[1] + 2)
     if min(len(by[0]), len(by[1])) < 2:
         return Model(b"", b"", np.zeros(FEATURES), np.zeros(FEATURES), math.log(prior / (1 - prior)))
     good, bad = _dictionary(by[1][::2]), _dictionary(by[0][::2])
     size = Sizer(good, bad)
     x = np.array([size(t) for y in (0, 1) for t in by[y][1::2]])
     y = np.array([float(y) for y in (0, 1) for _ in by[y][1::2]])
-    return Model(good, bad, *logistic(x, y))
+    share = np.array([n[y] / len(by[y]) for y in (0, 1) for _ in by[y][1::2]])
+    return Model(good, bad, *logistic(x, y, share))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

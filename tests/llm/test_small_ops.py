@@ -59,6 +59,25 @@ def test_quality_edges(spark):
     assert kept == {r["doc_id"] for r in rows if r["predicted"] == 1}
 
 
+def test_quality_scores_do_not_depend_on_the_samples_bounds(spark, monkeypatch):
+    rng = random.Random(5)
+    good, bad = ["river", "stone", "walks", "under", "bright", "garden", "quiet"], ["offer", "click", "cheap", "money", "prize", "deals", "bonus"]
+
+    def text(share):
+        return " ".join(rng.choice(good if rng.random() < share else bad) for _ in range(60))
+
+    n = 700
+    texts = [text(min(1, max(0, rng.gauss(0.55 if i % 7 else 0.45, 0.1)))) for i in range(n)]
+    df = docs_frame(spark, list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, int(i % 7 > 0)) for i in range(n)] + [(10_000 + i, 0) for i in range(900)], "doc_id long, quality int")
+    whole = {r["doc_id"]: r["score"] for r in quality.classify(df, labels).collect()}
+    monkeypatch.setattr(quality, "MAX_BYTES", sum(len(t) for i, t in enumerate(texts) if i % 7 == 0))
+    capped = {r["doc_id"]: r["score"] for r in quality.classify(df, labels).collect()}
+    assert capped != whole
+    assert abs(sum(whole.values()) / n - 6 / 7) < 0.05
+    assert abs(sum(capped.values()) / n - 6 / 7) < 0.05
+
+
 def test_quality_without_labels_or_rows(spark):
     df = docs_frame(spark, [(1, "some text"), (2, None)])
     none = spark.createDataFrame([], "doc_id long, quality int")
