@@ -11,6 +11,7 @@ from .line_dedup import op8_line_dedup
 from .link_graph import op9_link_graph
 from .mixing import OP3_SQL, op3_mixing
 from .quality import op1_quality
+from .runs import op11_runs
 from .suffixes import op10_suffixes
 
 QUERIES = {
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_link_graph": op9_link_graph,
     "op10_suffixes": op10_suffixes,
+    "op11_runs": op11_runs,
 }
 ORACLE = {
     "op2_licenses": OP2_SQL,
