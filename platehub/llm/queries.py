@@ -6,6 +6,7 @@ from .chat import OP4_SQL, op4_chat
 from .decontaminate import op7_decontaminate
 from .host_rules import OP6_SQL, op6_host_rules
 from .jaccard import OP5_SQL, op5_jaccard
+from .language import op12_language
 from .licenses import OP2_SQL, op2_licenses
 from .line_dedup import op8_line_dedup
 from .link_graph import op9_link_graph
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_link_graph": op9_link_graph,
     "op10_suffixes": op10_suffixes,
     "op11_runs": op11_runs,
+    "op12_language": op12_language,
 }
 ORACLE = {
     "op2_licenses": OP2_SQL,
