@@ -139,9 +139,10 @@ def labelled_sample(docs: DataFrame, lang: str = "lang") -> DataFrame:
     """(lang, half, text) of about 2 * MAX_DOCS documents of each language, chosen by
     hash of the id; rows without lang or doc_id are left out."""
     known = docs.filter(F.col(lang).isNotNull() & F.col("doc_id").isNotNull()).select(F.col(lang).alias("lang"), F.xxhash64("doc_id").alias("h"), "text")
-    counts = known.groupBy("lang").count()  # one row for each language
-    rate = counts.select("lang", F.least(F.lit(1 << 20), F.ceil(F.lit((2 * MAX_DOCS) << 20) / F.col("count"))).alias("rate"))
-    chosen = known.join(rate, "lang").filter(F.pmod("h", F.lit(1 << 20)) < F.col("rate"))
+    # One row for each language; the model has far more of each, so this can be broadcast.
+    rates = [(r["lang"], min(1 << 20, -(-((2 * MAX_DOCS) << 20) // r["count"]))) for r in known.groupBy("lang").count().collect()]
+    rate = docs.sparkSession.createDataFrame(rates, "lang string, rate long")
+    chosen = known.join(F.broadcast(rate), "lang").filter(F.pmod("h", F.lit(1 << 20)) < F.col("rate"))
     return chosen.select("lang", F.pmod(F.shiftright("h", 20), F.lit(2)).cast("int").alias("half"), "text")
 
 
