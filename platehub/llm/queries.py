@@ -11,6 +11,7 @@ from .licenses import OP2_SQL, op2_licenses
 from .line_dedup import op8_line_dedup
 from .link_graph import op9_link_graph
 from .mixing import OP3_SQL, op3_mixing
+from .phrases import OP13_SQL, op13_phrases
 from .quality import op1_quality
 from .runs import op11_runs
 from .suffixes import op10_suffixes
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_suffixes": op10_suffixes,
     "op11_runs": op11_runs,
     "op12_language": op12_language,
+    "op13_phrases": op13_phrases,
 }
 ORACLE = {
     "op2_licenses": OP2_SQL,
@@ -35,4 +37,5 @@ ORACLE = {
     "op4_chat": OP4_SQL,
     "op5_jaccard": OP5_SQL,
     "op6_host_rules": OP6_SQL,
+    "op13_phrases": OP13_SQL,
 }
