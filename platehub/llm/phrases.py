@@ -54,8 +54,9 @@ SCALE = 2_000_000
 FEWEST, MOST = 20, 31
 #: Bytes of text for each bucket of hashes.
 BUCKET_BYTES = 4 << 20
-#: Words counted at a time, and bytes hashed at a time.
-FLUSH = 2_000_000
+#: Words counted at a time, by hashes and as themselves, and bytes hashed at a time.
+FLUSH = 1_000_000
+NAMED = 250_000
 CHUNK = 1 << 20
 #: Shares into which a word's joins, and a language's ranking, are dealt.
 SALTS = 16
@@ -209,7 +210,7 @@ class Counter:
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = np.frombuffer(shared.value, dtype=np.uint8)
-            for lang, texts in by_language(batches, FLUSH // 2):
+            for lang, texts in by_language(batches, NAMED):
                 keys = list(keys_of(*hashed_words(texts), lang))
                 words = _WORDS.findall(b"\n".join(t.tobytes() for t in texts).lower())
                 names: dict[bytes, int] = {}
