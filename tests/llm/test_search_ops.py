@@ -259,12 +259,15 @@ def brute_lines(docs):
                 else:
                     first[raw] = (d, i)
     lines = sorted(first, key=first.get)
+    size = np.array([len(x) for x in lines])
+    counts = np.array([np.bincount(np.frombuffer(x, dtype=np.uint8), minlength=256) for x in lines], dtype=np.int32).reshape(-1, 256)
     for k, x in enumerate(lines):
-        for y in lines[:k]:
-            edits = min(line_dedup.MAX_EDITS, min(len(x), len(y)) // line_dedup.BYTES_PER_EDIT)
-            if edits and abs(len(x) - len(y)) <= edits and distance(x, y) <= edits:
-                gone.add(first[x])
-                break
+        edits = np.minimum(line_dedup.MAX_EDITS, np.minimum(size[:k], size[k]) // line_dedup.BYTES_PER_EDIT)
+        near = np.flatnonzero((edits > 0) & (np.abs(size[:k] - size[k]) <= edits))
+        # An edit changes the counts of two bytes at most.
+        near = near[np.abs(counts[near] - counts[k]).sum(axis=1) <= 2 * edits[near]]
+        if any(distance(x, lines[j]) <= edits[j] for j in near):
+            gone.add(first[x])
     return gone
 
 
@@ -355,7 +358,7 @@ def test_line_dedup_edges(spark):
     df = docs_frame(spark, docs, n_lines="clash", line=1, id=2, second=3, near=True, first=0)
     rows = line_dedup.dedup_lines(spark, df).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in rows if r["text"] is not None) == sorted(
-        [(2, ""), (3, f"{line}\n\nshort\n"), (3, f"{line}\n\nshort\n"), (4, ""), (0, line), (5, "short\nshort"), (6, " " * 40), (7, " " * 40), (8, "x" * 200_000), (9, "")]
+        [(2, ""), (3, f"{line}\n\nshort\n"), (3, f"{line}\n\nshort\n"), (4, ""), (0, line), (5, ""), (6, " " * 40), (7, " " * 40), (8, "x" * 200_000), (9, "")]
     )
     assert [r["doc_id"] for r in rows if r["text"] is None] == [1]
     assert line_dedup.dedup_lines(spark, df.limit(0)).count() == 0
