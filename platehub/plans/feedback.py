@@ -243,13 +243,31 @@ def feedback_documents(
     heads.  Unknown codes are dropped (D8).
     """
     heads = _feedback_heads(st_prg_arc, stock)
-    created = heads.where(F.col("state") == "created")
-    packets = created.select("ArchivePacketID")
+    packets = heads.where(F.col("state") == "created").select("ArchivePacketID")
     # Only the children of created packets are joined and grouped at all.
     parts = _created_parts(st_pip_arc.join(packets, "ArchivePacketID", "left_semi"), part)
+    return _documents(heads, parts, _remnant_rows(remnant), page_size)
+
+
+def child_tables(st_pip_arc: DataFrame, part: DataFrame, remnant: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The children of all documents: parts, by ArchivePacketID, and remnants, by
+    (ProgramName, RepeatID).  They do not depend on the outbox, so they can be
+    stored once, bucketed by these keys."""
+    return _created_parts(st_pip_arc, part), _remnant_rows(remnant)
+
+
+def documents_of_children(st_prg_arc: DataFrame, stock: DataFrame, parts: DataFrame, remnants: DataFrame, page_size: int | None = DEFAULT_PAGE_SIZE) -> DataFrame:
+    """:func:`feedback_documents` from the tables of :func:`child_tables`."""
+    heads = _feedback_heads(st_prg_arc, stock)
+    packets = heads.where(F.col("state") == "created").select("ArchivePacketID")
+    return _documents(heads, parts.join(packets, "ArchivePacketID", "left_semi"), remnants, page_size)
+
+
+def _documents(heads: DataFrame, parts: DataFrame, remnants: DataFrame, page_size: int | None) -> DataFrame:
+    created = heads.where(F.col("state") == "created")
     # An outbox that delivers at least once may hold a packet twice.
     owners = created.select("ArchivePacketID", "ProgramName", "RepeatID").distinct()
-    rems = _remnant_rows(remnant).join(owners, ["ProgramName", "RepeatID"], "inner")
+    rems = remnants.join(owners, ["ProgramName", "RepeatID"], "inner")
     pages = paged_children(
         ["ArchivePacketID"],
         [(parts, PART_FIELDS, "parts", ["AutoID"]), (rems.drop("ProgramName", "RepeatID"), REMNANT_FIELDS, "remnants", REMNANT_FIELDS)],

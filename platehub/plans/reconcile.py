@@ -51,8 +51,12 @@ def _gate(calls: DataFrame, trans_act: DataFrame, adds: DataFrame, literal: bool
     the NULLs of SQL's ``NOT IN``.
     """
     if not literal:
-        known = conform(trans_act).select(F.explode(F.array("ItemData18", event_col)).alias("__event")).where(F.col("__event").isNotNull())
-        return first_calls(calls, "sap_event_id").join(known, F.col("sap_event_id") == F.col("__event"), "left_anti")
+        # One column of the queue at a time, so that a scan reads nothing else.
+        firsts, queue = first_calls(calls, "sap_event_id"), conform(trans_act)
+        for column in dict.fromkeys(["ItemData18", event_col]):
+            known = queue.select(F.col(column).alias("__event")).where(F.col("__event").isNotNull())
+            firsts = firsts.join(known, F.col("sap_event_id") == F.col("__event"), "left_anti")
+        return firsts
     firsts = first_calls(calls, "trans_id")
     staged = trans_act.select(F.col("TransID").alias("__tid"))
     # NOT IN: one NULL TransID in the queue closes every gate.
@@ -140,7 +144,12 @@ def committed_qty(part: DataFrame, pip: DataFrame) -> DataFrame:
     ).drop("__inproc")
 
 
-def reconcile_demand(
+#: Keys by which a later add supersedes a staged row.
+DEMAND_KEYS = ["OrderNo", "ItemName", "ItemData18"]
+INVENTORY_KEYS = ["ItemName"]
+
+
+def demand_changes(
     calls: DataFrame,
     part: DataFrame,
     pip: DataFrame,
@@ -148,11 +157,9 @@ def reconcile_demand(
     config: DataFrame,
     trans_act: DataFrame,
     literal: bool = False,
-    flag_new: bool = False,
-) -> DataFrame:
-    """Next version of the queue after a batch of demand calls.
-    ``flag_new`` adds a boolean ``__batch`` column marking rows staged by
-    this batch."""
+) -> tuple[DataFrame, DataFrame]:
+    """(removals, adds) that a batch of demand calls stages (C1).  Of the queue
+    only the ids that the gate reads are used."""
     calls = _prepare_calls(calls, DEMAND_OPTIONAL)
     cfg = district_by_system(config)
     adds = demand_adds(calls, slab_part_alloc, cfg, literal)
@@ -184,20 +191,60 @@ def reconcile_demand(
             (F.col("seq") * 2).alias("Ordinal"),
         )
     )
-    return compact(conform(trans_act), removals.unionByName(adds), adds, ["OrderNo", "ItemName", "ItemData18"],
-                   flag_new)
+    return removals, adds
 
 
-def reconcile_inventory(
+def reconcile_demand(
+    calls: DataFrame,
+    part: DataFrame,
+    pip: DataFrame,
+    slab_part_alloc: DataFrame,
+    config: DataFrame,
+    trans_act: DataFrame,
+    literal: bool = False,
+) -> DataFrame:
+    """Next version of the queue after a batch of demand calls."""
+    removals, adds = demand_changes(calls, part, pip, slab_part_alloc, config, trans_act, literal)
+    return compact(conform(trans_act), removals.unionByName(adds), adds, DEMAND_KEYS)
+
+
+#: Shares into which the sheets of a material are dealt for the removals' join.
+MATERIAL_SALTS = 8
+
+
+def _removable(gated: DataFrame, stock: DataFrame, adds: DataFrame) -> DataFrame:
+    """Pairs of a gated call and a sheet of its material that another event put
+    there, less those that a later add of the same sheet would supersede.
+
+    Each sheet gets its last add before the join, whose condition then compares
+    the call's ordinal with it, so superseded pairs are never made; and the
+    sheets of a material are dealt to MATERIAL_SALTS shares, as one material may
+    hold most of them.
+    """
+    last = adds.groupBy(F.col("ItemName").alias("SheetName")).agg(F.max("Ordinal").alias("__last"))
+    sheets = stock.select("SheetName", "PrimeCode", "Material", "Thickness", "Width", "Length", "BinNumber").where(F.col("BinNumber").isNotNull())
+    sheets = sheets.join(last, "SheetName", "left").withColumn("__share", F.pmod(F.xxhash64("SheetName"), F.lit(MATERIAL_SALTS)).cast("int"))
+    events = gated.select("seq", "sap_event_id", "trans_id", "sap_system", "mm", F.explode(F.sequence(F.lit(0), F.lit(MATERIAL_SALTS - 1))).alias("__salt"))
+    return events.join(
+        sheets,
+        (F.col("PrimeCode") == F.col("mm"))
+        & (F.col("__share") == F.col("__salt"))
+        & (F.col("BinNumber") != F.col("sap_event_id"))
+        & (F.col("__last").isNull() | (F.col("seq") * 2 >= F.col("__last"))),
+        "inner",
+    )
+
+
+def inventory_changes(
     calls: DataFrame,
     stock: DataFrame,
     slab_sheet_alloc: DataFrame,
     config: DataFrame,
     trans_act: DataFrame,
     literal: bool = False,
-    flag_new: bool = False,
-) -> DataFrame:
-    """Next version of the queue after a batch of inventory calls."""
+) -> tuple[DataFrame, DataFrame]:
+    """(removals, adds) that a batch of inventory calls stages (C2); removals that
+    an add of the batch supersedes are left out."""
     calls = _prepare_calls(calls, INVENTORY_OPTIONAL)
     cfg = district_by_system(config)
     alloc_rows = _touched(slab_sheet_alloc, [("SheetName", "sheet_name")], calls)
@@ -231,14 +278,7 @@ def reconcile_inventory(
     # the gate's NULL-event rule looks at the add's event id
     gate_adds = a.select(F.col("sap_event_id").alias("ItemData18"), (F.col("seq") * 2 + 1).alias("Ordinal"))
     gated = _gate(calls, trans_act, gate_adds, literal, "BinNumber")
-    stk = stock.select("SheetName", "PrimeCode", "Material", "Thickness", "Width", "Length", "BinNumber")
-    rem = gated.join(
-        stk,
-        (F.col("PrimeCode") == F.col("mm"))
-        & F.col("BinNumber").isNotNull()
-        & (F.col("BinNumber") != F.col("sap_event_id")),
-        "inner",
-    ).join(cfg, F.col("sap_system") == F.col("cfg_system"), "inner")
+    rem = _removable(gated, stock, adds).join(cfg, F.col("sap_system") == F.col("cfg_system"), "inner")
     removals = conform(
         rem.select(
             F.lit(codes.ADD_SHEET).alias("TransType"),
@@ -255,7 +295,20 @@ def reconcile_inventory(
             (F.col("seq") * 2).alias("Ordinal"),
         )
     )
-    return compact(conform(trans_act), removals.unionByName(adds), adds, ["ItemName"], flag_new)
+    return removals, adds
+
+
+def reconcile_inventory(
+    calls: DataFrame,
+    stock: DataFrame,
+    slab_sheet_alloc: DataFrame,
+    config: DataFrame,
+    trans_act: DataFrame,
+    literal: bool = False,
+) -> DataFrame:
+    """Next version of the queue after a batch of inventory calls."""
+    removals, adds = inventory_changes(calls, stock, slab_sheet_alloc, config, trans_act, literal)
+    return compact(conform(trans_act), removals.unionByName(adds), adds, INVENTORY_KEYS)
 
 
 def gate_not_in_literal(calls: DataFrame, trans_act: DataFrame) -> DataFrame:

@@ -1,12 +1,12 @@
 """Structured Streaming twins of the event interfaces.
 
-* T1 intake: ERP calls arrive as files; each micro-batch is reconciled
-  against the current queue in ``foreachBatch`` and the next queue version is
-  written under ``version=<batchId>`` -- overwriting that one folder makes a
-  replayed batch idempotent, and the checkpoint records which batches are
-  done, so a lost executor or driver restart resumes where it stopped.
-* T3 once-per-event gate: first calls against the events that earlier batches
-  let through; there is no horizon after which an event is forgotten.
+* T1 intake: ERP calls arrive as files; what each micro-batch stages is appended
+  to the queue's log (``queue_log.py``) in its own folder, so a replayed batch
+  writes the same, and the checkpoint records which batches are done.
+* T3 once-per-event gate: a deduplication by event id whose state, one key for
+  each event, is kept in Spark's state store (RocksDB, on the checkpoint's store).
+  There is no watermark: no event is forgotten, and a micro-batch reads only the
+  keys of its own events.
 * T6 periodic refresh: the ``trigger`` argument (``processingTime``).
 """
 
@@ -14,7 +14,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,215 +79,55 @@ def call_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def completed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions under ``root`` whose write finished (``_SUCCESS`` present),
-    listed through the Hadoop FileSystem so any shared store works."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("version=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep the state of streams in RocksDB: on local disk and in the checkpoint,
+    not on the executors' heaps."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-class QueueStore:
-    """Versioned queue table: ``<root>/version=<n>``; the latest completed
-    version is the current queue.  Writing a version is an idempotent
-    overwrite, so a replayed micro-batch produces the same folder."""
-
-    def __init__(self, spark: SparkSession, root: str, initial: DataFrame):
-        self.spark = spark
-        self.root = root
-        self.initial = initial
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/version={version}"
-
-    def current(self, before: int | None = None) -> DataFrame:
-        done = [v for v in completed_versions(self.spark, self.root) if before is None or v < before]
-        return self.initial if not done else self.spark.read.parquet(self.path(done[-1]))
-
-    def write(self, version: int, df: DataFrame) -> None:
-        from ..plans.queue import BATCH_FLAG
-
-        df.drop(BATCH_FLAG).write.mode("overwrite").parquet(self.path(version))
-
-
-class BucketedQueueStore:
-    """Queue table split into hash buckets of ``ItemName`` (part of the
-    compaction key of both reconciliations), stored as
-    ``<root>/v=<batchId>/bucket=<b>/``.  A micro-batch writes only the buckets
-    it touched, under its own version folder (an idempotent overwrite on
-    replay); the current queue is, per bucket, the newest completed version
-    holding it, or the initial rows of that bucket.
-
-    Rows without an item are superseded by nothing, so they are never rewritten:
-    the initial ones stay where they are, and each batch appends its own under
-    bucket -1.  Once a version is written, folders that no reader of it or of a
-    replay of the next one needs are deleted, so the listing stays as long as
-    the number of buckets.  ``buckets`` (default: the session's shuffle width)
-    is fixed when the store is made."""
-
-    NO_ITEM = -1
-
-    def __init__(self, spark: SparkSession, root: str, initial: DataFrame, buckets: int | None = None):
-        from ..plans.queue import conform
-
-        self.spark = spark
-        self.root = root
-        self.initial = conform(initial)
-        self.buckets = buckets or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-    def bucket_of(self, df: DataFrame):
-        item = F.col("ItemName")
-        return F.when(item.isNull(), F.lit(self.NO_ITEM)).otherwise(F.pmod(F.xxhash64(item), F.lit(self.buckets))).cast("int")
-
-    def _folders(self, before: int | None) -> list[tuple[int, int, str]]:
-        """(version, bucket, path) of completed versions."""
-        fs, p = _fs(self.spark, self.root)
-        out = []
-        if not fs.exists(p):
-            return out
-        for vst in fs.listStatus(p):
-            name = vst.getPath().getName()
-            if not name.startswith("v=") or not fs.exists(vst.getPath().suffix("/_SUCCESS")):
-                continue
-            ver = int(name.split("=", 1)[1])
-            if before is not None and ver >= before:
-                continue
-            for bst in fs.listStatus(vst.getPath()):
-                bname = bst.getPath().getName()
-                if bname.startswith("bucket="):
-                    out.append((ver, int(bname.split("=", 1)[1]), bst.getPath().toString()))
-        return out
-
-    def _latest(self, before: int | None) -> dict[int, tuple[int, str]]:
-        latest: dict[int, tuple[int, str]] = {}
-        for ver, b, path in self._folders(before):
-            if b != self.NO_ITEM and (b not in latest or latest[b][0] < ver):
-                latest[b] = (ver, path)
-        return latest
-
-    def current(self, before: int | None = None) -> DataFrame:
-        latest = self._latest(before)
-        paths = [path for _, path in latest.values()] + [path for _, b, path in self._folders(before) if b == self.NO_ITEM]
-        base = self.initial
-        if paths:
-            base = base.where(F.col("ItemName").isNull() | ~self.bucket_of(base).isin(*latest.keys())) if latest else base
-            base = base.unionByName(self.spark.read.parquet(*paths).select(*self.initial.columns))
-        return base
-
-    def _touched_buckets(self, items: DataFrame) -> list[int]:
-        # at most `buckets` small ints reach the driver
-        found = items.where(F.col("ItemName").isNotNull()).select(self.bucket_of(items).alias("b")).distinct()
-        return [r[0] for r in found.collect()]
-
-    def write(self, version: int, df: DataFrame, touched_items: DataFrame | None = None) -> None:
-        """Write the buckets of ``df`` (the next queue) that this batch touched.
-
-        ``touched_items``: a DataFrame with an ``ItemName`` column covering
-        every item the batch may stage or evict (a superset is fine; a subset
-        would lose changes) -- e.g. the part names of a demand batch.  Without
-        it the touched buckets are read off the result's batch flag, which
-        needs the result twice, so it is persisted for the batch."""
-        from pyspark import StorageLevel
-
-        from ..plans.queue import BATCH_FLAG
-
-        b = df.withColumn("bucket", self.bucket_of(df))
-        cached = None
-        if touched_items is not None:
-            touched = self._touched_buckets(touched_items)
-        else:
-            cached = b = b.persist(StorageLevel.MEMORY_AND_DISK)
-            touched = self._touched_buckets(b.where(F.col(BATCH_FLAG)))
-        try:
-            new = F.col("ItemName").isNull() & F.col(BATCH_FLAG)
-            out = b.where(F.col("bucket").isin(*touched) | new) if touched else b.where(new)
-            (
-                out.drop(BATCH_FLAG)
-                .repartition("bucket")  # one writer per bucket: one file per touched bucket
-                .write.mode("overwrite")
-                .partitionBy("bucket")
-                .parquet(f"{self.root}/v={version}")
-            )
-        finally:
-            if cached is not None:
-                cached.unpersist()
-        self._vacuum(version)
-
-    def _vacuum(self, version: int) -> None:
-        """Delete folders of buckets that a version before ``version`` replaces."""
-        needed = {path for _, path in self._latest(version).values()} | {path for _, path in self._latest(None).values()}
-        fs, _ = _fs(self.spark, self.root)
-        for ver, b, path in self._folders(version):
-            if b != self.NO_ITEM and path not in needed:
-                fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
-
-
-def reconcile_batches(store, reconcile, touched_items=None, **tables):
-    """``foreachBatch`` function: reconcile one micro-batch of calls against
-    the queue version left by the previous batch (T1).  ``touched_items``
-    (batch -> DataFrame with ``ItemName``) lets a bucketed store find the
-    buckets to rewrite from the batch itself."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        queue = store.current(before=batch_id)
-        nxt = reconcile(batch, trans_act=queue, **tables)
-        if touched_items is not None:
-            store.write(batch_id, nxt, touched_items(batch))
-        else:
-            store.write(batch_id, nxt)
-
-    return run
-
-
-def start_intake(
-    calls: DataFrame,
-    store: QueueStore,
-    reconcile,
-    checkpoint: str,
-    trigger: dict | None = None,
-    touched_items=None,
-    **tables,
-):
-    """Start the intake query; ``trigger`` defaults to availableNow (T6:
+def start_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None, mode: str = "append"):
+    """Start a ``foreachBatch`` query; ``trigger`` defaults to availableNow (T6:
     pass ``{"processingTime": "5 minutes"}`` for the periodic refresh)."""
-    trigger = trigger or {"availableNow": True}
-    return (
-        calls.writeStream.foreachBatch(reconcile_batches(store, reconcile, touched_items, **tables))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
-
+    writer = stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def lowest_per_key(key: str, order: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``mapInArrow`` function: of each key the partition's row of the lowest
+    ``order``; rows without a key are left out.  It holds one row for each key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows.filter(pc.is_valid(rows[key]))
+            best = pa.concat_tables([best, rows]) if best is not None else rows
+            best = best.sort_by([(key, "ascending"), (order, "ascending")]).combine_chunks()
+            if best.num_rows > 1:
+                again = pc.equal(best[key][1:], best[key][:-1]).combine_chunks()
+                best = best.filter(pc.invert(pa.concat_arrays([pa.array([False]), again])))
+        if best is not None:
+            yield from best.to_batches()
 
-class EventGate:
-    """Once-per-event gate (T3): ``<root>/version=<batch id>`` holds the calls a
-    micro-batch let through, the lowest ``seq`` of each event that no earlier
-    batch has let through.  Late calls of a new event pass, however late; later
-    calls of a known event never do."""
+    return run
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
 
-    def passed(self, before: int | None = None) -> DataFrame | None:
-        done = [v for v in completed_versions(self.spark, self.root) if before is None or v < before]
-        return self.spark.read.parquet(*[f"{self.root}/version={v}" for v in done]) if done else None
+def gated_calls(calls: DataFrame, event: str = "sap_event_id", order: str = "seq") -> DataFrame:
+    """The stream of the calls that pass the once-per-event gate (T3): of an event
+    that no earlier micro-batch held, the call of the lowest ``order`` in its
+    micro-batch.  Late calls of a new event pass, however late; calls without an
+    event never do.  A hot event is one row for each task before the shuffle.
+    """
+    pick = lowest_per_key(event, order)
+    firsts = calls.mapInArrow(pick, calls.schema).repartition(event).mapInArrow(pick, calls.schema)
+    return firsts.dropDuplicates([event])
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from ..plans.reconcile import first_calls
 
-        firsts, before = first_calls(batch, "sap_event_id"), self.passed(batch_id)
-        if before is not None:
-            firsts = firsts.join(before.select("sap_event_id"), "sap_event_id", "left_anti").select(*firsts.columns)
-        firsts.write.mode("overwrite").parquet(f"{self.root}/version={batch_id}")
+def start_gate(calls: DataFrame, out: str, checkpoint: str, trigger: dict | None = None, event: str = "sap_event_id", order: str = "seq"):
+    """Append the calls that pass to the Parquet files of ``out``, each once."""
+    use_rocksdb(calls.sparkSession)
+    writer = gated_calls(calls, event, order).writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -1,62 +1,68 @@
-"""Runnable streaming jobs over the proxy tables.
+"""Runnable streaming jobs over the proxy tables.
 
-Each job lands its input as files in a fresh folder under the shared
-checkpoint location (the arrival side of the stream), in several drops, runs
-the streaming query over them with ``trigger(availableNow=True)``, one drop a
-micro-batch, and returns the sink read back as a batch DataFrame.
+Each job lands its input in a fresh folder under the shared checkpoint location
+and lets it arrive in several drops.  For each drop the streaming query is started
+with ``trigger(availableNow=True)`` on the checkpoint of the one before, so it
+also restarts between micro-batches.  The sink, read back, is the result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.feedback import feedback_document_rows
-from ..plans.reconcile import reconcile_demand, reconcile_inventory
+from ..plans.reconcile import DEMAND_KEYS, INVENTORY_KEYS, demand_changes, inventory_changes
 from ..sources.views import Views
 from .intake import (
     DEMAND_CALL_SCHEMA,
     INVENTORY_CALL_SCHEMA,
-    BucketedQueueStore,
-    EventGate,
-    QueueStore,
     call_stream,
     json_array_calls,
     scratch_dir,
-    start_intake,
+    start_batches,
+    start_gate,
 )
-from .outbox import compact_outbox, start_outbox_export
-from .program_state import STATE_COLUMNS, StagedCompletions, merge_latest, stage_batches
+from .outbox import compact_outbox, start_outbox_export, store_children
+from .program_state import StagedCompletions, read_latest_state, stage_batches, start_latest_state
+from .program_update import POST_SCHEMA as UPDATE_SCHEMA
+from .program_update import PROGRAM_SCHEMA, UpdateStore, posts_and_programs, stage_updates
+from .queue_log import QueueLog, stage_changes
 
 POST_SCHEMA = "post_seq long, program string, batch string, state string"
 #: Micro-batches of a job's input.
 DROPS = 3
 
 
-def land(df: DataFrame, path: str, drop: Column | None = None, fmt: str = "parquet") -> str:
-    """Write rows as files (the producer side of a file stream), one file for
-    each value 0, 1, ... of ``drop``, in that order of arrival."""
-    if drop is None:
-        df.write.mode("errorifexists").format(fmt).save(path)
-        return path
-    for k in range(DROPS):
-        df.where(drop == k).coalesce(1).write.mode("append").format(fmt).save(path)
-    return path
-
+class Arrivals:
+    """Rows of a producer: written once, by all tasks, into a folder for each value
+    0, 1, ... of ``drop``; a folder arrives by its renaming into the one that the
+    stream watches, as producers publish files."""
 
-def run(stream: DataFrame, each, root: str) -> None:
-    """Run a ``foreachBatch`` function over all that has landed."""
-    q = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
+    def __init__(self, rows: DataFrame, root: str, drop: Column, fmt: str = "parquet"):
+        self.spark, self.root, self.fmt = rows.sparkSession, root, fmt
+        rows.withColumn("__drop", drop).write.partitionBy("__drop").format(fmt).save(f"{root}/staged")
 
+    def arrive(self, k: int) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        staged, arrived = path(f"{self.root}/staged/__drop={k}"), path(f"{self.root}/arrived/{k}")
+        fs = staged.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(arrived.getParent())
+        if fs.exists(staged) and not fs.rename(staged, arrived):
+            raise OSError(f"could not publish {staged}")
 
-def _reconcile(calls, trans_act, part, pip, alloc, config):
-    return reconcile_demand(calls, part, pip, alloc, config, trans_act, flag_new=True)
+    def stream(self, schema) -> DataFrame:
+        return call_stream(self.spark, f"{self.root}/arrived/*", schema, self.fmt)
 
 
-def _demand_items(batch: DataFrame) -> DataFrame:
-    # every row a demand batch stages or evicts carries one of its part names
-    return batch.select(F.col("part_name").alias("ItemName"))
+def in_drops(arrivals: list[Arrivals], start: Callable[[], object], drops: int = DROPS) -> None:
+    """One run of the query for each drop."""
+    for k in range(drops):
+        for a in arrivals:
+            a.arrive(k)
+        start().awaitTermination()
 
 
 def in_order(column: str, df: DataFrame) -> Column:
@@ -71,21 +77,11 @@ def in_order(column: str, df: DataFrame) -> Column:
 def stream_demand_intake(spark: SparkSession, v: Views) -> DataFrame:
     root = scratch_dir(spark, "demand-intake")
     calls = v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames())
-    src = land(calls, f"{root}/calls", in_order("seq", calls))
-    store = BucketedQueueStore(spark, f"{root}/queue", v.trans_act)
-    q = start_intake(
-        call_stream(spark, src, DEMAND_CALL_SCHEMA, max_files_per_trigger=1),
-        store,
-        _reconcile,
-        f"{root}/_checkpoint",
-        touched_items=_demand_items,
-        part=v.part_wo,
-        pip=v.pip,
-        alloc=v.slab_part_alloc,
-        config=v.config,
-    )
-    q.awaitTermination()
-    return store.current()
+    arrivals = Arrivals(calls, f"{root}/calls", in_order("seq", calls))
+    log = QueueLog(spark, f"{root}/queue", DEMAND_KEYS).start(v.trans_act)
+    step = stage_changes(log, demand_changes, part=v.part_wo, pip=v.pip, slab_part_alloc=v.slab_part_alloc, config=v.config)
+    in_drops([arrivals], lambda: start_batches(arrivals.stream(DEMAND_CALL_SCHEMA), step, f"{root}/_checkpoint"))
+    return log.current()
 
 
 def stream_inventory_intake(spark: SparkSession, v: Views) -> DataFrame:
@@ -94,56 +90,64 @@ def stream_inventory_intake(spark: SparkSession, v: Views) -> DataFrame:
     calls = v.inventory_events.select(*INVENTORY_CALL_SCHEMA.fieldNames())
     # An event has a bounded number of calls: they came in one request.
     posts = calls.groupBy("sap_event_id").agg(F.min("seq").alias("seq"), F.to_json(F.collect_list(F.struct(*calls.columns))).alias("value"))
-    land(posts.where("value is not null").select("value", in_order("seq", posts).alias("drop")).select("value", "drop"), f"{root}/posts", F.col("drop"), "json")
-    stock = v.stock
-    posted = call_stream(spark, f"{root}/posts", "value string, drop int", "json", max_files_per_trigger=1)
-
-    def items(batch: DataFrame) -> DataFrame:
-        # called sheets, and the sheets that the events' materials may remove
-        removed = stock.join(batch.select(F.col("mm").alias("PrimeCode")), "PrimeCode", "left_semi").select(F.col("SheetName").alias("ItemName"))
-        return batch.select(F.col("sheet_name").alias("ItemName")).unionByName(removed)
-
-    def rec(batch, trans_act, alloc, config):
-        return reconcile_inventory(batch, stock, alloc, config, trans_act, flag_new=True)
-
-    store = BucketedQueueStore(spark, f"{root}/queue", v.trans_act)
-    q = start_intake(json_array_calls(posted, INVENTORY_CALL_SCHEMA), store, rec, f"{root}/_checkpoint", touched_items=items, alloc=v.slab_sheet_alloc, config=v.config)
-    q.awaitTermination()
-    return store.current()
+    drop = in_order("seq", calls)
+    arrivals = Arrivals(posts.where("value is not null").select("value", drop.alias("n")), f"{root}/posts", F.col("n"), "json")
+    log = QueueLog(spark, f"{root}/queue", INVENTORY_KEYS).start(v.trans_act)
+    step = stage_changes(log, inventory_changes, stock=v.stock, slab_sheet_alloc=v.slab_sheet_alloc, config=v.config)
+    in_drops([arrivals], lambda: start_batches(json_array_calls(arrivals.stream("value string"), INVENTORY_CALL_SCHEMA), step, f"{root}/_checkpoint"))
+    return log.current()
 
 
 def stream_event_gate(spark: SparkSession, v: Views) -> DataFrame:
     """The calls of an event arrive in different batches, and not in order."""
     root = scratch_dir(spark, "event-gate")
-    src = land(v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames()), f"{root}/calls", F.pmod(F.col("seq"), F.lit(DROPS)))
-    gate = EventGate(spark, f"{root}/passed")
-    run(call_stream(spark, src, DEMAND_CALL_SCHEMA, max_files_per_trigger=1), gate, root)
-    return gate.passed()
+    arrivals = Arrivals(v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames()), f"{root}/calls", F.pmod(F.col("seq"), F.lit(DROPS)))
+    in_drops([arrivals], lambda: start_gate(arrivals.stream(DEMAND_CALL_SCHEMA), f"{root}/passed", f"{root}/_checkpoint"))
+    return spark.read.schema(DEMAND_CALL_SCHEMA).parquet(f"{root}/passed")
 
 
-def _posts(spark: SparkSession, v: Views, root: str) -> DataFrame:
+def _posts(spark: SparkSession, v: Views, root: str) -> Arrivals:
     posts = v.program_state_events.select("post_seq", "program", "batch", "state")
-    src = land(posts, f"{root}/posts", F.pmod(F.xxhash64("post_seq"), F.lit(DROPS)))
-    return call_stream(spark, src, POST_SCHEMA, max_files_per_trigger=1)
+    return Arrivals(posts, f"{root}/posts", F.pmod(F.xxhash64("post_seq"), F.lit(DROPS)))
 
 
 def stream_program_state(spark: SparkSession, v: Views) -> DataFrame:
     """The latest state of each program; posts arrive out of order."""
     root = scratch_dir(spark, "program-state")
-    none = spark.createDataFrame([], POST_SCHEMA).select(*STATE_COLUMNS)
-    store = QueueStore(spark, f"{root}/latest", none)
-    run(_posts(spark, v, root), merge_latest(store), root)
-    return store.current().select("program", "batch", "state")
+    posts = _posts(spark, v, root)
+    in_drops([posts], lambda: start_latest_state(posts.stream(POST_SCHEMA), f"{root}/latest", f"{root}/_checkpoint"))
+    return read_latest_state(spark, f"{root}/latest").select("program", "batch", "state")
 
 
 def stream_program_complete(spark: SparkSession, v: Views) -> DataFrame:
     """Completions staged by the posts, whatever the cut into batches."""
     root = scratch_dir(spark, "program-complete")
-    store = StagedCompletions(spark, f"{root}/staged", v.trans_act)
-    run(_posts(spark, v, root), stage_batches(store, v.program), root)
+    posts = _posts(spark, v, root)
+    store = StagedCompletions(spark, f"{root}/staged").start(v.trans_act)
+    step = stage_batches(store, v.program)
+    in_drops([posts], lambda: start_batches(posts.stream(POST_SCHEMA), step, f"{root}/_checkpoint"))
     return store.rows()
 
 
+def stream_program_update(spark: SparkSession, v: Views) -> DataFrame:
+    """SN76 rows staged by the posts; a third of the programs is there at the start,
+    the others arrive in drops of their own, before or after their posts."""
+    root = scratch_dir(spark, "program-update")
+    posts = v.program_update_events.select("seq", "sap_system", "sap_event_id", "archive_packet_id")
+    programs = v.program.select("ArchivePacketID", "ProgramName", F.col("RepeatID").cast("long").alias("RepeatID"))
+    turn = F.pmod(F.xxhash64("ArchivePacketID"), F.lit(DROPS))
+    store = UpdateStore(spark, f"{root}/store").start(programs.where(turn == 0))
+    sent = Arrivals(posts, f"{root}/posts", F.pmod(F.col("seq"), F.lit(DROPS)))
+    late = Arrivals(programs.where(turn > 0), f"{root}/programs", turn)
+
+    def start():
+        both = posts_and_programs(sent.stream(UPDATE_SCHEMA), late.stream(PROGRAM_SCHEMA))
+        return start_batches(both, stage_updates(store, v.config), f"{root}/_checkpoint")
+
+    in_drops([sent, late], start)
+    return store.staged()
+
+
 OUTBOX_SCHEMA = (
     "AutoID long, ArchivePacketID long, TransType string, ProgramName string, RepeatID long, "
     "MachineName string, CuttingTime double, SheetName string"
@@ -153,14 +157,16 @@ OUTBOX_SCHEMA = (
 def stream_outbox_export(spark: SparkSession, v: Views) -> DataFrame:
     """The exported documents, read back, one row per child; acknowledged rows
     have left the outbox, so any that are still there would be added as ``left``."""
-    root = scratch_dir(spark, "outbox")
-    src = land(v.st_prg_arc, f"{root}/outbox", F.pmod(F.col("AutoID"), F.lit(DROPS)))
-    tables = dict(stock=v.stock, st_pip_arc=v.st_pip_arc, part=v.part_wo, remnant=v.remnant)
-    q = start_outbox_export(call_stream(spark, src, OUTBOX_SCHEMA, max_files_per_trigger=1), root, **tables)
-    q.awaitTermination()
     from ..plans.feedback import feedback_documents
 
-    schema = feedback_documents(v.st_prg_arc, **tables).schema
+    root = scratch_dir(spark, "outbox")
+    arrivals = Arrivals(v.st_prg_arc, f"{root}/outbox", F.pmod(F.col("AutoID"), F.lit(DROPS)))
+    children = store_children(spark, root, v.st_pip_arc, v.part_wo, v.remnant)
+    try:
+        in_drops([arrivals], lambda: start_outbox_export(arrivals.stream(OUTBOX_SCHEMA), root, v.stock, children))
+    finally:
+        children.forget()
+    schema = feedback_documents(v.st_prg_arc, v.stock, v.st_pip_arc, v.part_wo, v.remnant).schema
     rows = feedback_document_rows(spark.read.schema(schema).json(f"{root}/docs"))
     left = compact_outbox(spark, v.st_prg_arc, root).select("AutoID", "ArchivePacketID", F.lit("left").alias("state"))
     return rows.unionByName(left, allowMissingColumns=True)
