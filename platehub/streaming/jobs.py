@@ -65,6 +65,14 @@ def in_drops(arrivals: list[Arrivals], start: Callable[[], object], drops: int =
         start().awaitTermination()
 
 
+def stored(spark: SparkSession, root: str, **tables: DataFrame) -> dict[str, DataFrame]:
+    """The tables that every micro-batch looks up, written once: here they are views
+    over other tables, which each batch would compute anew."""
+    for name, rows in tables.items():
+        rows.write.parquet(f"{root}/tables/{name}")
+    return {name: spark.read.schema(rows.schema).parquet(f"{root}/tables/{name}") for name, rows in tables.items()}
+
+
 def in_order(column: str, df: DataFrame) -> Column:
     """Drops by the order of a column, cut at its approximate quantiles."""
     cuts = df.agg(F.percentile_approx(column, [k / DROPS for k in range(1, DROPS)])).first()[0] or []
@@ -79,7 +87,11 @@ def stream_demand_intake(spark: SparkSession, v: Views) -> DataFrame:
     calls = v.demand_events.select(*DEMAND_CALL_SCHEMA.fieldNames())
     arrivals = Arrivals(calls, f"{root}/calls", in_order("seq", calls))
     log = QueueLog(spark, f"{root}/queue", DEMAND_KEYS).start(v.trans_act)
-    step = stage_changes(log, demand_changes, part=v.part_wo, pip=v.pip, slab_part_alloc=v.slab_part_alloc, config=v.config)
+    tables = stored(
+        spark, root, part=v.part_wo.select("PartName", "WONumber", "QtyCompleted", "Data18"), pip=v.pip.select("PartName", "WONumber", "QtyInProcess"),
+        slab_part_alloc=v.slab_part_alloc.select("PartName", "WoNumber", "Qty"),
+    )
+    step = stage_changes(log, demand_changes, config=v.config, **tables)
     in_drops([arrivals], lambda: start_batches(arrivals.stream(DEMAND_CALL_SCHEMA), step, f"{root}/_checkpoint"))
     return log.current()
 
