@@ -2,8 +2,8 @@
 
 import sys as _sys
 
-# The few functions that run in Python workers (the per-program state
-# machine) are shipped by value, so executors need no installed copy of
+# The few functions that run in Python workers (the pick of an event's first
+# call in a stream) are shipped by value, so executors need no installed copy of
 # this package and no particular working directory.
 try:
     from pyspark import cloudpickle as _cloudpickle

@@ -18,6 +18,8 @@ D2 ``NOT IN`` gate closed by NULL TransIDs, D3 gate on the 10-char id).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from ..functions import codes
 from ..functions.text import derive_mark, fill_template, trans_id
 from ..operators.dedup import first_per_key
 from ..operators.joins import has_null
+from ..session import cut
 from .queue import compact, conform, district_by_system, with_column_defaults
 
 DEMAND_OPTIONAL = {
@@ -144,6 +147,11 @@ def committed_qty(part: DataFrame, pip: DataFrame) -> DataFrame:
     ).drop("__inproc")
 
 
+def _stored_adds(adds: DataFrame) -> DataFrame:
+    """The adds are staged, and compared with every row of the queue."""
+    return cut(adds, "adds")
+
+
 #: Keys by which a later add supersedes a staged row.
 DEMAND_KEYS = ["OrderNo", "ItemName", "ItemData18"]
 INVENTORY_KEYS = ["ItemName"]
@@ -157,12 +165,15 @@ def demand_changes(
     config: DataFrame,
     trans_act: DataFrame,
     literal: bool = False,
+    hold: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(removals, adds) that a batch of demand calls stages (C1).  Of the queue
-    only the ids that the gate reads are used."""
+    only the ids that the gate reads are used.  ``hold`` may store the adds, for
+    callers that use them more than once."""
     calls = _prepare_calls(calls, DEMAND_OPTIONAL)
     cfg = district_by_system(config)
     adds = demand_adds(calls, slab_part_alloc, cfg, literal)
+    adds = hold(adds) if hold else adds
     gated = _gate(calls, trans_act, adds, literal, "ItemData18")
     # Removals: every work order of the called part not yet stamped with the
     # event (a NULL Data18 never compares unequal, so it is not removed).
@@ -174,7 +185,7 @@ def demand_changes(
         & (F.col("Data18") != F.col("sap_event_id")),
         "inner",
     )
-    touched_pip = _touched(pip, [("PartName", "PartName"), ("WONumber", "WONumber")], rem)
+    touched_pip = _touched(pip, [("PartName", "part_name")], calls)
     in_proc = touched_pip.groupBy("PartName", "WONumber").agg(F.sum("QtyInProcess").alias("__inproc"))
     rem = rem.join(in_proc, ["PartName", "WONumber"], "left")
     rem = rem.join(cfg, F.col("sap_system") == F.col("cfg_system"), "inner")
@@ -204,7 +215,7 @@ def reconcile_demand(
     literal: bool = False,
 ) -> DataFrame:
     """Next version of the queue after a batch of demand calls."""
-    removals, adds = demand_changes(calls, part, pip, slab_part_alloc, config, trans_act, literal)
+    removals, adds = demand_changes(calls, part, pip, slab_part_alloc, config, trans_act, literal, _stored_adds)
     return compact(conform(trans_act), removals.unionByName(adds), adds, DEMAND_KEYS)
 
 
@@ -242,9 +253,11 @@ def inventory_changes(
     config: DataFrame,
     trans_act: DataFrame,
     literal: bool = False,
+    hold: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(removals, adds) that a batch of inventory calls stages (C2); removals that
-    an add of the batch supersedes are left out."""
+    an add of the batch supersedes are left out.  ``hold`` as in
+    :func:`demand_changes`."""
     calls = _prepare_calls(calls, INVENTORY_OPTIONAL)
     cfg = district_by_system(config)
     alloc_rows = _touched(slab_sheet_alloc, [("SheetName", "sheet_name")], calls)
@@ -275,6 +288,7 @@ def inventory_changes(
             (F.col("seq") * 2 + 1).alias("Ordinal"),
         )
     )
+    adds = hold(adds) if hold else adds
     # the gate's NULL-event rule looks at the add's event id
     gate_adds = a.select(F.col("sap_event_id").alias("ItemData18"), (F.col("seq") * 2 + 1).alias("Ordinal"))
     gated = _gate(calls, trans_act, gate_adds, literal, "BinNumber")
@@ -307,7 +321,7 @@ def reconcile_inventory(
     literal: bool = False,
 ) -> DataFrame:
     """Next version of the queue after a batch of inventory calls."""
-    removals, adds = inventory_changes(calls, stock, slab_sheet_alloc, config, trans_act, literal)
+    removals, adds = inventory_changes(calls, stock, slab_sheet_alloc, config, trans_act, literal, _stored_adds)
     return compact(conform(trans_act), removals.unionByName(adds), adds, INVENTORY_KEYS)
 
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; each one is a stock Spark option.
 SCALE_CONF = {
@@ -85,6 +86,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
 
 
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: what uses it several
+    times computes it once, and a lost executor does not bring back its history."""
+    path = os.path.join(checkpoint_dir(df.sparkSession), "platehub", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cpus: int | None = None, shuffle_partitions: int = 8) -> SparkSession:
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
     return build_session(

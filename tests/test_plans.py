@@ -43,7 +43,7 @@ def test_filters_reach_the_scan(spark, views):
 
 
 @pytest.mark.parametrize("name,scans,exchanges", [
-    ("demand_reconcile", 18, 30), ("inventory_reconcile", 14, 24), ("nest_documents", 10, 22), ("feedback_documents", 10, 22),
+    ("demand_reconcile", 10, 16), ("inventory_reconcile", 10, 14), ("nest_documents", 10, 22), ("feedback_documents", 10, 22),
     ("program_complete", 4, 10), ("open_programs_by_machine", 4, 8),
 ])
 def test_plans_without_broadcasts(spark, name, scans, exchanges):
