@@ -1,8 +1,9 @@
 """Run a registered query by name.
 
     python -m platehub list
-    python -m platehub run <name> [--sf DIR] [--out PATH] [--format parquet|json] [--show N]
+    python -m platehub run <name> [--param NAME=VALUE ...] [--sf DIR] [--out PATH] [--format parquet|json] [--show N]
 
+``list`` shows the parameters that a query declares, with types and defaults.
 ``--out`` writes the whole result with Spark (nothing is collected);
 ``--show`` prints at most N rows.  An unknown name is an error.
 """
@@ -14,7 +15,7 @@ import sys
 
 
 def main(argv: list[str] | None = None) -> int:
-    from .plans.lookups import run_named
+    from .plans.lookups import NamedSql, run_named
     from .plans.registry import ORACLE, QUERIES
 
     ap = argparse.ArgumentParser(prog="python -m platehub")
@@ -22,6 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("list", help="list registered queries")
     run = sub.add_parser("run", help="run one query")
     run.add_argument("name")
+    run.add_argument("--param", action="append", default=[], metavar="NAME=VALUE", help="value of a declared parameter")
     run.add_argument("--sf", default="/root/testdata/sf0.01", help="folder with the input parquet tables")
     run.add_argument("--out", help="write the result here")
     run.add_argument("--format", default="parquet", choices=["parquet", "json"])
@@ -32,16 +34,28 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd == "list":
         for name in sorted(QUERIES):
-            print(name + ("" if name in ORACLE else "  (no SQL twin)"))
+            fn = QUERIES[name]
+            declared = [f"{k}: {t} = {fn.defaults[k]!r}" for k, t in fn.types.items()] if isinstance(fn, NamedSql) else []
+            print(name + ("" if name in ORACLE else "  (no SQL twin)") + (f"  ({', '.join(declared)})" if declared else ""))
         return 0
     if args.name not in QUERIES:
         print(f"unknown query {args.name!r}; try: python -m platehub list", file=sys.stderr)
         return 2
 
+    params = dict(p.partition("=")[::2] for p in args.param)
+    try:
+        if isinstance(QUERIES[args.name], NamedSql):
+            QUERIES[args.name].values(params)
+        elif params:
+            raise ValueError(f"{args.name} takes no parameters")
+    except ValueError as e:
+        print(e, file=sys.stderr)
+        return 2
+
     from .session import build_session
 
     spark = build_session(master=args.master, shuffle_partitions=args.shuffle_partitions)
-    df = run_named(QUERIES, args.name, spark, args.sf)
+    df = run_named(QUERIES, args.name, spark, args.sf, params)
     if args.out:
         df.write.mode("overwrite").format(args.format).save(args.out)
     if args.show:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bom as B
 from ..functions.text import inches_text, size_label
+from ..operators.dedup import first_per_key
 from ..operators.documents import exact_sum
 
 
@@ -81,3 +82,23 @@ def bom_lookup(bom: DataFrame, job: int, shipment: int, mark: str | None = None)
         return rows
     hit = rows.where(F.lower(_c("mark")) == mark.lower())
     return hit.orderBy("mark").limit(1)
+
+
+BOM_COLLATION = "UTF8_LCASE"
+
+
+def bom_lookups(bom: DataFrame, requests: DataFrame) -> DataFrame:
+    """Many lookups at once (S5, P12): ``requests`` has request, job, shipment, mark.
+
+    With a mark: the first line of the job and shipment whose mark equals it but
+    for case, first by the mark's bytes, then by the other columns; nothing if there
+    is none.  Without one (NULL): all lines.  One row for each line found, with the
+    request's id.  The marks are compared by collation, so they are join keys.
+    """
+    wanted = requests.select("request", F.col("job").alias("__job"), F.col("shipment").alias("__shipment"), F.col("mark").alias("__mark"))
+    place = (_c("job") == _c("__job")) & (_c("shipment") == _c("__shipment"))
+    same = F.collate(_c("mark"), BOM_COLLATION) == F.collate(_c("__mark"), BOM_COLLATION)
+    hits = bom.join(wanted, place & same).select("request", *bom.columns)
+    first = first_per_key(hits, ["request"], ["mark", *[c for c in bom.columns if c != "mark"]])
+    lines = bom.join(wanted.where(_c("__mark").isNull()), place).select("request", *bom.columns)
+    return first.select("request", *bom.columns).unionByName(lines)

@@ -1,4 +1,4 @@
-"""Sinks: document export (K2), queue append (K3, K4) and full overlay (K5).
+"""Sinks: document export (K2), bulk insert (K3, K4) and full overlay (K5).
 
 All writes are single Spark jobs through the output committer: a job either
 commits every file (``_SUCCESS``) or none, which is the all-or-nothing
@@ -8,7 +8,7 @@ shared store.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_RECORDS_PER_FILE = 100_000
@@ -29,9 +29,62 @@ def document_json(docs: DataFrame, key: str) -> DataFrame:
     return docs.select(key, F.to_json(F.struct(*payload)).alias("json"))
 
 
-def append_queue(rows: DataFrame, path: str) -> None:
-    """Append staged rows to the queue table in one job (K3, K4)."""
-    rows.write.mode("append").parquet(path)
+def export_keyed(docs: DataFrame, path: str, key: str, ranges: int) -> None:
+    """Documents as a store to look up by key (K2): ``key, json``, cut into ``ranges``
+    ranges of the key at its approximate quantiles, one folder each, sorted within;
+    ``<path>/index`` has the least and largest key of each.  Documents without a key
+    are in the first range."""
+    spark = docs.sparkSession
+    cuts = docs.agg(F.percentile_approx(key, [k / ranges for k in range(1, ranges)])).first()[0] if ranges > 1 else None
+    part = F.lit(0)
+    for cut in sorted(set(cuts or [])):
+        part = part + F.coalesce((F.col(key) > cut).cast("int"), F.lit(0))
+    rows = document_json(docs, key).withColumn("part", part)
+    rows.repartitionByRange(ranges, "part", key).sortWithinPartitions("part", key).write.mode("overwrite").partitionBy("part").parquet(f"{path}/docs")
+    index = spark.read.parquet(f"{path}/docs").groupBy("part").agg(F.min(key).alias("least"), F.max(key).alias("largest"))
+    index.coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
+
+
+def read_keyed(spark: SparkSession, path: str, key: str, value=None) -> DataFrame:
+    """``key, json`` of the store, or of one key, for which only its ranges are read:
+    one, or two where pages of a document lie on either side of a cut."""
+    docs = spark.read.parquet(f"{path}/docs")
+    if value is None:
+        return docs.select(key, "json")
+    index = spark.read.parquet(f"{path}/index").where(F.lit(value).between(F.col("least"), F.col("largest")))
+    parts = [r["part"] for r in index.select("part").collect()]  # ranges do not overlap
+    return docs.where(F.col("part").isin(parts) & (F.col(key) == value)).select(key, "json")
+
+
+def insert_once(rows: DataFrame, root: str, token: str) -> None:
+    """Bulk insert in which every batch of a ``token`` counts once (K4).
+
+    Batches whose token is in the ledger are left out.  The others are written in
+    one job, each over its own partition, and their tokens join the ledger last:
+    an attempt that died before is written over, one that died after is left out,
+    and readers see the batches of the ledger only.  Rows without a token are an error.
+    """
+    spark = rows.sparkSession
+    if rows.where(F.col(token).isNull()).limit(1).count():
+        raise ValueError(f"rows without {token}")
+    new = rows.join(_ledger(spark, root, token), token, "left_anti") if _exists(spark, f"{root}/ledger") else rows
+    new = new.withColumn("batch_token", F.col(token))
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_token").parquet(f"{root}/rows")
+    new.select(token).distinct().write.mode("append").parquet(f"{root}/ledger")
+
+
+def read_inserted(spark: SparkSession, root: str, token: str) -> DataFrame:
+    """The rows of all batches that were inserted whole."""
+    return spark.read.parquet(f"{root}/rows").drop("batch_token").join(_ledger(spark, root, token), token, "left_semi")
+
+
+def _ledger(spark: SparkSession, root: str, token: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/ledger").select(token)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def write_version(df: DataFrame, root: str, version: int) -> str:
