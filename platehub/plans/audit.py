@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import split_required
@@ -39,41 +40,45 @@ def constraint_audit(checks: list[tuple]) -> DataFrame:
 
     ``checks`` items: ``("pk", table, df, keys)``,
     ``("fk", table, df, keys, parent_df, parent_keys)`` or
-    ``("not_null", table, df, cols)``.  Each check is one aggregate; the
-    results are unioned, so every check is a distributed job."""
-    parts = []
-    for chk in checks:
-        kind, table = chk[0], chk[1]
+    ``("not_null", table, df, cols)``.  Violations are rows beyond the first of a
+    key (PK; NULL keys are equal), rows without a parent (FK; a NULL in the key is
+    none), and rows with a NULL (NOT NULL).
+
+    Each table is scanned once: a row gives an entry for each check that it takes
+    part in, as child or as parent, and one partial aggregate by check and key
+    serves all of them.
+    """
+    spark = checks[0][2].sparkSession
+    meta, tables = [], {}
+
+    def entry(df: DataFrame, number: int, keys: list[Column], when: Column, child: int, parent: int) -> None:
+        e = F.struct(F.lit(number).alias("check"), F.array(*[k.cast("string") for k in keys]).alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent"))
+        tables.setdefault(df.semanticHash(), (df, []))[1].append(F.when(when, e))
+
+    for number, (kind, table, df, cols, *parent) in enumerate(checks):
+        meta.append((number, table, f"{kind}({','.join(cols)})", kind))
+        own = [F.col(c) for c in cols]
+        whole = reduce(lambda x, y: x & y, [c.isNotNull() for c in own])
         if kind == "pk":
-            _, _, df, keys = chk
-            v = duplicate_keys(df, keys).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("v"))
-            name = "pk(" + ",".join(keys) + ")"
-        elif kind == "fk":
-            _, _, df, keys, parent, pkeys = chk
-            v = orphans(df, keys, parent, pkeys).agg(F.count(F.lit(1)).alias("v"))
-            name = "fk(" + ",".join(keys) + ")"
+            entry(df, number, own, F.lit(True), 1, 0)
         elif kind == "not_null":
-            _, _, df, cols = chk
-            cond = None
-            for c in cols:
-                x = F.col(c).isNull()
-                cond = x if cond is None else cond | x
-            v = df.agg(F.count(F.when(cond, F.lit(1))).alias("v"))
-            name = "not_null(" + ",".join(cols) + ")"
+            entry(df, number, [F.lit("")], ~whole, 1, 0)
+        elif kind == "fk":
+            rows, keys = parent
+            types = dict(rows.dtypes)
+            entry(df, number, [c.cast(types[k]) for c, k in zip(own, keys)], whole, 1, 0)
+            entry(rows, number, [F.col(k) for k in keys], F.lit(True), 0, 1)
         else:
             raise ValueError(kind)
-        parts.append(
-            v.select(
-                F.lit(table).alias("table_name"),
-                F.lit(name).alias("constraint_name"),
-                F.lit(kind).alias("kind"),
-                F.col("v").cast("long").alias("violations"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    entries = None
+    for df, parts in tables.values():
+        rows = df.select(F.explode(F.array(*parts)).alias("e")).where("e is not null").select("e.*")
+        entries = rows if entries is None else entries.unionByName(rows)
+    keys = entries.groupBy("check", "key").agg(F.sum("child").alias("children"), F.max("parent").alias("parent"))
+    about = F.broadcast(spark.createDataFrame(meta, "check int, table_name string, constraint_name string, kind string"))  # one row a check
+    bad = F.when(F.col("kind") == "pk", F.col("children") - 1).when(F.col("kind") == "fk", F.when(F.col("parent") == 0, F.col("children")).otherwise(0)).otherwise(F.col("children"))
+    found = keys.join(about.select("check", "kind"), "check").groupBy("check").agg(F.sum(bad).alias("v"))
+    return about.join(found, "check", "left").select("table_name", "constraint_name", "kind", F.coalesce(F.col("v"), F.lit(0)).cast("long").alias("violations"))
 
 
 def id_headroom(df: DataFrame, id_col: str, ts_col: str) -> DataFrame:

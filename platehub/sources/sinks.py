@@ -40,20 +40,22 @@ def export_keyed(docs: DataFrame, path: str, key: str, ranges: int) -> None:
     for cut in sorted(set(cuts or [])):
         part = part + F.coalesce((F.col(key) > cut).cast("int"), F.lit(0))
     rows = document_json(docs, key).withColumn("part", part)
-    rows.repartitionByRange(ranges, "part", key).sortWithinPartitions("part", key).write.mode("overwrite").partitionBy("part").parquet(f"{path}/docs")
+    rows.repartition(ranges, "part").sortWithinPartitions("part", key).write.mode("overwrite").partitionBy("part").parquet(f"{path}/docs")
     index = spark.read.parquet(f"{path}/docs").groupBy("part").agg(F.min(key).alias("least"), F.max(key).alias("largest"))
     index.coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
 
 
 def read_keyed(spark: SparkSession, path: str, key: str, value=None) -> DataFrame:
-    """``key, json`` of the store, or of one key, for which only its ranges are read:
-    one, or two where pages of a document lie on either side of a cut."""
-    docs = spark.read.parquet(f"{path}/docs")
+    """``key, json`` of the store, or of one key, for which only its range is
+    listed and read."""
+    docs = f"{path}/docs"
     if value is None:
-        return docs.select(key, "json")
+        return spark.read.parquet(docs).select(key, "json")
     index = spark.read.parquet(f"{path}/index").where(F.lit(value).between(F.col("least"), F.col("largest")))
-    parts = [r["part"] for r in index.select("part").collect()]  # ranges do not overlap
-    return docs.where(F.col("part").isin(parts) & (F.col(key) == value)).select(key, "json")
+    parts = [f"{docs}/part={r['part']}" for r in index.select("part").collect()]  # ranges do not overlap
+    if not parts:
+        return spark.read.parquet(docs).select(key, "json").limit(0)
+    return spark.read.parquet(*parts).where(F.col(key) == value).select(key, "json")
 
 
 def insert_once(rows: DataFrame, root: str, token: str) -> None:

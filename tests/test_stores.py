@@ -83,7 +83,6 @@ def test_a_lookup_reads_one_range(spark):
     assert len(files(spark.read.parquet(f"{path}/docs"))) == 8
     for key in (0, 5, 499, 999):
         found = sinks.read_keyed(spark, path, "key", key)
-        # the plan holds one file before any row is filtered
         assert len(found.inputFiles()) == 1, found.inputFiles()
         assert found.count() == (2 if key == 5 else 1)
     assert sinks.read_keyed(spark, path, "key", 10**6).count() == 0
@@ -136,3 +135,21 @@ def test_command_line_refuses_wrong_parameters(capsys):
     assert main(["run", "machine_list", "--param", "machine=x"]) == 2
     assert main(["run", "nothing"]) == 2
     assert "least is no int" in capsys.readouterr().err
+
+
+# constraints ----------------------------------------------------------------
+
+
+def test_audit_counts_and_scans_each_table_once(spark, views):
+    from platehub.plans.audit import constraint_audit
+    from platehub.plans.registry import _audit_checks
+
+    a = spark.createDataFrame([(1, "x"), (1, None), (None, "y"), (None, "z"), (3, None)], "k int, s string")
+    b = spark.createDataFrame([(1, "p"), (9, "q"), (9, "r"), (None, "t")], "k long, s string")
+    checks = [("pk", "a", a, ["k"]), ("not_null", "a", a, ["k", "s"]), ("pk", "a", a, ["k", "s"]), ("fk", "b", b, ["k"], a, ["k"]), ("pk", "none", a.limit(0), ["k"])]
+    got = [tuple(r) for r in constraint_audit(checks).collect()]
+    assert sorted(got) == sorted([("a", "pk(k)", "pk", 2), ("a", "not_null(k,s)", "not_null", 4), ("a", "pk(k,s)", "pk", 0), ("b", "fk(k)", "fk", 2), ("none", "pk(k)", "pk", 0)])
+    plan = constraint_audit(_audit_checks(views))._jdf.queryExecution().executedPlan().toString()
+    tables = [views.config, views.part_wo, views.stock, views.program, views.st_pip_arc, views.slab_part_alloc, views.st_prg_arc]
+    scans = sum(t._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") for t in tables)
+    assert plan.count("FileScan parquet") == scans
