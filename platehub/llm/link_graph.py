@@ -31,9 +31,11 @@ RULES = (
     ("block", "net/fr/"),
 )
 DAMPING = 0.85
-MAX_ITERATIONS = 30
-CUT_EVERY = 5
-TOLERANCE = 1e-6
+#: Steps between two looks at the change, which ends the iteration below TOLERANCE;
+#: damping shrinks it to that within MAX_STEPS, so more are an error.
+CUT_EVERY = 10
+TOLERANCE = 1e-7
+MAX_STEPS = 200
 MIN_DISTRUST = 0.5
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -85,7 +87,8 @@ def propagate(spark: SparkSession, edges: DataFrame, seeds: DataFrame) -> DataFr
     ``edges``: src, dst, weight; ``seeds``: host, trust, distrust (0 to 1).  Both
     ranks are r = seed + damping * (sum of the neighbours' r by their share of
     weight), distrust over reversed edges; they are scaled so that a seed alone
-    keeps its own value.  What leaves hosts without a further edge is lost.
+    keeps its own value.  What leaves hosts without a further edge is lost.  The
+    iteration ends when no rank changes by TOLERANCE any more.
     """
     scratch = Scratch(spark, "link-graph")
     edges = scratch.cut(edges)
@@ -98,7 +101,8 @@ def propagate(spark: SparkSession, edges: DataFrame, seeds: DataFrame) -> DataFr
         seeds.select("host", F.explode(F.create_map(F.lit("trust"), F.col("trust"), F.lit("distrust"), F.col("distrust"))).alias("kind", "rank")).filter("rank > 0")
     )
     ranks = start
-    for done in range(CUT_EVERY, MAX_ITERATIONS + 1, CUT_EVERY):
+    change = None
+    for _ in range(MAX_STEPS // CUT_EVERY):
         new = ranks
         for _ in range(CUT_EVERY):
             flow = new.join(shares, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share")).alias("rank"))
@@ -110,6 +114,8 @@ def propagate(spark: SparkSession, edges: DataFrame, seeds: DataFrame) -> DataFr
         ranks = new
         if (change or 0.0) < TOLERANCE:
             break
+    else:
+        raise RuntimeError(f"ranks still change by {change} after {MAX_STEPS} steps")
     pick = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0)).alias(kind)
     return ranks.groupBy("host").agg(pick("trust"), pick("distrust"))
 

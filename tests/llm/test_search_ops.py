@@ -371,18 +371,35 @@ def test_links_rules_and_ranks(spark):
     edges = [("a", "b", 2.0), ("a", "c", 1.0), ("b", "c", 1.0), ("c", "a", 1.0), ("d", "c", 1.0), ("d", "e", 3.0), ("e", "e2", 1.0)]
     seeds = [("a", 1.0, 0.0), ("e2", 0.0, 1.0), ("c", 0.25, 0.5)]
     got = {r["host"]: (r["trust"], r["distrust"]) for r in link_graph.propagate(spark, spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame(seeds, "host string, trust double, distrust double")).collect()}
-    hosts = sorted({h for e in edges for h in e[:2]})
-    rank = {}
+    check_ranks(got, edges, seeds)
+
+
+def check_ranks(got, edges, seeds):
+    """The ranks solve r = seed + damping * shares' r, as a linear system."""
+    hosts = sorted({h for e in edges for h in e[:2]} | {s[0] for s in seeds})
+    at = {h: i for i, h in enumerate(hosts)}
     for k, flip in ((0, False), (1, True)):
-        seed = {h: next((s[1 + k] for s in seeds if s[0] == h), 0.0) for h in hosts}
-        links = [(d, s, w) if flip else (s, d, w) for s, d, w in edges]
-        out = {h: sum(w for s, _, w in links if s == h) for h in hosts}
-        r = dict(seed)
-        for _ in range(link_graph.MAX_ITERATIONS):
-            r = {h: seed[h] + link_graph.DAMPING * sum(r[s] * w / out[s] for s, d, w in links if d == h) for h in hosts}
-        rank[k] = r
-    for h in hosts:
-        assert got.get(h, (0.0, 0.0)) == pytest.approx((rank[0][h], rank[1][h]), abs=1e-2)
+        seed, flow = np.zeros(len(hosts)), np.zeros((len(hosts), len(hosts)))
+        for s in seeds:
+            seed[at[s[0]]] += s[1 + k]
+        for x, y, w in edges:
+            x, y = (y, x) if flip else (x, y)
+            flow[at[y], at[x]] += w
+        share = flow / np.maximum(flow.sum(axis=0, keepdims=True), 1e-300)
+        want = np.linalg.solve(np.eye(len(hosts)) - link_graph.DAMPING * share, seed)
+        assert np.allclose([got.get(h, (0.0, 0.0))[k] for h in hosts], want, rtol=0, atol=1e-6)
+
+
+def test_ranks_converge_on_cycles(spark):
+    """Links both ways, where damping alone shrinks the change, and a hub."""
+    rng = random.Random(9)
+    hosts = [f"h{i}" for i in range(30)]
+    edges = [(h, "h0", 1.0) for h in hosts[1:]] + [("h0", h, 1.0) for h in hosts[1:]]
+    edges += [(x, y, float(rng.randint(1, 4))) for x, y in {tuple(rng.sample(hosts[1:], 2)) for _ in range(60)}]
+    edges += [("p", "q", 1.0), ("q", "p", 1.0)]
+    seeds = [(h, rng.random(), rng.random()) for h in hosts[::3]] + [("p", 1.0, 0.0), ("q", 0.0, 1.0)]
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in link_graph.propagate(spark, spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame(seeds, "host string, trust double, distrust double")).collect()}
+    check_ranks(got, edges, seeds)
 
 
 def test_url_verdicts(spark):
