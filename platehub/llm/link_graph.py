@@ -33,8 +33,8 @@ RULES = (
 DAMPING = 0.85
 #: Steps between two looks at the change, which ends the iteration below TOLERANCE;
 #: damping shrinks it to that within MAX_STEPS, so more are an error.
-CUT_EVERY = 10
-TOLERANCE = 1e-7
+CUT_EVERY = 5
+TOLERANCE = 5e-7
 MAX_STEPS = 200
 MIN_DISTRUST = 0.5
 
