@@ -7,8 +7,9 @@ twice the longest item, half a window apart, so that each stretch as long as an
 item lies whole in some passage.
 
 Items stand in blocks.  A passage's bound for a block is the sum over its words
-of the block's largest impact of the word; only blocks whose bound reaches the
-threshold are scored, and only items that reach it are retrieved.  The bounds of
+of the block's largest impact of the word; a passage is scored only if the bound
+of some block reaches the threshold, then over the postings of its words in all
+blocks, and only items that reach the threshold are retrieved.  The bounds of
 all passages of a text come from one running sum.  Retrieved items are verified:
 the passage must hold enough of the word bigrams of the item's question and of
 its answer.
