@@ -20,13 +20,15 @@ Signatures travel as packed arrays, one row for each map batch and bucket of
 keys; a bucket is sorted in numpy and yields candidate links to the smallest
 document of each group of equal signatures.  Copies are one set throughout.
 Candidates are verified exactly on the whole texts; groups whose members are not
-yet in one component after that get further links until none is untested.  So a
-group of g near copies costs about g comparisons, and no link is lost.
+yet in one component after that are compared block by block, where a link that
+joins what is joined already is neither verified nor given: a group yields fewer
+links than it has members, and connects all that links connect.
 
 Before texts are compared, candidates pass a bound: each set has a sketch of the
 parities of its shingles in about two bits a shingle; where two sets differ in d
 shingles, at most d parities differ.  Groups that share a signature by chance, or
-a passage, are settled by these bounds, block by block.
+a passage, are mostly settled by these bounds alone; the texts of the members
+that are not come to the blocks' tasks.
 """
 
 from __future__ import annotations
@@ -49,10 +51,12 @@ THRESHOLD = Fraction(3, 4)
 SINGLETONS = 16
 #: Identifiers or shingles that may be broadcast (8 bytes each).
 BROADCAST = 2_000_000
-#: Rounds of star-shaped follow-up before all untested pairs across components.
+#: Rounds of star-shaped follow-up before groups are settled in blocks.
 STAR_ROUNDS = 1
-#: Members of a group whose bounds are compared at a time with as many others.
+#: Members of a group that are compared at a time with as many others, and the
+#: shingles they may have together, about.
 BLOCK = 2048
+SHINGLES = 4_000_000
 
 
 class Plan:
@@ -247,23 +251,64 @@ def _possible(plan: Plan):
     return run
 
 
+def _near(plan: Plan, bits: np.ndarray, n: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """Those of ``others`` that sizes and sketches allow a link with ``i``."""
+    differ = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1, dtype=np.int64)
+    most = (n[others] + n[i]) * plan.apart.numerator // plan.apart.denominator
+    sizes = np.minimum(n[others], n[i]) * plan.t.denominator >= np.maximum(n[others], n[i]) * plan.t.numerator
+    return others[sizes & (differ <= most)]
+
+
+def _opposite(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a pair of blocks: those of the first, and those of the second."""
+    block = table.column("block").to_numpy()
+    return tuple(np.flatnonzero(block == table.column(c)[0].as_py()) for c in ("p", "q"))
+
+
 def _across(plan: Plan):
-    """Two blocks of a group -> pairs across components that sketches allow."""
+    """Two blocks of a group -> the members that sketches allow a link with one
+    of another component."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, comp, n, block = (table.column(c).to_numpy() for c in ("id", "c", "n", "block"))
+        comp, n = (table.column(c).to_numpy() for c in ("c", "n"))
         raw = table.column("sketch").to_pylist()
         size = min(map(len, raw))
         bits = np.stack([folded(x, size) for x in raw])
-        p, q = (np.flatnonzero(block == table.column(c)[0].as_py()) for c in ("p", "q"))
-        out = []
+        p, q = _opposite(table)
+        live = np.zeros(len(n), dtype=bool)
         for i in p:
-            differ = np.bitwise_count(bits[q] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            most = (n[q] + n[i]) * plan.apart.numerator // plan.apart.denominator
-            hit = q[(differ <= most) & (comp[q] != comp[i])]
-            out.append(np.stack([np.minimum(ids[hit], ids[i]), np.maximum(ids[hit], ids[i])], axis=1))
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), dtype=np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+            near = _near(plan, bits, n, i, q[comp[q] != comp[i]])
+            live[near] = True
+            live[i] |= len(near) > 0
+        return table.select(["g", "p", "q", "id", "c", "block"]).filter(pa.array(live))
+
+    return run
+
+
+def _forest(words: int, plan: Plan):
+    """Two blocks of a group with their texts -> verified links that connect what
+    links between the blocks connect: at most one for each component but one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, comp = table.column("id").to_numpy(), table.column("c").to_numpy()
+        sets = [shingles(word_hashes(x), words) for chunk in table.column("text").chunks for x in byte_views(chunk)]
+        n = np.array([len(x) for x in sets], dtype=np.int64)
+        sketches = [sketch(x) if len(x) else b"\0" * 8 for x in sets]
+        size = min(map(len, sketches))
+        bits = np.stack([folded(x, size) for x in sketches])
+        p, q = (rows_[n[rows_] > 0] for rows_ in _opposite(table))
+        # Each row's tree, renamed when two of them meet.
+        tree, out = comp.copy(), []
+        for i in p:
+            for j in _near(plan, bits, n, i, q[tree[q] != tree[i]]):
+                if tree[i] == tree[j]:
+                    continue
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if common and common * plan.t.denominator >= (n[i] + n[j] - common) * plan.t.numerator:
+                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    tree[tree == tree[j]] = tree[i]
+        a, b = (np.array([x[k] for x in out], dtype=np.int64) for k in (0, 1))
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
     return run
 
@@ -382,16 +427,24 @@ def join_components(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
         return links
 
     def across(now: DataFrame) -> DataFrame:
-        """Pairs across the components of open groups that sizes and sketches
-        allow; a large group is compared block by block."""
-        sizes = now.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        rows = now.join(sizes, "g").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        """Verified links across the components of open groups, enough to connect
+        all that links connect; a large group is compared block by block."""
+        rows = now.join(known.toDF("id", "n"), "id").join(sketches.toDF("id", "sketch"), "id")
+        wide = F.greatest(F.count("*") / BLOCK, F.sum("n") / SHINGLES)
+        rows = rows.join(rows.groupBy("g").agg(F.ceil(wide).cast("int").alias("blocks")), "g").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         rows = rows.withColumn("other", other).withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
-        rows = rows.join(known.toDF("id", "n"), "id").join(sketches.toDF("id", "sketch"), "id")
         # A fixed number of tasks: these rows are few, but each costs a comparison with many.
-        rows = rows.select("g", "p", "q", "id", "c", "n", "block", "sketch").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "g", "p", "q")
-        return rows.groupBy("g", "p", "q").applyInArrow(_across(plan), "a long, b long").distinct()
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.select("g", "p", "q", "id", "c", "n", "block", "sketch").repartition(tasks, "g", "p", "q")
+        live = rows.groupBy("g", "p", "q").applyInArrow(_across(plan), "g long, p int, q int, id long, c long, block int")
+        live = scratch.cut(live.distinct())
+        ids = scratch.cut(live.select(F.col("id").alias("doc_id")).distinct())
+        texts = scratch.cut(_only(docs, ids, ids.count()).distinct())
+        held = live.join(texts.withColumnRenamed("doc_id", "id"), "id").repartition(tasks, "g", "p", "q")
+        links = scratch.cut(held.groupBy("g", "p", "q").applyInArrow(_forest(words, plan), "a long, b long").distinct())
+        scratch.drop(live, ids, texts)
+        return links
 
     candidates = found.filter(F.col("kind") == PAIR).select("a", "b").distinct()
     late = found.filter(F.col("kind") == LATE).select(F.col("a").alias("doc_id")).distinct()
@@ -412,12 +465,11 @@ def join_components(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
             centre = heads.filter("c = lo").select("g", F.col("id").alias("a"))
             more = heads.filter("c <> lo").join(centre, "g").select("a", F.col("id").alias("b"))
             more = scratch.cut(as_reps(more).join(tested, ["a", "b"], "left_anti"))
-            tested, allowed = tested.unionByName(more), possible(more)
+            tested, allowed = tested.unionByName(more), scratch.cut(possible(more))
+            new = None if allowed.isEmpty() else verify(allowed)
         else:
-            allowed = across(now).join(tested, ["a", "b"], "left_anti")
-        allowed = scratch.cut(allowed)
-        if not allowed.isEmpty():
-            new = verify(allowed)
+            new = None if now.isEmpty() else across(now)
+        if new is not None:
             links = links.unionByName(new)
             # Components so far are stars; only the new links can merge them.
             linked = components(linked.toDF("a", "b").unionByName(new), scratch)

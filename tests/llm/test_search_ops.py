@@ -6,6 +6,7 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,6 +105,31 @@ def test_jaccard_hot_groups(spark):
     assert got == {i: c for i, (_, c) in brute_components(rows).items()}
 
 
+def test_jaccard_blocks_give_a_forest(spark, monkeypatch):
+    """Blocks of any size connect what links connect, with few links."""
+    rng = random.Random(15)
+    words = vocabulary(rng, 400)
+    rows = []
+    for _ in range(6):
+        base = [rng.choice(words) for _ in range(50)]
+        for _ in range(25):
+            copy = list(base)
+            for p in rng.sample(range(50), 2):
+                copy[p] = rng.choice(words)
+            rows.append((len(rows), " ".join(copy)))
+    want = {i: c for i, (_, c) in brute_components(rows).items()}
+    for block, most in ((2048, 10**6), (16, 10**6), (2048, 900)):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "SHINGLES", most)
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.join_components(spark, docs_frame(spark, rows)).collect()}
+        assert got == want
+    ids = [i for i, _ in rows]
+    table = pa.table({"g": [0] * len(ids), "p": [0] * len(ids), "q": [0] * len(ids), "id": ids, "c": ids, "block": [0] * len(ids), "text": [t for _, t in rows]})
+    links = jaccard._forest(5, jaccard.Plan())(table).to_pylist()
+    assert len(links) == len(ids) - len(set(want.values()))
+    assert all(want[x["a"]] == want[x["b"]] for x in links)
+
+
 def test_jaccard_edges(spark):
     long = " ".join(f"w{i % 977}x{i}" for i in range(60_000))
     texts = [(1, None), (2, ""), (3, " \n\t"), (4, "One two"), (5, "one  TWO"), (6, "É one two"), (7, "é one two"), (None, "one two"), (8, long), (9, long + " tail"), (4, "One two"), (10, "x"), (10, "one two three four five six")]
