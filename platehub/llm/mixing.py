@@ -47,6 +47,12 @@ def count_words(text: Column) -> Column:
     return F.when(flat == "", F.lit(0)).otherwise(F.size(F.split(flat, " +"))).cast("long")
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The first ``n`` words of a text, joined by a space."""
+    words = F.split(F.trim(F.translate(text, SPACE, " " * len(SPACE))), " +")
+    return F.array_join(F.slice(words, F.lit(1), n.cast("int")), " ")
+
+
 def seeded(seed: int, epoch: Column, doc_id: Column) -> Column:
     """60 bits that order a leaf's documents in an epoch."""
     name = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")))
@@ -88,19 +94,27 @@ def allocate(leaves: DataFrame, levels, weights: dict[tuple[str, ...], int], tar
 
 def mix_sources(
     spark: SparkSession, docs: DataFrame, levels=LEVELS, weights: dict[tuple[str, ...], int] = WEIGHTS,
-    target_tokens: int | None = None, target_share: float = TARGET_SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
+    target_tokens: int | None = None, target_share: float = TARGET_SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED, texts: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, the levels, n_tokens, epochs (full
     copies), last_tokens (tokens taken in the leaf's last, partial epoch) and
     taken_tokens in all; documents that are not chosen have 0.
 
+    ``texts``: the mixed corpus instead, chosen rows only, with their ``text``
+    (to be read ``epochs`` times) and ``last_text``, what the partial epoch takes:
+    the text if that is all of it, else its first words joined by a space; null
+    where it takes nothing.
+
     Tokens are words.  ``target_tokens``: the budget; None: ``target_share`` of
     the tokens there are.  Null levels count as empty strings, null or empty
     texts have no tokens, and repeated rows are documents of their own, in an
     order that does not depend on which is which.  An empty table gives no row.
     """
     scratch = Scratch(spark, "mixing")
-    rows = scratch.cut(docs.select("doc_id", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in levels), count_words(F.col("text")).alias("n_tokens")))
+    rows = docs.select("doc_id", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in levels), count_words(F.col("text")).alias("n_tokens"), *(["text"] if texts else []))
+    # Row ids are written with the rows, so that they are the same whenever read.
+    held = scratch.cut(rows.withColumn("row", F.monotonically_increasing_id()) if texts else rows)
+    rows = held.drop("text")
     leaves = scratch.cut(rows.groupBy(*levels).agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs")))
     if target_tokens is None:
         target_tokens = int((leaves.agg(F.sum("n_tokens").cast("double")).first()[0] or 0) * target_share)
@@ -118,9 +132,13 @@ def mix_sources(
     inside = Window.partitionBy(*levels, "range").orderBy("h", "doc_id", "n_tokens")
     prior = F.coalesce(F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     last = F.greatest(F.lit(0).cast("long"), F.least(F.col("n_tokens"), F.col("rest") - F.col("before") - prior))
-    return drawn.join(sums, [*levels, "range"]).withColumn("last_tokens", last).select(
-        "doc_id", *levels, "n_tokens", "epochs", "last_tokens", (F.col("epochs") * F.col("n_tokens") + F.col("last_tokens")).alias("taken_tokens")
-    )
+    taken = (F.col("epochs") * F.col("n_tokens") + F.col("last_tokens")).alias("taken_tokens")
+    drawn = drawn.join(sums, [*levels, "range"]).withColumn("last_tokens", last)
+    if not texts:
+        return drawn.select("doc_id", *levels, "n_tokens", "epochs", "last_tokens", taken)
+    chosen = drawn.select("row", "epochs", "last_tokens", taken).filter("taken_tokens > 0")
+    last_text = F.when(F.col("last_tokens") == F.col("n_tokens"), F.col("text")).when(F.col("last_tokens") > 0, first_words(F.col("text"), F.col("last_tokens")))
+    return held.join(chosen, "row").select("doc_id", *levels, "n_tokens", "epochs", "last_tokens", "taken_tokens", "text", last_text.alias("last_text"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
