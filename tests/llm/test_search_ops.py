@@ -378,6 +378,14 @@ def test_equal_short_lines_go(spark):
     }
 
 
+def test_line_dedup_of_many_lines_in_one_text(spark):
+    """A text that loses all its many lines costs a pass over them."""
+    text = "\n".join(f"line number {i}" for i in range(40_000))
+    docs = docs_frame(spark, [(1, text), (2, text + "\nnew at the end"), (3, None)])
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in line_dedup.dedup_lines(spark, docs).collect()}
+    assert got == {1: (text, 40_000, 0), 2: ("new at the end", 40_001, 40_000), 3: (None, 0, 0)}
+
+
 def test_line_dedup_edges(spark):
     line = "this line is long enough to count"
     docs = [(1, None), (2, ""), (3, f"{line}\n\nshort\n{line}\n"), (4, line), (None, line), (5, "short\nshort"), (6, " " * 40), (7, " " * 40), (8, "x" * 200_000), (9, "x" * 200_001), (3, f"{line}\n\nshort\n{line}\n")]
