@@ -137,6 +137,19 @@ def test_command_line_refuses_wrong_parameters(capsys):
     assert "least is no int" in capsys.readouterr().err
 
 
+def test_a_large_range_is_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "TASK_BYTES", 2000, raising=False)
+    docs = spark.createDataFrame([(i % 400 or None, f"d{i}") for i in range(2000)], "key long, name string")
+    path = scratch_dir(spark, "documents")
+    sinks.export_keyed(docs, path, "key", 2)
+    store = spark.read.parquet(f"{path}/docs")
+    files = store.select("part", F.input_file_name().alias("f")).distinct().groupBy("part").count()
+    assert all(n > 3 for _, n in rows(files)) and files.count() == 2
+    assert rows(sinks.read_keyed(spark, path, "key").selectExpr("key", "json_tuple(json, 'name') AS name")) == rows(docs)
+    (_, _, end), (_, begin, _) = rows(spark.read.parquet(f"{path}/index"), ["part", "least", "largest"])
+    assert end < begin and sinks.read_keyed(spark, path, "key", 7).count() == 5
+
+
 # constraints ----------------------------------------------------------------
 
 
