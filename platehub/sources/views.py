@@ -146,7 +146,9 @@ class Views:
 
     def _lines_with_program(self) -> DataFrame:
         li = self.table("lineitem")
-        prg = self.st_prg_arc
+        # The orders, one row a key, are hashed; the lines, several times as many,
+        # pass by unsorted and are held by no task.
+        prg = self.st_prg_arc.hint("shuffle_hash")
         return li.join(prg, li["l_orderkey"] == prg["ArchivePacketID"], "inner")
 
     @cached_property

@@ -59,3 +59,25 @@ def test_plans_without_broadcasts(spark, name, scans, exchanges):
             spark.conf.set(k, v)
     assert not any(op in plan for op in FORBIDDEN)
     assert plan.count("FileScan parquet") <= scans and plan.count("Exchange hashpartitioning") <= exchanges
+
+
+def test_lines_are_not_sorted_for_their_programs(spark, views):
+    """At scale a task would hold its share of the lines to sort them."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plans = [plan_text(df) for df in (views.st_pip_arc, views.pip, views.remnant, registry.QUERIES["retention_purge_all"](spark, SF))]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert all("ShuffledHashJoin" in p and "SortMergeJoin" not in p and "Sort [" not in p for p in plans)
+
+
+def test_audit_deals_keys_out_before_it_adds_them_up(spark):
+    """Nearly every key differs: the tasks that scan a table hold none of them."""
+    lines = plan_text(registry.QUERIES["constraint_audit"](spark, SF)).splitlines()
+    adds = [i for i, line in enumerate(lines) if "HashAggregate(keys=[check" in line and "key" in line.split("functions")[0]]
+    dealt = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line]
+    assert len(dealt) == 1 and adds and max(adds) < dealt[0]
