@@ -45,8 +45,8 @@ def constraint_audit(checks: list[tuple]) -> DataFrame:
     none), and rows with a NULL (NOT NULL).
 
     Each table is scanned once: a row gives an entry for each check that it takes
-    part in, as child or as parent, and one partial aggregate by check and key
-    serves all of them.
+    part in, as child or as parent, and one aggregate by check and key serves all
+    of them.
     """
     spark = checks[0][2].sparkSession
     meta, tables = [], {}
@@ -74,6 +74,9 @@ def constraint_audit(checks: list[tuple]) -> DataFrame:
     for df, parts in tables.values():
         rows = df.select(F.explode(F.array(*parts)).alias("e")).where("e is not null").select("e.*")
         entries = rows if entries is None else entries.unionByName(rows)
+    # Dealt out by key first: nearly every key differs, so that to add up in the
+    # tasks that scan would hold the keys of a whole stretch of a table.
+    entries = entries.repartition("check", "key")
     keys = entries.groupBy("check", "key").agg(F.sum("child").alias("children"), F.max("parent").alias("parent"))
     about = F.broadcast(spark.createDataFrame(meta, "check int, table_name string, constraint_name string, kind string"))  # one row a check
     bad = F.when(F.col("kind") == "pk", F.col("children") - 1).when(F.col("kind") == "fk", F.when(F.col("parent") == 0, F.col("children")).otherwise(0)).otherwise(F.col("children"))
