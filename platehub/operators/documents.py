@@ -9,7 +9,9 @@ document's key; a parent of up to ``page_size`` children has page 0 alone.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_PAGE_SIZE = 50_000
@@ -32,44 +34,49 @@ def child_arrays(
     item = F.struct(*[F.col(f) for f in fields])
     page = F.lit(0).cast("long")
     if page_size is not None:
-        large = children.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > page_size)
-        children = children.join(large, keys, "left")
-        pages = F.ceil(F.col("__n") / F.lit(page_size)).cast("long")
-        page = F.when(F.col("__n").isNull(), page).otherwise(F.pmod(F.xxhash64(*(child_id or fields)), pages))
+        children = children.join(page_counts(children, keys, page_size), keys, "left")
+        page = F.when(F.col("__pages").isNull(), page).otherwise(F.pmod(F.xxhash64(*(child_id or fields)), F.col("__pages")))
     return children.withColumn("page", page).groupBy(*keys, "page").agg(F.array_sort(F.collect_list(item)).alias(name))
 
 
-def paged_children(
+def page_counts(children: DataFrame, keys: list[str], page_size: int) -> DataFrame:
+    """``keys, __pages`` of the parents that have more than ``page_size`` children."""
+    large = children.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > page_size)
+    return large.select(*keys, F.ceil(F.col("__n") / F.lit(page_size)).cast("long").alias("__pages"))
+
+
+def attach_children(
+    heads: DataFrame,
     keys: list[str],
     children: list[tuple[DataFrame, list[str], str, list[str]]],
     page_size: int | None = DEFAULT_PAGE_SIZE,
 ) -> DataFrame:
-    """Aligned pages of several child lists of the same parent key:
-    ``keys, page, <name1>, <name2>, ...``; each child list is (rows, fields,
-    name, id columns).  Page ``p`` of each list is joined with page ``p`` of
-    the others (full outer join on key and page), so the widest row holds about
-    ``page_size`` children of each kind.  Missing lists are empty arrays."""
-    pages = None
+    """Every head with its children: ``<heads>, page, <name1>, <name2>, ...``; each
+    child list is (rows, fields, name, id columns).
+
+    The heads go to the children: a head is repeated for each of its pages and
+    meets the lists where they were made, dealt out by ``keys`` alone: the page is
+    compared, it is no key of the join, and the arrays are not shuffled.  Page
+    ``p`` of each list stands beside page ``p`` of the others, so the widest row
+    holds about ``page_size`` children of each kind.  Missing lists are empty
+    arrays; a head without children has page 0, a paged one the pages that hold any."""
+    page = F.lit(0).cast("long")
+    j = heads.withColumn("__pages", F.lit(None).cast("long"))
+    if page_size is not None:
+        counts = [page_counts(df, keys, page_size) for df, _, _, _ in children]
+        most = reduce(DataFrame.unionByName, counts).groupBy(*keys).agg(F.max("__pages").alias("__pages"))
+        j = heads.join(most, keys, "left")
+        page = F.explode(F.sequence(page, F.coalesce(F.col("__pages") - 1, page)))
+    j = j.select(*heads.columns, "__pages", page.alias("page"))
     types = {}
     for df, fields, name, child_id in children:
         arr = child_arrays(df, keys, fields, name, page_size, child_id)
         types[name] = arr.schema[name].dataType
-        pages = arr if pages is None else pages.join(arr, [*keys, "page"], "full_outer")
-    return pages.select(
-        *keys, "page", *[F.coalesce(F.col(n), F.array().cast(t)).alias(n) for n, t in types.items()]
-    )
-
-
-def attach_pages(heads: DataFrame, keys: list[str], pages: DataFrame) -> DataFrame:
-    """Every head gets its pages; a head without children gets page 0 with
-    empty arrays (left join, then defaults)."""
-    arrays = [f for f in pages.schema.fields if f.name not in (*keys, "page")]
-    j = heads.join(pages, keys, "left")
-    return j.select(
-        *[c for c in heads.columns],
-        F.coalesce(F.col("page"), F.lit(0).cast("long")).alias("page"),
-        *[F.coalesce(F.col(f.name), F.array().cast(f.dataType)).alias(f.name) for f in arrays],
-    )
+        arr = arr.select(*[F.col(k).alias(f"__c_{k}") for k in keys], F.col("page").alias("__c_page"), name)
+        same = reduce(Column.__and__, [F.col(k) == F.col(f"__c_{k}") for k in keys], F.col("page").between(F.col("__c_page"), F.col("__c_page")))
+        j = j.join(arr, same, "left").drop("__c_page", *[f"__c_{k}" for k in keys])
+    held = reduce(Column.__or__, [F.col(n).isNotNull() for n in types], F.col("__pages").isNull())
+    return j.where(held).select(*heads.columns, "page", *[F.coalesce(F.col(n), F.array().cast(t)).alias(n) for n, t in types.items()])
 
 
 def child_summary(children: DataFrame, keys: list[str], prefix: str, sums: list[str], names: str | None = None,

@@ -11,7 +11,7 @@ from ..functions import codes
 from ..functions.text import shipment_int
 from ..operators.changelog import purge_keep
 from ..operators.dedup import last_per_key
-from ..operators.documents import DEFAULT_PAGE_SIZE, attach_pages, child_summary, paged_children
+from ..operators.documents import DEFAULT_PAGE_SIZE, attach_children, child_summary
 
 # -- C3 / C4 -------------------------------------------------------------------
 
@@ -268,12 +268,12 @@ def _documents(heads: DataFrame, parts: DataFrame, remnants: DataFrame, page_siz
     # An outbox that delivers at least once may hold a packet twice.
     owners = created.select("ArchivePacketID", "ProgramName", "RepeatID").distinct()
     rems = remnants.join(owners, ["ProgramName", "RepeatID"], "inner")
-    pages = paged_children(
+    j = attach_children(
+        created,
         ["ArchivePacketID"],
         [(parts, PART_FIELDS, "parts", ["AutoID"]), (rems.drop("ProgramName", "RepeatID"), REMNANT_FIELDS, "remnants", REMNANT_FIELDS)],
         page_size,
     )
-    j = attach_pages(created, ["ArchivePacketID"], pages)
     nest = F.struct(
         F.col("ArchivePacketID").alias("archivePacketId"),
         F.struct(

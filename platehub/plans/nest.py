@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..functions.text import shipment_int
 from ..operators.dedup import first_per_key, last_per_key
-from ..operators.documents import DEFAULT_PAGE_SIZE, attach_pages, exact_sum, paged_children
+from ..operators.documents import DEFAULT_PAGE_SIZE, attach_children, exact_sum
 
 NEST_PART_FIELDS = ["partName", "partQty", "job", "shipment", "trueArea", "nestedArea"]
 NEST_REMNANT_FIELDS = ["remnantName", "length", "width", "area", "weight", "primeCode", "qty"]
@@ -90,13 +90,13 @@ def nest_documents(
         pip = pip.where(F.col("ProgramName") == program_name)
         remnant = remnant.where(F.col("ProgramName") == program_name)
     heads = _program_heads(program).join(program_sheet(program, stock), "ProgramName", "inner")
-    pages = paged_children(
+    j = attach_children(
+        heads,
         ["ProgramName"],
         [(nest_parts(pip, part, literal), NEST_PART_FIELDS, "parts", ["WONumber", *NEST_PART_FIELDS]),
          (nest_remnants(remnant), NEST_REMNANT_FIELDS, "remnants", NEST_REMNANT_FIELDS)],
         page_size,
     )
-    j = attach_pages(heads, ["ProgramName"], pages)
     return j.select(
         "page",
         F.col("ArchivePacketID").alias("archivePacketId"),

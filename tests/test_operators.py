@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from platehub.operators import changelog as cl
 from platehub.operators.dedup import first_per_key, last_per_key, survivors_after_later_writes
-from platehub.operators.documents import child_arrays, child_summary
+from platehub.operators.documents import attach_children, child_arrays, child_summary
 from platehub.operators.joins import bounded_broadcast, not_exists, not_in
 from platehub.operators.quality import mask_sentinel, resolve_aliases, split_required, with_defaults
 
@@ -195,3 +195,17 @@ def test_assert_required_fails_the_job(spark):
     bad = spark.createDataFrame([("a", None)], "n string, q int")
     with pytest.raises(Exception):
         assert_required(bad, ["n", "q"]).collect()
+
+
+def test_attached_children_by_pages(spark):
+    heads = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "k int, h string")
+    some = spark.createDataFrame([(1, i) for i in range(9)] + [(2, 20), (None, 30), (4, 40)], "k int, x int")
+    few = spark.createDataFrame([(1, 7), (3, 8), (3, 9)], "k int, y int")
+    docs = attach_children(heads, ["k"], [(some, ["x"], "xs", ["x"]), (few, ["y"], "ys", ["y"])], page_size=2).collect()
+    assert {(r.h, x.x) for r in docs for x in r.xs} == {(h, i) for h in "ab" for i in range(9)} | {("c", 20)}
+    assert sum(len(r.xs) for r in docs) == 19
+    assert sorted((r.h, y.y) for r in docs for y in r.ys) == [("a", 7), ("b", 7), ("d", 8), ("d", 9)]
+    assert {(r.h, r.page, len(r.xs), len(r.ys)) for r in docs if r.h in "cde"} == {("c", 0, 1, 0), ("d", 0, 0, 2), ("e", 0, 0, 0)}
+    assert all(r.xs or r.ys for r in docs if r.h in "ab") and len({(r.h, r.page) for r in docs}) == len(docs)
+    whole = attach_children(heads, ["k"], [(some, ["x"], "xs", ["x"])], page_size=None).collect()
+    assert sorted((r.h, r.page, len(r.xs)) for r in whole) == [("a", 0, 9), ("b", 0, 9), ("c", 0, 1), ("d", 0, 0), ("e", 0, 0)]
