@@ -46,19 +46,24 @@ def first_calls(calls: DataFrame, key: str) -> DataFrame:
     return first_per_key(calls.where(F.col(key).isNotNull()), [key], ["seq"])
 
 
-def _gate(calls: DataFrame, trans_act: DataFrame, adds: DataFrame, literal: bool, event_col: str) -> DataFrame:
-    """First calls whose event passes the once-per-event gate.
+def _gate(calls: DataFrame, trans_act: DataFrame, adds: DataFrame, literal: bool, event_col: str, name_col: str) -> DataFrame:
+    """First calls whose event passes the once-per-event gate (J9, W1, T3), with
+    what their removals need: ``name_col`` is what they are looked up by.  The first
+    calls are sorted for, so the other columns are left out before.
 
     Intended (D3): the event is not in the queue, by its whole id, which staged
     rows carry in ``ItemData18`` or ``event_col``.  ``literal``: by the last ten characters, with
     the NULLs of SQL's ``NOT IN``.
     """
+    calls = calls.select("seq", "sap_event_id", "trans_id", "sap_system", name_col)
     if not literal:
-        # One column of the queue at a time, so that a scan reads nothing else.
+        # One column of the queue at a time, so that a scan reads nothing else.  An event
+        # has many rows there: each task sends it once.  The ids grow with the queue and
+        # their files say little of their size, so they are never hashed whole.
         firsts, queue = first_calls(calls, "sap_event_id"), conform(trans_act)
         for column in dict.fromkeys(["ItemData18", event_col]):
-            known = queue.select(F.col(column).alias("__event")).where(F.col("__event").isNotNull())
-            firsts = firsts.join(known, F.col("sap_event_id") == F.col("__event"), "left_anti")
+            known = queue.select(F.col(column).alias("__event")).where(F.col("__event").isNotNull()).distinct()
+            firsts = firsts.join(known.hint("merge"), F.col("sap_event_id") == F.col("__event"), "left_anti")
         return firsts
     firsts = first_calls(calls, "trans_id")
     staged = trans_act.select(F.col("TransID").alias("__tid"))
@@ -174,7 +179,7 @@ def demand_changes(
     cfg = district_by_system(config)
     adds = demand_adds(calls, slab_part_alloc, cfg, literal)
     adds = hold(adds) if hold else adds
-    gated = _gate(calls, trans_act, adds, literal, "ItemData18")
+    gated = _gate(calls, trans_act, adds, literal, "ItemData18", "part_name")
     # Removals: every work order of the called part not yet stamped with the
     # event (a NULL Data18 never compares unequal, so it is not removed).
     prt = part.select("PartName", "WONumber", "QtyCompleted", "Data18")
@@ -291,7 +296,7 @@ def inventory_changes(
     adds = hold(adds) if hold else adds
     # the gate's NULL-event rule looks at the add's event id
     gate_adds = a.select(F.col("sap_event_id").alias("ItemData18"), (F.col("seq") * 2 + 1).alias("Ordinal"))
-    gated = _gate(calls, trans_act, gate_adds, literal, "BinNumber")
+    gated = _gate(calls, trans_act, gate_adds, literal, "BinNumber", "mm")
     rem = _removable(gated, stock, adds).join(cfg, F.col("sap_system") == F.col("cfg_system"), "inner")
     removals = conform(
         rem.select(

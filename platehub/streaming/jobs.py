@@ -96,12 +96,19 @@ def stream_demand_intake(spark: SparkSession, v: Views) -> DataFrame:
     return log.current()
 
 
+def posted_arrays(calls: DataFrame) -> DataFrame:
+    """Each event's calls as a JSON array.  An event has a bounded number of calls:
+    they came in one request.  They are dealt out first: lists are no smaller than
+    their calls, and the tasks that scan would hold them."""
+    arrays = F.to_json(F.collect_list(F.struct(*calls.columns))).alias("value")
+    return calls.repartition("sap_event_id").groupBy("sap_event_id").agg(F.min("seq").alias("seq"), arrays)
+
+
 def stream_inventory_intake(spark: SparkSession, v: Views) -> DataFrame:
     """Calls arrive as posted JSON arrays, one line for all calls of an event."""
     root = scratch_dir(spark, "inventory-intake")
     calls = v.inventory_events.select(*INVENTORY_CALL_SCHEMA.fieldNames())
-    # An event has a bounded number of calls: they came in one request.
-    posts = calls.groupBy("sap_event_id").agg(F.min("seq").alias("seq"), F.to_json(F.collect_list(F.struct(*calls.columns))).alias("value"))
+    posts = posted_arrays(calls)
     drop = in_order("seq", calls)
     arrivals = Arrivals(posts.where("value is not null").select("value", drop.alias("n")), f"{root}/posts", F.col("n"), "json")
     log = QueueLog(spark, f"{root}/queue", INVENTORY_KEYS).start(v.trans_act)

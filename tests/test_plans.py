@@ -6,7 +6,11 @@ import re
 
 import pytest
 
+from platehub.plans import feedback as fb
+from platehub.plans import nest as ns
 from platehub.plans import registry
+from platehub.plans.reconcile import demand_changes, inventory_changes
+from platehub.streaming.jobs import posted_arrays
 
 SF = "/root/testdata/sf0.001"
 STREAMS = {n for n in registry.QUERIES if n.startswith("stream_")}
@@ -81,3 +85,49 @@ def test_audit_deals_keys_out_before_it_adds_them_up(spark):
     adds = [i for i, line in enumerate(lines) if "HashAggregate(keys=[check" in line and "key" in line.split("functions")[0]]
     dealt = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line]
     assert len(dealt) == 1 and adds and max(adds) < dealt[0]
+
+
+def test_documents_are_not_shuffled_once_they_are_made(spark, views):
+    """Above the aggregates that make the arrays there is no exchange."""
+    v = views
+    documents = (ns.nest_documents(v.program, v.pip, v.part_wo, v.stock, v.remnant), fb.feedback_documents(v.st_prg_arc, v.stock, v.st_pip_arc, v.part_wo, v.remnant))
+    for docs in documents:
+        lines = plan_text(docs).splitlines()
+        arrays = [i for i, line in enumerate(lines) if "collect_list(" in line and "partial_collect_list(" not in line]
+        assert len(arrays) == 2
+        for i in arrays:
+            depth = len(lines[i]) - len(lines[i].lstrip(" :+-"))
+            for line in reversed(lines[:i]):
+                at = len(line) - len(line.lstrip(" :+-"))
+                if at < depth:
+                    depth = at
+                    assert "Exchange" not in line and "FullOuter" not in line
+
+
+@pytest.mark.parametrize("kind", ["demand", "inventory"])
+def test_first_calls_are_narrow(spark, views, kind):
+    """First calls are sorted for: a row has what the removals need of it."""
+    v = views
+    if kind == "demand":
+        removals, _ = demand_changes(v.demand_events, v.part_wo, v.pip, v.slab_part_alloc, v.config, v.trans_act)
+    else:
+        removals, _ = inventory_changes(v.inventory_events, v.stock, v.slab_sheet_alloc, v.config, v.trans_act)
+    firsts = [line for line in plan_text(removals).splitlines() if "min_by(struct(" in line and "sap_event_id" in line]
+    assert firsts and not any("notes" in line or "chargeref" in line for line in firsts)
+
+
+def test_gate_does_not_hold_the_queue(spark, views):
+    """The ids of all staged events are not broadcast, whatever their files' size."""
+    v = views
+    removals, _ = inventory_changes(v.inventory_events, v.stock, v.slab_sheet_alloc, v.config, v.trans_act)
+    plan = plan_text(removals)
+    assert plan.count("LeftAnti") == 2
+    assert all("SortMergeJoin" in line for line in plan.splitlines() if "LeftAnti" in line)
+
+
+def test_posted_calls_are_dealt_out_before_they_are_gathered(spark, views):
+    """The task that scans a table holds none of its calls."""
+    lines = plan_text(posted_arrays(views.inventory_events)).splitlines()
+    gathers = [i for i, line in enumerate(lines) if "collect_list(" in line]
+    dealt = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line]
+    assert gathers and len(dealt) == 1 and max(gathers) < dealt[0]
