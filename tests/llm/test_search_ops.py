@@ -3,6 +3,7 @@ decontamination, line dedup, link graph and repeated strings."""
 
 import random
 import re
+import time
 from fractions import Fraction
 
 import numpy as np
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from platehub.llm import components, decontaminate, jaccard, line_dedup, link_graph, suffixes
+from platehub.llm.packed import INDEX, PROBE, Groups, Packer, tagged
 from platehub.llm.scratch import Scratch
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -505,3 +507,37 @@ def test_repeats_edges(spark):
         [(1, 0, 0, 0), (2, 0, 0, 0), (3, len(long), len(long), 0), (3, len(long), len(long), 0), (0, len(long), len(long), 0), (4, len(long) + 5, 5, 1), (5, 5, 5, 0)]
     )
     assert suffixes.remove_repeats(spark, df.limit(0)).count() == 0
+
+
+# scratch tables and packed signatures ---------------------------------------
+
+
+def test_scratch_leaves_no_shuffle_files(spark):
+    """A step's disk is that of one write, not of all that went before."""
+
+    def held():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    before, kept = held(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    out = Scratch(spark, "test").cut(spark.range(1000).repartition(7, "id"))
+    for _ in range(50):
+        if not held() - before:
+            break
+        time.sleep(0.1)
+    assert not held() - before and out.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
+
+
+def test_narrow_signatures_meet_as_wide_ones():
+    keys = np.array([5, 5, 5, 9, 9, 7], dtype=np.uint64) << np.uint64(8)
+    ids = np.array([-3, 1 << 50, 77, 77, -3, 4], dtype=np.int64)
+    roles = np.array([INDEX, PROBE, PROBE, INDEX, PROBE, INDEX], dtype=np.uint64)
+    found = []
+    for widths in ((5, 8), (4, 6)):
+        packer = Packer(1, *widths)
+        packer.add(keys, tagged(ids, 0) | roles)
+        groups = Groups(pa.Table.from_batches([packer.take()]), *widths)
+        name, member = groups.members(2)
+        found.append(sorted(tuple(sorted(m & ((1 << 46) - 1) for m in member[name == n].tolist())) for n in set(name.tolist())))
+    assert found[0] == found[1] and [len(g) for g in found[0]] == [3, 2]
