@@ -372,6 +372,34 @@ def test_line_dedup_edits_spread_evenly(spark):
     assert {r["doc_id"] for r in rows if r["n_near"]} == {i for i, _ in docs if i % 3}
 
 
+def test_line_signatures_are_few_and_meet():
+    """Lines within the edits share a signature that one of them indexes; all
+    signatures, at 10 bytes each, are less than the text."""
+    rng = random.Random(41)
+    texts = []
+    for size in [*range(90, 300, 7), *range(300, 6000, 400)]:
+        x = [rng.choice("abcdefghij klmnop") for _ in range(size)]
+        for cut in ("", "z", "zz"):
+            y = list(x)
+            for p in sorted(rng.sample(range(size), size // line_dedup.BYTES_PER_EDIT), reverse=True):
+                y[p : p + 1] = cut
+            # The shorter of the two decides how many edits they may have.
+            texts.append(("".join(x), "".join(y)) if cut else ("".join(x), "".join(x[: size // 2] + ["z"] * (size // 31) + x[size // 2 :])))
+    texts += [("a" * 400, "a" * 390), ("ab" * 300, "ab" * 290 + "c" * 10), ("x" * 90, "x" * 93)]
+    lines = sorted({line for pair in texts for line in pair})
+    raw = "\n".join(lines).encode()
+    found = line_dedup.Lines(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]), 1)
+    roles, n = [{} for _ in lines], 0
+    for keys, which, role in line_dedup.signatures(found, np.arange(len(lines)), line_dedup.MAX_EDITS):
+        n += len(keys)
+        for key, k in zip(keys.tolist(), which.tolist()):
+            roles[k][key] = roles[k].get(key, 0) | role
+    at = {line: roles[k] for k, line in enumerate(lines)}
+    for x, y in texts:
+        assert any(at[x][k] | at[y][k] == line_dedup.INDEX | line_dedup.PROBE for k in at[x].keys() & at[y].keys())
+    assert n < len(raw) / 10
+
+
 def test_equal_short_lines_go(spark):
     docs = [(1, "Les.\n\nAnd so.\nx"), (2, "Les.\n\n \nx\nanother"), (3, "les.\n \nAnd so.\nx"), (4, "Lex.")]
     rows = line_dedup.dedup_lines(spark, docs_frame(spark, docs)).collect()
