@@ -334,6 +334,59 @@ def test_line_within_by_diagonals():
             assert line_dedup.within(np.array(x, dtype=np.uint8), np.array(y, dtype=np.uint8), band) == (true <= band)
 
 
+def test_lines_within_many_at_a_time(monkeypatch):
+    rng = random.Random(36)
+    for chunk in (line_dedup.CHUNK, 500):
+        monkeypatch.setattr(line_dedup, "CHUNK", chunk)
+        a, b, edits = [], [], []
+        for _ in range(400):
+            x = [rng.choice(b"ab") for _ in range(rng.choice([0, 3, 20, 60, 200]))]
+            y = list(x)
+            for _ in range(rng.randint(0, 8)):
+                p = rng.randint(0, len(y))
+                y[p : p + rng.randint(0, 1)] = [rng.choice(b"abc")] * rng.randint(0, 1)
+            a.append(np.array(x, dtype=np.uint8))
+            b.append(np.array(y, dtype=np.uint8))
+            edits.append(rng.choice([0, 1, 3, 7, 40]))
+        want = [distance(x.tolist(), y.tolist()) <= e for x, y, e in zip(a, b, edits)]
+        assert line_dedup.within_all(a, b, np.array(edits)).tolist() == want and 100 < sum(want) < 350
+    assert line_dedup.within_all([], [], np.zeros(0, dtype=np.int64)).tolist() == []
+
+
+def test_long_lines_are_compared_in_few_steps(monkeypatch):
+    """Lines of more edits than a word holds are not compared one by one."""
+    monkeypatch.setattr(line_dedup, "within", None)
+    rng = random.Random(38)
+    x = ["".join(rng.choice("abcdefgh ") for _ in range(1500)) for _ in range(300)]
+    y = [s.replace("ab", "z", 20) if i % 2 else s[:700] + s[700:][::-1] for i, s in enumerate(x)]
+    a, b = ([np.frombuffer(s.encode(), dtype=np.uint8) for s in t] for t in (x, y))
+    assert line_dedup.close(a, b, line_dedup.MAX_EDITS).tolist() == [bool(i % 2) for i in range(300)]
+
+
+def test_common_pieces_are_taken_last(spark, monkeypatch):
+    """A passage that all lines hold is no reason for them to meet."""
+    monkeypatch.setattr(line_dedup, "SAMPLE", 1)
+    rng = random.Random(40)
+    fresh = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    passage = fresh(100)
+    docs = [(i, fresh(400) + passage + fresh(400)) for i in range(60)]
+    near = [(100 + i, t[:40] + "zz" + t[42:]) for i, t in docs[:10]]
+    texts = docs_frame(spark, docs + near).select("doc_id", "text")
+    bits = line_dedup.common_pieces(texts, 60_000, line_dedup.MAX_EDITS, Scratch(spark, "t"))
+    raw = "\n".join(t for _, t in docs).encode()
+    found = line_dedup.Lines(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]), 1)
+    both = [np.concatenate([np.stack([w, k.view(np.int64)]) for k, w, _ in line_dedup.signatures(found, np.arange(len(docs)), line_dedup.MAX_EDITS, c)], axis=1) for c in (None, bits)]
+    often = [int((np.unique(np.unique(x, axis=1)[1], return_counts=True)[1] > 10).sum()) for x in both]
+    assert often[0] > 0 and often[1] == 0
+    rows = line_dedup.dedup_lines(spark, docs_frame(spark, docs + near)).collect()
+    assert {r["doc_id"] for r in rows if r["n_near"]} == {i for i, _ in near}
+    # Any bits give the same lines, also if all pieces are common.
+    for every in (np.full(8, 255, dtype=np.uint8), np.full(8, 0x35, dtype=np.uint8)):
+        monkeypatch.setattr(line_dedup, "common_pieces", lambda *a, every=every: every)
+        rows = line_dedup.dedup_lines(spark, docs_frame(spark, docs + near)).collect()
+        assert {r["doc_id"] for r in rows if r["n_near"]} == {i for i, _ in near}
+
+
 def test_line_dedup_long_lines_with_changed_words(spark):
     rng = random.Random(37)
     words = vocabulary(rng, 3000)
