@@ -12,9 +12,9 @@ are counted exactly.
    no frequent one.  Each such pass reaches one word further, so there are few.
 
 Up to here phrases are 64-bit hashes, dealt to buckets by their high bits; a proposal
-is a bit for each hash prefix, FILTER bits at most (2**31 bits, 256 MB), as many as a
-quarter of the text's bytes where that is less, so what is broadcast is bounded.  Hashes
-that share a bit only add phrases to be counted.  The last pass counts the phrases that
+is a bit for each hash prefix, 2**MOST bits at most (256 MB), as many as a quarter of
+the text's bytes where that is less, so what is broadcast is bounded; the driver holds
+SLICE bytes of it at a time.  Hashes that share a bit only add phrases to be counted.  The last pass counts the phrases that
 remain by their words and not by hashes, and drops what is too rare, so counts are exact.
 
 Bounds: a map task holds FLUSH words at a time (a longer text as a whole, about 100 bytes
@@ -52,6 +52,8 @@ TOP = 2000
 SCALE = 2_000_000
 #: Bits of a proposal: 2**FEWEST to 2**MOST.
 FEWEST, MOST = 20, 31
+#: Bytes of a proposal that the driver holds and sends at a time.
+SLICE = 32 << 20
 #: Bytes of text for each bucket of hashes.
 BUCKET_BYTES = 4 << 20
 #: Words counted at a time, by hashes and as themselves, and bytes hashed at a time.
@@ -118,14 +120,25 @@ def keys_of(words: np.ndarray, pieces: np.ndarray, lang: str) -> Iterator[tuple[
         yield mix(state + U(k)), pieces[: len(state)] == pieces[k - 1 :]
 
 
-def proposed(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether the bits hold each key."""
-    shift = 64 - (len(bits).bit_length() + 2)
-    at = keys >> U(shift)
+def proposed(bits: np.ndarray | list[np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """Whether the bits, whole or in slices, hold each key."""
+    parts = bits if isinstance(bits, list) else [bits]
+    each = len(parts[0]).bit_length() + 2
+    at = keys >> U(64 - (each + len(parts).bit_length() - 1))
+    if len(parts) == 1:
+        return _held(parts[0], at)
+    out, part, at = np.zeros(len(keys), dtype=bool), at >> U(each), at & U((1 << each) - 1)
+    for k, held in enumerate(parts):
+        some = np.flatnonzero(part == k)
+        out[some] = _held(held, at[some])
+    return out
+
+
+def _held(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> U(3)] >> (at & U(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def with_border(keys: list[tuple[np.ndarray, np.ndarray]], bits: np.ndarray) -> list[np.ndarray]:
+def with_border(keys: list[tuple[np.ndarray, np.ndarray]], bits: np.ndarray | list[np.ndarray]) -> list[np.ndarray]:
     """For each length, whether a phrase is proposed or of the negative border."""
     out, below = [], None
     for key, whole in keys:
@@ -151,20 +164,44 @@ def by_language(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[tuple
 
 
 class Counter:
-    """Counting passes over the documents, by hashed phrases."""
+    """Counting passes over the documents, by hashed phrases.
 
-    def __init__(self, docs: DataFrame, buckets: int, bits: int):
-        self.docs, self.buckets, self.bits = docs, buckets, bits
+    Bits are tables, a row for each bucket that has any; a proposal is the union of
+    some.  The driver reads and sends them a slice at a time and keeps none.
+    """
 
-    def frequent(self, docs: DataFrame, least: int, known: np.ndarray | None = None, done: np.ndarray | None = None) -> np.ndarray:
+    def __init__(self, docs: DataFrame, buckets: int, bits: int, scratch: Scratch):
+        self.docs, self.buckets, self.bits, self.scratch = docs, buckets, bits, scratch
+        self.slices = min(buckets, max(1, (1 << bits) // 8 // SLICE))
+
+    def read(self, tables: list[DataFrame]) -> Iterator[np.ndarray]:
+        """The slices of the tables' union."""
+        each = (1 << self.bits) // 8 // self.buckets
+        for k in range(self.slices):
+            out = np.zeros((1 << self.bits) // 8 // self.slices, dtype=np.uint8)
+            for table in tables:
+                rows = table.filter(F.col("slice") == k).select("bucket", "bits").toArrow()  # SLICE bytes
+                for bucket, bits in zip(rows.column("bucket").to_pylist(), rows.column("bits")):
+                    at = bucket % (self.buckets // self.slices) * each
+                    out[at : at + each] |= np.frombuffer(bits.as_buffer(), dtype=np.uint8)
+            yield out
+
+    def send(self, tables: list[DataFrame]) -> list:
+        sc = self.docs.sparkSession.sparkContext
+        return [sc.broadcast(part.tobytes()) for part in self.read(tables)]
+
+    def beyond(self, table: DataFrame, known: list[DataFrame]) -> bool:
+        """Whether the table has bits that the known ones have not."""
+        return any((a & ~b).any() for a, b in zip(self.read([table]), self.read(known)))
+
+    def frequent(self, docs: DataFrame, least: int, known: list | None = None, done: list | None = None) -> DataFrame:
         """Bits of the phrases of ``docs`` that occur ``least`` times, among all, or
-        among those that ``known`` proposes or borders on and ``done`` does not."""
-        sc = docs.sparkSession.sparkContext
-        shared = [sc.broadcast(b.tobytes()) if b is not None else None for b in (known, done)]
-        shift, wide = (self.buckets - 1).bit_length(), self.bits
+        among those that ``known``, as sent, proposes or borders on and ``done`` does not."""
+        shared = known, done
+        shift, wide, together = (self.buckets - 1).bit_length(), self.bits, self.buckets // self.slices
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            new, old = (np.frombuffer(b.value, dtype=np.uint8) if b is not None else None for b in shared)
+            new, old = ([np.frombuffer(b.value, dtype=np.uint8) for b in parts] if parts is not None else None for parts in shared)
             for lang, texts in by_language(batches, FLUSH):
                 keys = list(keys_of(*hashed_words(texts), lang))
                 counted = [whole for _, whole in keys] if new is None else with_border(keys, new)
@@ -191,25 +228,19 @@ class Counter:
             found = key[begin[np.add.reduceat(n, begin) >= least]]
             held = np.zeros(1 << (wide - shift), dtype=np.uint8)
             held[(found >> U(48 - (wide - shift))).astype(np.int64)] = 1
-            return pa.table({"bucket": table.column("bucket").slice(0, 1), "bits": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
-
-        rows = docs.mapInArrow(count, "bucket int, keys binary, counts binary").groupBy("bucket").applyInArrow(settle, "bucket int, bits binary")
-        out = np.zeros((1 << self.bits) // 8, dtype=np.uint8)
-        each = len(out) // self.buckets
-        for r in rows.collect():  # 2**bits bits in all
-            out[r["bucket"] * each : (r["bucket"] + 1) * each] = np.frombuffer(r["bits"], dtype=np.uint8)
-        for b in shared:
-            if b is not None:
-                b.destroy()
-        return out
+            bucket = table.column("bucket")[0].as_py()
+            return pa.table({"bucket": pa.array([bucket], pa.int32()), "bits": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary()), "slice": pa.array([bucket // together], pa.int32())})
 
-    def by_words(self, bits: np.ndarray, least: int, scratch: Scratch) -> DataFrame:
-        """(lang, k, phrase, a) of the phrases that ``bits`` hold and that occur ``least``
-        times, and of all words of a language as the phrase of no word."""
-        shared = self.docs.sparkSession.sparkContext.broadcast(bits.tobytes())
+        rows = docs.mapInArrow(count, "bucket int, keys binary, counts binary").groupBy("bucket").applyInArrow(settle, "bucket int, bits binary, slice int")
+        return self.scratch.cut(rows, partition_by="slice")
+
+    def by_words(self, tables: list[DataFrame], least: int) -> DataFrame:
+        """(lang, k, phrase, a) of the phrases that the tables' bits hold and that occur
+        ``least`` times, and of all words of a language as the phrase of no word."""
+        shared = self.send(tables)
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = np.frombuffer(shared.value, dtype=np.uint8)
+            held = [np.frombuffer(b.value, dtype=np.uint8) for b in shared]
             for lang, texts in by_language(batches, NAMED):
                 keys = list(keys_of(*hashed_words(texts), lang))
                 words = _WORDS.findall(b"\n".join(t.tobytes() for t in texts).lower())
@@ -233,11 +264,16 @@ class Counter:
 
         rows = self.docs.mapInArrow(count, "lang string, k int, phrase binary, n long")
         counts = rows.groupBy("lang", "k", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("n").alias("a"))
-        out = scratch.cut(counts.filter((F.col("a") >= least) | (F.col("k") == 0)))
-        shared.destroy()
+        out = self.scratch.cut(counts.filter((F.col("a") >= least) | (F.col("k") == 0)))
+        _forget(shared)
         return out
 
 
+def _forget(sent: list | None) -> None:
+    for part in sent or []:
+        part.destroy()
+
+
 def mine(docs: DataFrame, scratch: Scratch, text: str = "text", lang: str = "lang", least: int = LEAST) -> DataFrame:
     """(lang, k, phrase, a): every phrase of 1 to WORDS words that the texts of a
     language hold ``least`` times or more, overlaps included, with its count; and for
@@ -251,15 +287,20 @@ def mine(docs: DataFrame, scratch: Scratch, text: str = "text", lang: str = "lan
     rows = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).cast("binary").alias("text"), F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)).alias("part"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 << max(0, (size // BUCKET_BYTES).bit_length())
-    counter = Counter(rows.select("lang", "text"), buckets, max(FEWEST, min(MOST, (size // 4).bit_length())))
-    known = counter.frequent(rows.filter("part = 0").select("lang", "text"), SAMPLE_LEAST)
-    found = counter.frequent(counter.docs, least, known)
-    every, done = found, None
-    while (found & ~known).any():  # the border failed
-        done, known = known, known | found
-        found = counter.frequent(counter.docs, least, known, done)
-        every = every | found
-    return counter.by_words(every, least, scratch)
+    counter = Counter(rows.select("lang", "text"), buckets, max(FEWEST, min(MOST, (size // 4).bit_length())), scratch)
+    known = [counter.frequent(rows.filter("part = 0").select("lang", "text"), SAMPLE_LEAST)]
+    new, old = counter.send(known), None
+    every = [counter.frequent(counter.docs, least, new)]
+    while counter.beyond(every[-1], known):  # the border failed
+        known.append(every[-1])
+        _forget(old)
+        new, old = counter.send(known), new
+        every.append(counter.frequent(counter.docs, least, new, old))
+    _forget(new)
+    _forget(old)
+    out = counter.by_words(every, least)
+    scratch.drop(known[0], *every)
+    return out
 
 
 def _salt(phrase: str) -> Column:

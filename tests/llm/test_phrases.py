@@ -80,6 +80,22 @@ def test_counts_with_any_proposal(spark, monkeypatch, sample_least):
     assert sorted(map(tuple, out.collect())) == ranked(want, 15)
 
 
+@pytest.mark.parametrize("sample_least", [2, 10**6])
+def test_driver_sends_proposals_in_slices(spark, monkeypatch, sample_least):
+    """The driver never holds a proposal as a whole."""
+    monkeypatch.setattr(phrases, "SLICE", 16 << 10, raising=False)
+    monkeypatch.setattr(phrases, "SAMPLE_LEAST", sample_least)
+    monkeypatch.setattr(phrases, "BUCKET_BYTES", 4096)
+    sent = []
+    broadcast = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(len(value)) or broadcast(self, value))
+    rng = random.Random(14)
+    rows = [(t, rng.choice(["en", "fr"])) for t in texts(rng, 300)]
+    df = spark.createDataFrame([(i, t, lang, "s", 0) for i, (t, lang) in enumerate(rows)], DOCS).repartition(3)
+    assert mined(spark, df) == plain(rows, 30)
+    assert sent and max(sent) <= 16 << 10 < (1 << phrases.FEWEST) // 8
+
+
 def test_passes_until_closed(spark, monkeypatch):
     """With nothing proposed each pass reaches one word further, and the last finds nothing."""
     monkeypatch.setattr(phrases, "SAMPLE_LEAST", 10**6)
@@ -128,3 +144,5 @@ def test_bits():
         at = int(k) >> 44
         bits[at >> 3] |= 1 << (at & 7)
     assert phrases.proposed(bits, keys[::2]).all() and phrases.proposed(bits, keys[1::2]).mean() < 0.01
+    for parts in (1, 4, 16):
+        assert (phrases.proposed(np.split(bits, parts), keys) == phrases.proposed(bits, keys)).all()
