@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut_once, tidy
 
 DEFAULT_MAX_RECORDS_PER_FILE = 100_000
 #: Bytes of JSON that one task of a keyed export sorts and writes, about.
@@ -40,19 +40,20 @@ def export_keyed(docs: DataFrame, path: str, key: str, ranges: int) -> None:
     are in the first range.  A range is one file, or, as the ranges do not grow in
     number, the files of several tasks that sort about TASK_BYTES each."""
     spark = docs.sparkSession
-    rows = cut(document_json(docs, key), "keyed-documents")  # read for the quantiles, and to be dealt out
-    points = [k / ranges for k in range(1, ranges)]
-    size = F.coalesce(F.sum(F.octet_length("json")), F.lit(0))
-    size, *cuts = rows.agg(size, *([F.percentile_approx(key, points)] if points else [])).first()
-    part = F.lit(0)
-    for least in sorted(set((cuts[0] if cuts else None) or [])):
-        part = part + F.coalesce((F.col(key) > least).cast("int"), F.lit(0))
-    rows = rows.withColumn("part", part)
-    if size <= TASK_BYTES:
-        dealt = rows.repartition(ranges, "part")
-    else:
-        dealt = rows.repartitionByRange(max(ranges, -(-size // TASK_BYTES)), "part", key, F.xxhash64("json"))
-    dealt.sortWithinPartitions("part", key).write.mode("overwrite").partitionBy("part").parquet(f"{path}/docs")
+    with cut_once(document_json(docs, key), "keyed-documents") as rows:  # read for the quantiles, and to be dealt out
+        points = [k / ranges for k in range(1, ranges)]
+        size = F.coalesce(F.sum(F.octet_length("json")), F.lit(0))
+        size, *cuts = rows.agg(size, *([F.percentile_approx(key, points)] if points else [])).first()
+        part = F.lit(0)
+        for least in sorted(set((cuts[0] if cuts else None) or [])):
+            part = part + F.coalesce((F.col(key) > least).cast("int"), F.lit(0))
+        rows = rows.withColumn("part", part)
+        if size <= TASK_BYTES:
+            dealt = rows.repartition(ranges, "part")
+        else:
+            dealt = rows.repartitionByRange(max(ranges, -(-size // TASK_BYTES)), "part", key, F.xxhash64("json"))
+        with tidy(spark):
+            dealt.sortWithinPartitions("part", key).write.mode("overwrite").option("compression", "zstd").partitionBy("part").parquet(f"{path}/docs")
     index = spark.read.parquet(f"{path}/docs").groupBy("part").agg(F.min(key).alias("least"), F.max(key).alias("largest"))
     index.coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
 

@@ -1,6 +1,8 @@
 """Versions, bulk inserts, keyed documents, BOM lookups and bound parameters
 (K1, K2, K4, K5, S5, P12, S7)."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +75,18 @@ def test_an_insert_that_died_before_its_ledger_is_written_over(spark):
 # keyed documents ------------------------------------------------------------
 
 
+def test_keyed_export_leaves_only_the_store(spark, tmp_path):
+    """What it writes on the way is deleted, and the session's settings are as before."""
+    from platehub.session import CLEANUP, checkpoint_dir
+
+    folders = lambda: set(Path(checkpoint_dir(spark)).rglob("keyed-documents*"))
+    before, setting = folders(), spark.conf.get(CLEANUP, "false")
+    docs = spark.createDataFrame([(i % 9, f"d{i}") for i in range(50)], "key long, name string")
+    sinks.export_keyed(docs, str(tmp_path / "store"), "key", 3)
+    assert sinks.read_keyed(spark, str(tmp_path / "store"), "key").count() == 50
+    assert folders() == before and spark.conf.get(CLEANUP, "false") == setting
+
+
 def test_a_lookup_reads_one_range(spark):
     path = scratch_dir(spark, "docs")
     docs = spark.range(1000).select((F.col("id") * 7 % 1000).alias("key"), F.concat(F.lit("d"), "id").alias("name"), F.array(F.lit(1)).alias("parts"))
